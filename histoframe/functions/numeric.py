@@ -79,7 +79,8 @@ def effective_stride(size: Column, stride: Column, overlap: Column) -> Column:
 
 def trim_number(value: Column, places: int) -> Column:
     """Shortest decimal text of a number rounded to ``places``."""
-    text = F.format_string(f"%.{places}f", F.round(value, places))
+    whole = F.floor(value * d(10**places) + d(0.5))
+    text = F.format_string(f"%.{places}f", whole / d(10**places))
     return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 

@@ -13,3 +13,8 @@ def compare_marker_sets(stored: DataFrame, requested: DataFrame, keys: Sequence[
     same = F.array_sort("markers_used") == F.array_sort("requested")
     action = F.when(F.col("markers_used").isNull(), F.lit("run")).when(same, F.lit("skip")).otherwise(F.lit("error"))
     return requested.join(stored, list(keys), "left").withColumn("action", action)
+
+
+def join_positions(features: DataFrame, patches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Feature rows with the place of their patch."""
+    return features.join(patches.select(*keys, "x", "y"), list(keys))

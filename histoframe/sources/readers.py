@@ -14,8 +14,8 @@ from histoframe.functions import numeric as X
 REGISTRY_COLUMNS = ("marker_name", "compartment", "family", "compartment_desc", "family_desc", "marker_full_name")
 
 # Columns of the novel-marker table.
-ADDITIONAL_REQUIRED = ("marker_name", "compartment", "family")
-ADDITIONAL_OPTIONAL = ("compartment_desc", "family_desc", "marker_full_name")
+ADDITIONAL_REQUIRED = ("marker_name", "compartment", "family", "family_desc", "marker_full_name")
+ADDITIONAL_OPTIONAL = ("compartment_desc",)
 ADDITIONAL_STATS = ("mean", "std")
 
 
