@@ -143,12 +143,30 @@ def duration_seconds(started: Column, completed: Column) -> Column:
     return micros.cast("double") / d(1e6)
 
 
+def fixed_text(value: Column, places: int) -> Column:
+    """Decimal text of a value below 60, rounded as the binary double it is.
+
+    Java rounds the shortest decimal form (1.15 to 1.2); the double itself
+    is a little less, and in units of 2**-52 whole-number arithmetic sees it.
+    """
+    unit = 2**52
+    scaled = (value * d(unit)).cast("bigint") * 10**places
+    whole = F.shiftright(scaled, 52)
+    rest = scaled.bitwiseAND(F.lit(unit - 1))
+    up = (rest > unit // 2) | ((rest == unit // 2) & (whole % 2 == 1))
+    whole = whole + F.when(up, 1).otherwise(0)
+    scale = F.lit(10**places)
+    return F.concat(
+        F.floor(whole / scale).cast("string"), F.lit("."), F.lpad((whole % scale).cast("string"), places, "0")
+    )
+
+
 def human_duration(seconds: Column) -> Column:
     """``0.042s`` below a second, ``8.4s`` below a minute, else ``1m 32s``."""
     minutes = F.floor(seconds / 60).cast("int")
     rest = F.floor(seconds - minutes * 60).cast("int")
     return (
-        F.when(seconds < 1, F.format_string("%.3fs", seconds))
-        .when(seconds < 60, F.format_string("%.1fs", seconds))
+        F.when(seconds < 1, F.concat(fixed_text(seconds, 3), F.lit("s")))
+        .when(seconds < 60, F.concat(fixed_text(seconds, 1), F.lit("s")))
         .when(seconds >= 60, F.format_string("%dm %ds", minutes, rest))
     )

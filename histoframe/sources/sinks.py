@@ -96,8 +96,12 @@ def tissue_features(rings: DataFrame) -> DataFrame:
 
 
 def write_geojson(features: DataFrame, path: str) -> None:
-    """One newline-delimited feature file set per slide folder."""
-    features.select("slide_id", F.col("feature").alias("value")).write.partitionBy("slide_id").mode("overwrite").text(path)
+    """One newline-delimited feature file set per slide folder.
+
+    Range partitioning keeps small slides in one file and splits large ones.
+    """
+    spread = features.repartitionByRange("slide_id", "tissue_id")
+    spread.select("slide_id", F.col("feature").alias("value")).write.partitionBy("slide_id").mode("overwrite").text(path)
 
 
 def geometry_hash(rings: Column) -> Column:

@@ -63,9 +63,9 @@ def main() -> None:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     if args.module:
-        for m in args.module.split(","):
+        for m in args.module.split(","):  # noqa: E501
             importlib.import_module(f"histoframe.workloads.{m}")
-        todo = dict(W._REGISTERED)
+        todo = {n: w for n, w in W._REGISTERED.items() if w.build.__module__.split(".")[-1] in args.module.split(",")}
     else:
         todo = W.registered()
     if args.names:
