@@ -58,22 +58,19 @@ def id_rank(df: DataFrame, group: Sequence[str], id_col: str, out: str = "rank",
 
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order_col: str, totals: Sequence[str], descending: bool = False, n_buckets: int = 1000
+    df: DataFrame, group: Sequence[str], order_col: str, totals: Sequence[str], descending: bool = False
 ) -> DataFrame:
-    """Running sums of ``totals`` along a numeric column, unique per group.
+    """Running sums of ``totals`` along a column whose values are unique per group.
 
-    Adds ``cum_<name>`` (this row and all before it). Bucket bounds are
-    approximate quantiles per group; the sums are exact whatever the bounds,
-    as long as both branches see the same ones, hence the cut lineage.
+    Adds ``cum_<name>`` (this row and all before it). Range partitioning on
+    (group, value) makes even buckets whatever the values look like; the
+    bucket number is written out with the rows, so both branches see the same.
     """
-    steps = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = cut_lineage(
-        df.groupBy(*group).agg(F.array_distinct(F.percentile_approx(order_col, steps, 10 * n_buckets)).alias("_bounds"))
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    keyed = cut_lineage(
+        df.repartitionByRange(*[F.col(g) for g in group], order).withColumn("_bucket", F.spark_partition_id())
     )
-    position = F.size(F.filter("_bounds", lambda b: b < F.col(order_col)))
-    keyed = df.join(bounds, list(group)).withColumn("_bucket", -position if descending else position).drop("_bounds")
     keys = [*group, "_bucket"]
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     local = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy(*keys).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
