@@ -120,8 +120,8 @@ def connected_roots(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) ->
     """(node, root): smallest node of each connected component.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014), which
-    converge in a logarithmic number of rounds. Each round is checkpointed
-    reliably; the stop test compares the number and a checksum of the edges.
+    converge in a logarithmic number of rounds, each checkpointed reliably,
+    until all edges point straight at a root.
     """
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -140,24 +140,24 @@ def connected_roots(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) ->
             )
         return moved.filter("src <> dst").distinct()
 
-    def fingerprint(pairs: DataFrame) -> tuple:
-        row = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        return tuple(row)
+    def settled(pairs: DataFrame) -> bool:
+        """Every source has one target and no target is itself a source."""
+        roles = pairs.select(F.inline(F.array(
+            F.struct(F.col("src").alias("node"), F.lit(1).alias("as_src"), F.lit(0).alias("as_dst")),
+            F.struct(F.col("dst").alias("node"), F.lit(0).alias("as_src"), F.lit(1).alias("as_dst")),
+        )))
+        per_node = roles.groupBy("node").agg(F.sum("as_src").alias("n_src"), F.max("as_dst").alias("is_dst"))
+        return per_node.filter("n_src > 1 OR (n_src = 1 AND is_dst = 1)").isEmpty()
 
-    pairs = cut_lineage(edges.filter("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
-    seen = fingerprint(pairs)
+    pairs = edges.filter("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
     for _ in range(max_rounds):
-        if not seen[0]:
-            break
         pairs = cut_lineage(star(star(pairs, True), False))
-        now = fingerprint(pairs)
-        if now == seen:
+        if settled(pairs):
             break
-        seen = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = pairs.groupBy("src").agg(F.min("dst").alias("root"))
-    return nodes.join(roots.withColumnRenamed("src", "node"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    roots = pairs.select(F.col("src").alias("node"), F.col("dst").alias("root"))
+    return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def label_runs(runs: DataFrame, diagonal: bool = False) -> DataFrame:
@@ -205,44 +205,49 @@ def fill_holes(runs: DataFrame, slides: DataFrame, max_area: DataFrame | None =
 # -------------------------------------------------------------- morphology
 
 
-def disk_halfwidths(radius: int) -> list[tuple[int, int]]:
-    """(dy, half width) of the rows of a disk."""
-    return [(dy, int((radius * radius - dy * dy) ** 0.5)) for dy in range(-radius, radius + 1)]
+def disk_rows(radius: Column) -> Column:
+    """(dy, half width) of every row of a disk."""
+    half = lambda dy: F.floor(F.sqrt((radius * radius - dy * dy).cast("double"))).cast("int")
+    return F.transform(F.sequence(-radius, radius), lambda dy: F.struct(dy.alias("dy"), half(dy).alias("w")))
+
 
+def dilate(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Dilation by each slide's disk of ``radius`` pixels.
 
-def dilate(runs: DataFrame, slides: DataFrame, radius: int) -> DataFrame:
-    """Dilation by a disk: a run is copied once per disk row, not per pixel."""
-    rows = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(w).alias("w")) for dy, w in disk_halfwidths(radius)])
-    spread = runs.select(*ROW, "x0", "x1", F.inline(rows)).select(
-        "slide_id", (F.col("y") + F.col("dy")).alias("y"), (F.col("x0") - F.col("w")).alias("x0"), (F.col("x1") + F.col("w")).alias("x1")
+    A run is copied once per disk row, not once per disk pixel.
+    """
+    spread = (
+        runs.select(*ROW, "x0", "x1")
+        .join(slides.select("slide_id", disk_rows(F.col("radius")).alias("_disk")), "slide_id")
+        .select(*ROW, "x0", "x1", F.inline("_disk"))
+        .select("slide_id", (F.col("y") + F.col("dy")).alias("y"), (F.col("x0") - F.col("w")).alias("x0"), (F.col("x1") + F.col("w")).alias("x1"))
     )
     return merge_runs(clip_runs(spread, slides))
 
 
-def close_runs(runs: DataFrame, slides: DataFrame, radius: int) -> DataFrame:
-    """Closing by a disk; what lies off the frame neither grows nor erodes."""
-    if radius <= 0:
-        return runs
-    grown = dilate(runs, slides, radius)
-    return complement(dilate(complement(grown, slides), slides, radius), slides)
-
+def close_runs(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Closing by each slide's disk; what lies off the frame neither grows nor erodes."""
+    grown = dilate(runs, slides)
+    return complement(dilate(complement(grown, slides), slides), slides)
 
-def cleanup(runs: DataFrame, slides: DataFrame, min_area: DataFrame, max_hole: DataFrame, radius: int) -> dict[str, DataFrame]:
-    """Small components off, small holes filled, light closing; every stage kept."""
-    stages = {"raw": runs}
-    stages["min_area"] = cut_lineage(remove_small(runs, min_area, diagonal=True))
-    stages["hole_fill"] = cut_lineage(fill_holes(stages["min_area"], slides, max_hole))
-    stages["closing"] = close_runs(stages["hole_fill"], slides, radius)
-    return stages
 
+def cleanup(runs: DataFrame, slides: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small components off, small holes filled, light closing: (mask, counts).
 
-def stage_components(stages: dict[str, DataFrame], slides: DataFrame) -> DataFrame:
-    """Component count of every clean-up stage."""
-    out = slides.select("slide_id")
-    for name, runs in stages.items():
-        counts = label_runs(runs, diagonal=True).groupBy("slide_id").agg(F.count_distinct("comp").alias(name))
-        out = out.join(counts, "slide_id", "left")
-    return out.fillna(0)
+    ``slides`` brings min_area, max_hole and radius in pixels. ``counts`` has
+    the components of every stage; the labels that pick small components
+    also give the first two counts.
+    """
+    raw = cut_lineage(label_runs(runs, diagonal=True))
+    big = component_area(raw).join(slides.select("slide_id", "min_area"), "slide_id").withColumn("_big", F.col("area") >= F.col("min_area"))
+    kept = raw.join(big.filter("_big").select("slide_id", "comp"), ["slide_id", "comp"], "left_semi").select(*ROW, "x0", "x1")
+    filled = cut_lineage(fill_holes(kept, slides, slides.select("slide_id", F.col("max_hole").alias("max_area"))))
+    closed = close_runs(filled, slides)
+    counts = big.groupBy("slide_id").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_big").alias("min_area"))
+    for name, stage in (("hole_fill", filled), ("closing", closed)):
+        n = label_runs(stage, diagonal=True).groupBy("slide_id").agg(F.count_distinct("comp").alias(name))
+        counts = counts.join(n, "slide_id", "left")
+    return closed, slides.select("slide_id").join(counts, "slide_id", "left").fillna(0)
 
 
 def region_stats(runs: DataFrame, diagonal: bool = True) -> DataFrame:

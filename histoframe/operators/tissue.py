@@ -23,20 +23,16 @@ def area_px(slides: DataFrame, um2: float, name: str) -> DataFrame:
     return slides.select("slide_id", px.alias(name))
 
 
-def upsample_nearest(coarse: DataFrame, slides: DataFrame, factor: int) -> DataFrame:
-    """Coarse mask pixels blown up to the native frame.
+def upsample_nearest(coarse: DataFrame, slides: DataFrame) -> DataFrame:
+    """Coarse mask pixels blown up to the native frame by each slide's ``factor``.
 
     Every coarse pixel writes its own block, so nothing joins the grid.
     """
-    step = lambda axis: F.explode(
-        F.sequence(F.col(axis) * factor, F.col(axis) * factor + factor - 1)
-    ).alias(axis)
-    blown = coarse.select("slide_id", step("y"), "x").select("slide_id", "y", step("x"))
-    return (
-        blown.join(slides.select("slide_id", "height", "width"), "slide_id")
-        .filter((F.col("y") < F.col("height")) & (F.col("x") < F.col("width")))
-        .select("slide_id", "y", "x")
-    )
+    f = F.col("factor")
+    block = lambda axis: F.explode(F.sequence(F.col(axis) * f, F.col(axis) * f + f - 1)).alias(axis)
+    sized = coarse.join(slides.select("slide_id", "height", "width", "factor"), "slide_id")
+    rows = sized.select("slide_id", "height", "width", "factor", block("y"), "x").filter("y < height")
+    return rows.select("slide_id", "width", "y", block("x")).filter("x < width").select("slide_id", "y", "x")
 
 
 def resize_nearest(coarse: DataFrame, slides: DataFrame, coarse_height: Column, coarse_width: Column) -> DataFrame:
@@ -56,41 +52,31 @@ def resize_nearest(coarse: DataFrame, slides: DataFrame, coarse_height: Column,
     return rows.select("slide_id", "y", span("x", F.col("_w"), F.col("width")))
 
 
-def tissue_region(islands: DataFrame, slides: DataFrame, max_bridge_um: float = MAX_BRIDGE_UM, factor: int | None = None) -> DataFrame:
+def tissue_region(islands: DataFrame, slides: DataFrame, max_bridge_um: float = MAX_BRIDGE_UM) -> DataFrame:
     """Region that encloses the islands, as runs on the native frame.
 
     The alpha shape of a point set is what a closing by a disk of the same
-    radius leaves (Edelsbrunner, Kirkpatrick, Seidel 1983); it runs on a
-    strided grid and is blown up again. A slide with fewer than four coarse
-    points keeps its islands. Slides are taken per (radius, factor) pair, of
-    which a cohort has as many as it has scanner resolutions.
+    radius leaves (Edelsbrunner, Kirkpatrick, Seidel 1983). Stride and
+    radius are columns, so slides of any size and resolution go through one
+    plan. A slide with fewer than four coarse points keeps its islands.
     """
     edge = F.greatest("height", "width") / WORKING_EDGE
-    f = F.lit(factor) if factor else F.greatest(F.lit(1), F.bround(edge).cast("int"))
-    plan = slides.withColumn("_f", f).withColumn(
-        "_r", F.floor(X.d(max_bridge_um) / (F.col("mpp") * F.col("_f")) / 2).cast("int")
-    )
+    plan = slides.withColumn("factor", F.greatest(F.lit(1), F.bround(edge).cast("int")))
+    plan = plan.withColumn("radius", F.floor(X.d(max_bridge_um) / (F.col("mpp") * F.col("factor")) / 2).cast("int"))
     pixels = R.to_pixels(islands)
-    out = None
-    for row in plan.select("_f", "_r").distinct().collect():
-        mine = plan.filter((F.col("_f") == row["_f"]) & (F.col("_r") == row["_r"])).drop("_f", "_r")
-        part = _region(pixels.join(mine.select("slide_id"), "slide_id", "left_semi"), mine, row["_f"], row["_r"])
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else islands
-
-
-def _region(islands: DataFrame, slides: DataFrame, factor: int, radius: int) -> DataFrame:
-    coarse_slides = slides.withColumn("height", F.ceil(F.col("height") / factor).cast("int")).withColumn(
-        "width", F.ceil(F.col("width") / factor).cast("int")
-    )
-    coarse = islands.filter((F.col("y") % factor == 0) & (F.col("x") % factor == 0)).select(
-        "slide_id", F.floor(F.col("y") / factor).cast("int").alias("y"), F.floor(F.col("x") / factor).cast("int").alias("x")
+    at = lambda a: F.floor(F.col(a) / F.col("factor")).cast("int").alias(a)
+    coarse = (
+        pixels.join(plan.select("slide_id", "factor"), "slide_id")
+        .filter("y % factor = 0 AND x % factor = 0")
+        .select("slide_id", at("y"), at("x"))
     )
     enough = coarse.groupBy("slide_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 4").select("slide_id")
-    grown = R.close_runs(R.to_runs(coarse.join(enough, "slide_id", "left_semi")), coarse_slides.join(enough, "slide_id", "left_semi"), radius)
-    filled = R.fill_holes(grown, coarse_slides.join(enough, "slide_id", "left_semi"), diagonal=False)
-    region = R.to_runs(upsample_nearest(R.to_pixels(filled), slides, factor)) if factor > 1 else filled
-    return region.unionByName(R.to_runs(islands.join(enough, "slide_id", "left_anti")))
+    large = plan.join(enough, "slide_id", "left_semi")
+    shrunk = [F.ceil(F.col(a) / F.col("factor")).cast("int").alias(a) for a in ("height", "width")]
+    small_frame = large.select("slide_id", *shrunk, "radius")
+    closed = R.close_runs(R.to_runs(coarse.join(enough, "slide_id", "left_semi")), small_frame)
+    region = upsample_nearest(R.to_pixels(R.fill_holes(closed, small_frame, diagonal=False)), large)
+    return R.to_runs(region.unionByName(pixels.join(enough, "slide_id", "left_anti").select("slide_id", "y", "x")))
 
 
 def otsu_mask(image: DataFrame, slides: DataFrame, factor: float) -> DataFrame:

@@ -97,31 +97,31 @@ DISK2 = "(SELECT a.i - 2 AS dy, b.i - 2 AS dx FROM range(5) a(i), range(5) b(i)
         SELECT * FROM frame EXCEPT SELECT slide_id, CAST(y + dy AS INT), CAST(x + dx AS INT) FROM off, {DISK2}""",
 )
 def morph_close(spark, sf):
-    return R.to_pixels(R.close_runs(_runs(spark, sf), I.slides(spark, sf), 2))
+    return R.to_pixels(R.close_runs(_runs(spark, sf), I.slides(spark, sf).withColumn("radius", F.lit(2))))
 
 
-def _stages(spark, sf):
-    return R.cleanup(R.to_runs(_thick(spark, sf)), I.slides(spark, sf), _min(spark, sf, 9), _min(spark, sf, 6, "max_area"), 1)
+def _cleanup(spark, sf):
+    limits = {"min_area": F.lit(9), "max_hole": F.lit(6), "radius": F.lit(1)}
+    return R.cleanup(R.to_runs(_thick(spark, sf)), I.slides(spark, sf).withColumns(limits))
 
 
 @workload("mask_cleanup")
 def mask_cleanup(spark, sf):
-    return R.to_pixels(_stages(spark, sf)["closing"])
-
-
-@workload("mask_cleanup_counts")
-def mask_cleanup_counts(spark, sf):
-    return R.stage_components(_stages(spark, sf), I.slides(spark, sf))
+    """Clean mask with the component count of each stage on every pixel's slide."""
+    mask, counts = _cleanup(spark, sf)
+    return R.to_pixels(mask).groupBy("slide_id").agg(F.count(F.lit(1)).alias("area")).join(counts, "slide_id")
 
 
 @workload(
     "region_stats",
-    f"""WITH RECURSIVE {THICK}, {comps_sql('c8', 'thick', N8)}, b AS (
-            SELECT c.*, (SELECT COUNT(*) FROM thick t WHERE t.slide_id = c.slide_id AND abs(t.y - c.y) + abs(t.x - c.x) = 1) < 4 AS edge FROM c8 c)
-        SELECT slide_id, COUNT(*) AS area, MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1, COUNT(*) FILTER (edge) AS n_boundary FROM b GROUP BY slide_id, comp""",
+    f"""WITH RECURSIVE {comps_sql('c8', 'tissue_px', N8)},
+        full4 AS (SELECT c.slide_id, c.y, c.x, COUNT(*) AS n FROM c8 c, {N4}, tissue_px t
+                  WHERE t.slide_id = c.slide_id AND t.y = c.y + dy AND t.x = c.x + dx GROUP BY 1, 2, 3)
+        SELECT c8.slide_id, COUNT(*) AS area, MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1, COUNT(*) FILTER (COALESCE(n, 0) < 4) AS n_boundary
+        FROM c8 LEFT JOIN full4 USING (slide_id, y, x) GROUP BY slide_id, comp""",
 )
 def region_stats(spark, sf):
-    return R.region_stats(R.to_runs(_thick(spark, sf))).drop("comp")
+    return R.region_stats(_runs(spark, sf)).drop("comp")
 
 
 @workload(
@@ -183,12 +183,12 @@ def detect_islands(spark, sf):
 @workload(
     "tile_vote",
     f"""WITH {grid_sql(SIZE, STRIDE)} SELECT slide_id, y, x, ROUND(AVG(p), 6) AS vote, AVG(p) >= 0.5::DOUBLE AS tissue FROM (
-            SELECT p.slide_id, p.y, p.x, ((v + patch_id * 7000) % 50000) / 50000 AS p FROM pixels p JOIN grid g ON {inside(SIZE)} WHERE p.c = 1)
+            SELECT p.slide_id, p.y, p.x, ((v // 1000 + patch_id * 7) % 64) / 64 AS p FROM pixels p JOIN grid g ON {inside(SIZE)} WHERE p.c = 1)
         GROUP BY 1, 2, 3""",
 )
 def tile_vote(spark, sf):
     tiles = G.with_patches(I.pixels(spark, sf).filter("c = 1"), I.slides(spark, sf), SIZE, STRIDE)
-    return T.tile_vote(tiles.withColumn("p", ((F.col("v") + F.col("patch_id") * 7000) % 50000) / 50000)).withColumn("vote", F.round("vote", 6))
+    return T.tile_vote(tiles.withColumn("p", ((F.floor(F.col("v") / 1000) + F.col("patch_id") * 7) % 64) / 64)).withColumn("vote", F.round("vote", 6))
 
 
 @workload(
