@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoframe.functions import numeric as X
-from histoframe.session import cut_lineage
+from histoframe.session import cut_lineage, materialize
 
 # Neighbours per row and resolution of the clustering.
 N_NEIGHBOURS = 15
@@ -173,7 +173,7 @@ def communities(edges: DataFrame, resolution: float = RESOLUTION, max_rounds: in
     checkpointed; a level ends when under one percent move.
     """
     w = edges if "w" in edges.columns else edges.withColumn("w", X.d(1))
-    graph = cut_lineage(w.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double")))
+    graph = materialize(w.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double")), "graph")
     m2 = graph.agg(F.sum("w")).first()[0] or 1.0
     assigned = graph.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
     for _ in range(max_levels):

@@ -57,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Written table in the shared folder, read back: one pass over the input."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

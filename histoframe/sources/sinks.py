@@ -51,8 +51,12 @@ def write_splits(splits: DataFrame, path: str) -> None:
 
 
 def write_features(features: DataFrame, meta: DataFrame, path: str) -> None:
-    """Feature set and its provenance; a rewrite replaces only its own sets."""
-    for df, part in ((features, "features"), (meta.withColumn("schema_version", F.lit(FEATURE_SCHEMA_VERSION)), "meta")):
+    """Feature set and its provenance; a rewrite replaces only its own sets.
+
+    Range partitioning puts a small slide into one file and splits a large one.
+    """
+    spread = features.repartitionByRange(*FEATURE_KEYS, "patch_id")
+    for df, part in ((spread, "features"), (meta.withColumn("schema_version", F.lit(FEATURE_SCHEMA_VERSION)), "meta")):
         df.write.partitionBy(*FEATURE_KEYS).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{part}")
 
 

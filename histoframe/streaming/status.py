@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from histoframe.operators.status import TASK
 from histoframe.session import scratch_path
@@ -55,6 +55,7 @@ def run_to_table(result: DataFrame, keys: list[str], name: str) -> DataFrame:
         result.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
-    rows = spark.read.option("basePath", path).schema(result.schema.add("batch", "int")).parquet(path)
+    schema = StructType([*result.schema.fields, StructField("batch", IntegerType())])
+    rows = spark.read.option("basePath", path).schema(schema).parquet(path)
     rest = [c for c in result.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_v")).select(*keys, "_v.*")
