@@ -164,7 +164,7 @@ def _move_round(edges: DataFrame, state: DataFrame, m2: float, resolution: float
     return best.select("node", F.when(move, -F.col("b.neg")).otherwise(F.col("old")).alias("label"), "k", move.alias("moved"))
 
 
-def communities(edges: DataFrame, resolution: float = RESOLUTION, max_rounds: int = 8, max_levels: int = 4) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = RESOLUTION, max_rounds: int = 6, max_levels: int = 3) -> DataFrame:
     """(node, label): modularity communities of an undirected graph.
 
     Louvain-style levels: label moves by gain, then every community becomes

@@ -53,14 +53,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), "histoframe", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     """Written table in the shared folder, read back: one pass over the input."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Cut a plan's history so that it survives the loss of any executor.
+
+    A written table rather than ``checkpoint()``: an eager checkpoint
+    computes its input twice, a table once, and readers of the table prune
+    columns.
+    """
+    return materialize(df)
