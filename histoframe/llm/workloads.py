@@ -30,3 +30,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op8_bpe_forced_boundaries")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from histoframe.llm.bpe import bpe_encode, digests
+
+    return digests(bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
