@@ -39,3 +39,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.bpe import bpe_encode, digests
 
     return digests(bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@llm_query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.language import held_out, identify, train, training_rows
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, train(training_rows(docs)))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
