@@ -30,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histoframe.llm.shingles import WIDTH, WordHasher, shingle_set, words
+from histoframe.llm.batches import steps
+from histoframe.llm.shingles import WIDTH, shingle_sets
 from histoframe.operators.runs import connected_roots
 from histoframe.session import cut_lineage, materialize
 
@@ -46,9 +47,8 @@ def shingle_tables(docs: DataFrame, width: int, keep: int | None) -> DataFrame:
     """(doc_id, n, sig, vals) of (doc_id, text): set size, signature of the set, its ``keep`` smallest values (all, if None)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in batches:
-            sets = [shingle_set(words(t), hasher, width) for t in batch.column(1).to_pylist()]
+        for batch in steps(batches, "text"):
+            sets = shingle_sets(batch.column(1), width)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -4,74 +4,135 @@ A word is a run of bytes other than space and ``\\x09-\\x0D``; A-Z are lower
 case first. A document's set holds its distinct shingles of ``width`` words;
 with fewer words the whole sequence is the only shingle; without words (or
 without a text) the set is empty.
+
+Whole Arrow columns are hashed at once, without a Python object per word.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words a shingle spans unless a caller says otherwise.
 WIDTH = 5
 
-#: Distinct words a task remembers the hash of before it starts anew.
-_MEMO = 400_000
+#: Bytes hashed in one go; cut at white space, so a longer word goes whole.
+_CHUNK = 1 << 20
 
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-
-def words(text: str | None) -> list[bytes]:
-    """Lower-cased words of a text, as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def mix(values: np.ndarray) -> np.ndarray:
     """Finalising permutation of 64-bit values, so that order by value is order at random."""
     x = values.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= _MIX_1
-    x ^= x >> np.uint64(27)
-    x *= _MIX_2
+    with np.errstate(over="ignore"):
+        x ^= x >> np.uint64(30)
+        x *= _MIX_1
+        x ^= x >> np.uint64(27)
+        x *= _MIX_2
     return x ^ (x >> np.uint64(31))
 
 
-class WordHasher:
-    """64-bit hashes of words, remembered per task up to a bound."""
-
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
-
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > _MEMO:
-            known.clear()
-        out = list(map(known.get, tokens))
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    w = tokens[i]
-                    out[i] = known.get(w)
-                    if out[i] is None:
-                        out[i] = known[w] = xxhash.xxh64_intdigest(w)
-        return np.array(out, dtype=np.uint64)
-
-
-def shingle_hashes(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    """Fingerprint of every shingle in order, repeats included."""
-    n = len(hashes)
-    if n == 0:
-        return np.empty(0, np.int64)
-    span = min(width, n)
-    total = np.zeros(n - span + 1, np.uint64)
-    factor = np.uint64(1)
+def _byte_values() -> np.ndarray:
+    """A 64-bit value for each byte: one for both cases of a letter, zero for white space."""
+    values = mix(np.arange(1, 257, dtype=np.uint64))
+    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    values[_SPACE] = 0
+    return values
+
+
+_VALUES = _byte_values()
+_powers = np.ones(1, np.uint64)
+
+
+def _powers_to(n: int) -> np.ndarray:
+    """Powers of the odd base, at least ``n`` of them."""
+    global _powers
+    if len(_powers) < n:
+        with np.errstate(over="ignore"):
+            steps = np.full(1 << (n - 1).bit_length(), _ODD)
+            steps[0] = 1
+            _powers = np.multiply.accumulate(steps)
+    return _powers
+
+
+def _hash_words(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word of a byte array; a word also starts where ``fresh``."""
+    solid = ~_SPACE[data]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1] | fresh[1:]
+    starts = np.flatnonzero(first)
+    if len(starts) == 0:
+        return starts, np.empty(0, np.uint64)
+    data = data[starts[0] :]
+    gaps = np.diff(np.append(starts, starts[0] + len(data)))
+    within = np.arange(len(data), dtype=np.int64) - np.repeat(starts - starts[0], gaps)
+    with np.errstate(over="ignore"):
+        terms = _VALUES[data] * _powers_to(int(gaps.max()))[within]
+        return starts, mix(np.add.reduceat(terms, starts - starts[0]))
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a text column in order, and where each row's begin and end (rows + 1 bounds)."""
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    starts, hashes, at = [], [], 0
+    while at < len(text):
+        stop = at + _CHUNK
+        while stop < len(text) and not _SPACE[text[stop - 1]]:
+            rest = text[stop : stop + _CHUNK]
+            stop += int(np.argmax(_SPACE[rest])) + 1 if _SPACE[rest].any() else len(rest)
+        stop = min(stop, len(text))
+        fresh = np.zeros(stop - at, bool)
+        fresh[offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at] = True
+        s, h = _hash_words(text[at:stop], fresh)
+        starts.append(s + at)
+        hashes.append(h)
+        at = stop
+    if not starts:
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
+
+
+def _combine(hashes: np.ndarray, span: int) -> np.ndarray:
+    """Fingerprint of every run of ``span`` words."""
+    n = len(hashes) - span + 1
+    total = np.full(n, np.uint64(span))
+    factor = _ODD
     with np.errstate(over="ignore"):
         for i in range(span):
-            total += hashes[i : n - span + 1 + i] * factor
-            factor = factor * _MULTIPLIER + np.uint64(2 * i + 2)
-        return mix(total + np.uint64(span)).view(np.int64)
+            total += hashes[i : i + n] * factor
+            factor = factor * _ODD + np.uint64(2 * i + 2)
+    return mix(total).view(np.int64)
+
+
+def shingle_rows(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+    """Each text's shingle fingerprints in order, repeats included."""
+    hashes, bounds = word_hashes(column)
+    every = _combine(hashes, width) if len(hashes) >= width else np.empty(0, np.int64)
+    rows = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if b - a >= width:
+            rows.append(every[a : b - width + 1])
+        else:
+            rows.append(_combine(hashes[a:b], b - a) if b > a else every[:0])
+    return rows
+
+
+def shingle_sets(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle fingerprints."""
+    return [distinct(row) for row in shingle_rows(column, width)]
 
 
-def shingle_set(tokens: list[bytes], hasher: WordHasher, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct fingerprints of a document's shingles."""
-    return np.unique(shingle_hashes(hasher(tokens), width))
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    out = np.sort(values)
+    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
