@@ -23,8 +23,10 @@ _CHUNK = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words: white space, or everything in ASCII but letters and digits.
+BLANKS = np.zeros(256, bool)
+BLANKS[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -39,10 +41,9 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def _byte_values() -> np.ndarray:
-    """A 64-bit value for each byte: one for both cases of a letter, zero for white space."""
+    """A 64-bit value for each byte, one for both cases of a letter."""
     values = mix(np.arange(1, 257, dtype=np.uint64))
     values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
-    values[_SPACE] = 0
     return values
 
 
@@ -61,9 +62,9 @@ def _powers_to(n: int) -> np.ndarray:
     return _powers
 
 
-def _hash_words(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(data: np.ndarray, fresh: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of a byte array; a word also starts where ``fresh``."""
-    solid = ~_SPACE[data]
+    solid = ~separators[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1] | fresh[1:]
     starts = np.flatnonzero(first)
@@ -73,11 +74,11 @@ def _hash_words(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.nda
     gaps = np.diff(np.append(starts, starts[0] + len(data)))
     within = np.arange(len(data), dtype=np.int64) - np.repeat(starts - starts[0], gaps)
     with np.errstate(over="ignore"):
-        terms = _VALUES[data] * _powers_to(int(gaps.max()))[within]
+        terms = np.where(separators, 0, _VALUES)[data] * _powers_to(int(gaps.max()))[within]
         return starts, mix(np.add.reduceat(terms, starts - starts[0]))
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, separators: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a text column in order, and where each row's begin and end (rows + 1 bounds)."""
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = column.buffers()
@@ -87,13 +88,13 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, hashes, at = [], [], 0
     while at < len(text):
         stop = at + _CHUNK
-        while stop < len(text) and not _SPACE[text[stop - 1]]:
+        while stop < len(text) and not separators[text[stop - 1]]:
             rest = text[stop : stop + _CHUNK]
-            stop += int(np.argmax(_SPACE[rest])) + 1 if _SPACE[rest].any() else len(rest)
+            stop += int(np.argmax(separators[rest])) + 1 if separators[rest].any() else len(rest)
         stop = min(stop, len(text))
         fresh = np.zeros(stop - at, bool)
         fresh[offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at] = True
-        s, h = _hash_words(text[at:stop], fresh)
+        s, h = _hash_words(text[at:stop], fresh, separators)
         starts.append(s + at)
         hashes.append(h)
         at = stop
@@ -114,9 +115,9 @@ def _combine(hashes: np.ndarray, span: int) -> np.ndarray:
     return mix(total).view(np.int64)
 
 
-def shingle_rows(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+def shingle_rows(column: pa.Array, width: int = WIDTH, separators: np.ndarray = BLANKS) -> list[np.ndarray]:
     """Each text's shingle fingerprints in order, repeats included."""
-    hashes, bounds = word_hashes(column)
+    hashes, bounds = word_hashes(column, separators)
     every = _combine(hashes, width) if len(hashes) >= width else np.empty(0, np.int64)
     rows = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -127,9 +128,9 @@ def shingle_rows(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
     return rows
 
 
-def shingle_sets(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, width: int = WIDTH, separators: np.ndarray = BLANKS) -> list[np.ndarray]:
     """Each text's sorted distinct shingle fingerprints."""
-    return [distinct(row) for row in shingle_rows(column, width)]
+    return [distinct(row) for row in shingle_rows(column, width, separators)]
 
 
 def distinct(values: np.ndarray) -> np.ndarray:

@@ -48,3 +48,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, train(training_rows(docs)))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+#: Exact containment of every item's shingles, on distinct shingles of whole texts.
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d WHERE len(w) > 0),
+bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM b WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_common FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_common, n_common / n_item AS containment
+FROM m JOIN n USING (item_id) WHERE 100 * n_common >= 75 * n_item
+"""
+
+
+@llm_query("op10_benchmark_decontamination", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.decontaminate import contained_items
+
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
