@@ -204,7 +204,7 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, *, id_col: str = "doc_id", i
     return lists.mapInArrow(run, "doc_id long, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *carried: str) -> DataFrame:
     """Number of tokens and SHA-256 of ids and decoded text."""
     listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encoded.select(
@@ -212,4 +212,5 @@ def digests(encoded: DataFrame) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *carried,
     )

@@ -182,3 +182,9 @@ def contained_items(
     met = met.filter(100 * F.col("n_common") >= percent * F.col("n_item")).withColumn("containment", F.col("n_common") / F.col("n_item"))
     best = met.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_item", "n_common")).alias("m"))
     return best.select("doc_id", "item_id", "m.n_item", "m.n_common", "m.containment")
+
+
+def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """``docs`` without those that contain an item; rows without an id stay."""
+    found = materialize(contained_items(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    return docs.join(found, F.col(options.get("id_col", "doc_id")) == F.col("_leak"), "left_anti")

@@ -218,3 +218,17 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.filter(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
+def with_known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, unchanged, whose text has a language with a probability of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in steps(batches, text_col):
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            found = [model.predict(t) for t in texts]
+            yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -204,3 +204,19 @@ def near_duplicates(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
         component.alias("component_id"), (F.col("doc_id") == component).alias("kept"),
     )
+
+
+def without_copies(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id.
+
+    Of rows that repeat an id one stays; rows without an id stay.
+    """
+    found = materialize(near_duplicates(docs, **options).select("doc_id", "kept"), "copies")
+    id_col = options.get("id_col", "doc_id")
+    copies = found.filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
+    left = docs.join(copies, F.col(id_col) == F.col("_copy"), "left_anti")
+    repeated = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_copy")), "repeated")
+    if repeated.isEmpty():
+        return left
+    one = left.join(repeated, F.col(id_col) == F.col("_copy"), "left_semi").dropDuplicates([id_col])
+    return left.join(repeated, F.col(id_col) == F.col("_copy"), "left_anti").unionByName(one)

@@ -68,3 +68,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.decontaminate import contained_items
 
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Secret of the registered query; a deployment passes its own.
+SURROGATE_KEY = "registered query"
+
+
+@llm_query("op9_pii_surrogates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.surrogates import KINDS, replace_personal_data
+
+    found = replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", *[f"pii_{kind}" for kind in KINDS])
