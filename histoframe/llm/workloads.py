@@ -80,3 +80,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
     return found.select("doc_id", "text", *[f"pii_{kind}" for kind in KINDS])
+
+
+@llm_query("op3_permutation_ann")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from histoframe.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
