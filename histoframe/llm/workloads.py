@@ -89,3 +89,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@llm_query("op7_secret_ledger")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.secrets import find_secrets, listed
+
+    found, _ = find_secrets(table(spark, sf_dir, "documents"))
+    return listed(found)
