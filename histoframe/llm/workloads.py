@@ -97,3 +97,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found, _ = find_secrets(table(spark, sf_dir, "documents"))
     return listed(found)
+
+
+@llm_query("op4_tag_path_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.html_text import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
