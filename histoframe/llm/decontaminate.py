@@ -30,8 +30,8 @@ from histoframe.session import materialize
 
 #: MinHash values of an item and of a window.
 HASHES = 48
-#: 64-bit words of the Bloom filter; fixed, so it never outgrows a broadcast.
-BLOOM_WORDS = 1 << 16
+#: Bits a key gets in the Bloom filter, probes of a key, and the most 64-bit words (32 MB), so that it never outgrows a broadcast.
+BLOOM_BITS, PROBES, MAX_WORDS = 32, 4, 1 << 22
 
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)).astype(np.uint32)
 _XOR, _FACTOR = _SEEDS[:HASHES], _SEEDS[HASHES:] | np.uint32(1)
@@ -49,9 +49,19 @@ def _keys(level: int, j: int, lows: np.ndarray) -> np.ndarray:
     return (lows.astype(np.uint64) | np.uint64(level << 48 | j << 40)).view(np.int64)
 
 
-def _bloom_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(keys.view(np.uint64))
-    return (h % np.uint64(BLOOM_WORDS)).astype(np.int64), np.uint64(1) << (h >> np.uint64(58))
+def _bloom_bits(keys: np.ndarray, probe: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word and bit of each key's probe."""
+    h = mix(keys.view(np.uint64) ^ np.uint64(probe << 56))
+    return (h & np.uint64(words - 1)).astype(np.int64), np.uint64(1) << (h >> np.uint64(58))
+
+
+def _passing(keys: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+    """Positions of the keys that the filter may hold."""
+    at = np.arange(len(keys))
+    for probe in range(PROBES):
+        words, bits = _bloom_bits(keys[at], probe, len(bloom))
+        at = at[bloom[words] & bits != 0]
+    return at
 
 
 def level_of(size: int) -> int:
@@ -84,16 +94,19 @@ def item_table(items: DataFrame, width: int) -> DataFrame:
 
 
 def bloom_filter(items: DataFrame) -> np.ndarray:
-    """Bit set of all items' keys, put together word by word in Spark (at most ``BLOOM_WORDS`` rows come back)."""
+    """Bit set of all items' keys, put together word by word in Spark (at most ``MAX_WORDS`` rows come back)."""
+    n = items.count() * HASHES
+    words = min(MAX_WORDS, 1 << max(8, (n * BLOOM_BITS // 64).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, bits = _bloom_bits(batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits.view(np.int64))], names=["word", "bits"])
+            for probe in range(PROBES):
+                at, bits = _bloom_bits(batch.column(0).to_numpy(), probe, words)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
     bits = items.select(F.explode("keys").alias("key")).mapInArrow(run, "word long, bits long")
     found = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(BLOOM_WORDS, np.uint64)
+    out = np.zeros(words, np.uint64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
 
@@ -122,8 +135,7 @@ def window_keys(rows: list[np.ndarray], levels: list[int], bloom: np.ndarray) ->
                 same = owner[ahead:] == owner[:-ahead]
                 np.minimum(lows[:-ahead], block_lows[ahead:], out=lows[:-ahead], where=same)
             keys = _keys(level, j, lows)
-            words, bits = _bloom_bits(keys)
-            hit = np.flatnonzero(bloom[words] & bits)
+            hit = _passing(keys, bloom)
             hits.append(keys[hit])
             owners.append(owner[hit])
     hits, owners = np.concatenate(hits), np.concatenate(owners)
