@@ -104,3 +104,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.html_text import extract_main_text
 
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@llm_query("op1_collinear_passages")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
