@@ -111,3 +111,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.passages import repeated_passages
 
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op6_license_compression")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
