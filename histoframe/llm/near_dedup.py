@@ -67,6 +67,16 @@ def _sizes_fit(percent: int, a: str = "na", b: str = "nb"):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _long_overlap_fits(percent: int, n: str, n_long: str, m: str, m_long: str):
+    """Sizes at which two classes that share no value of a short list can reach the threshold.
+
+    All they can share are values of long lists, so the intersection is at
+    most the smaller number of those. (Pairs that share a value of a short
+    list are found there.)
+    """
+    return (100 + percent) * F.least(n_long, m_long) >= percent * (F.col(n) + F.col(m))
+
+
 def _short_list_pairs(postings: DataFrame, percent: int, *carried: str) -> DataFrame:
     """Pairs a < b out of lists of (v, rep, n, ...), one row per shared value."""
     left = postings.select("v", F.col("rep").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}_a") for c in carried])
@@ -141,9 +151,10 @@ def heavy_lists(full: DataFrame, heavy: DataFrame, percent: int, long_list: int)
 
 def head_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of every class in a long list with the heads of its size band and of both next to it."""
-    heads = long_lists.groupBy("v", "band").agg(F.max_by(F.struct(F.col("rep").alias("h"), F.col("n").alias("nh")), F.struct("n_long", -F.col("rep"))).alias("head"))
-    near = heads.select("v", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "head.h", "head.nh")
-    met = long_lists.join(near, ["v", "band"]).filter((F.col("rep") != F.col("h")) & _sizes_fit(percent, "n", "nh"))
+    heads = long_lists.groupBy("v", "band").agg(F.max_by(F.struct(F.col("rep").alias("h"), F.col("n").alias("nh"), F.col("n_long").alias("lh")), F.struct("n_long", -F.col("rep"))).alias("head"))
+    near = heads.select("v", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "head.h", "head.nh", "head.lh")
+    fits = _sizes_fit(percent, "n", "nh") & _long_overlap_fits(percent, "n", "n_long", "nh", "lh")
+    met = long_lists.join(near, ["v", "band"]).filter((F.col("rep") != F.col("h")) & fits)
     return met.select(F.least("rep", "h").alias("a"), F.greatest("rep", "h").alias("b")).distinct()
 
 
@@ -153,8 +164,9 @@ def rest_pairs(long_lists: DataFrame, roots: DataFrame, percent: int) -> DataFra
     sizes = placed.groupBy("v", "root").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("v").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     placed = placed.join(largest, "v")
-    outside = placed.filter("root <> main").select("v", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    met = outside.join(placed, "v").filter((F.col("root") != F.col("rx")) & _sizes_fit(percent, "n", "nx"))
+    outside = placed.filter("root <> main").select("v", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("n_long").alias("lx"), F.col("root").alias("rx"))
+    fits = _sizes_fit(percent, "n", "nx") & _long_overlap_fits(percent, "n", "n_long", "nx", "lx")
+    met = outside.join(placed, "v").filter((F.col("root") != F.col("rx")) & fits)
     return met.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
 
 
