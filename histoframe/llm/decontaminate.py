@@ -114,7 +114,7 @@ def bloom_filter(items: DataFrame) -> np.ndarray:
 def window_keys(rows: list[np.ndarray], levels: list[int], bloom: np.ndarray) -> list[np.ndarray]:
     """Each document's distinct MinHash keys, over all windows, that pass the filter."""
     lengths = np.array([len(r) for r in rows], np.int64)
-    if lengths.sum() == 0:
+    if not levels or lengths.sum() == 0:
         return [np.empty(0, np.int64) for _ in rows]
     low = (np.concatenate(rows).view(np.uint64) >> np.uint64(32)).astype(np.uint32)
     first = np.cumsum(lengths) - lengths
