@@ -111,21 +111,21 @@ def match_artifacts(slides: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 
 def rasterize_polygons(vertices: DataFrame, slides: DataFrame, keys: Sequence[str] = ("slide_id",)) -> DataFrame:
-    """Pixels inside polygons, holes cut out, later polygons last.
+    """Pixels inside polygons, drawn ring by ring in file order.
 
     ``vertices`` has the keys, feature, part, ring, vertex, x, y. Every edge
     is expanded to the scan lines (pixel centres) it crosses; crossings of
-    one polygon on one line pair up in x order, which cuts holes by parity;
-    each pair becomes a run of pixels. A later polygon only adds pixels or,
-    through its own holes, leaves earlier ones as they are.
+    one ring on one line pair up in x order; each pair becomes a run of
+    pixels. An outline (ring 0) sets its pixels and a hole clears them,
+    whatever drew them before, so the last ring over a pixel decides.
     """
     from pyspark.sql import Window
 
-    poly = [*keys, "feature", "part"]
-    ring = Window.partitionBy(*poly, "ring").orderBy("vertex")
-    whole = Window.partitionBy(*poly, "ring").orderBy("vertex").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    poly = [*keys, "feature", "part", "ring"]
+    ring = Window.partitionBy(*poly).orderBy("vertex")
+    whole = Window.partitionBy(*poly).orderBy("vertex").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = vertices.select(
-        *poly, "ring", F.col("x").alias("x0"), F.col("y").alias("y0"),
+        *poly, F.col("x").alias("x0"), F.col("y").alias("y0"),
         F.coalesce(F.lead("x").over(ring), F.first("x").over(whole)).alias("x1"),
         F.coalesce(F.lead("y").over(ring), F.first("y").over(whole)).alias("y1"),
     ).filter("y0 <> y1")
@@ -145,6 +145,8 @@ def rasterize_polygons(vertices: DataFrame, slides: DataFrame, keys: Sequence[st
         .join(slides.select("slide_id", "height", "width"), "slide_id")
         .filter((first <= last) & F.col("y").between(0, F.col("height") - 1))
     )
-    return runs.select(*keys, "y", F.explode(F.sequence(first, last)).alias("x")).distinct()
+    drawn = runs.select(*poly, "y", F.explode(F.sequence(first, last)).alias("x"))
+    top = F.max_by(F.col("ring") == 0, F.struct("feature", "part", "ring"))
+    return drawn.groupBy(*keys, "y", "x").agg(top.alias("_set")).filter("_set").drop("_set")
 
 

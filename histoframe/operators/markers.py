@@ -469,15 +469,15 @@ def effective_name() -> Column:
 def require_patterns(df: DataFrame, name: Column, patterns: Sequence[str]) -> DataFrame:
     """Fail the query when a pattern matches no name at all.
 
-    The check is one aggregate row (a count per pattern) read as a scalar
-    subquery, so it runs inside the job instead of as a driver-side loop.
+    The check is one aggregate row (a count per pattern) read as one scalar
+    subquery, so it runs inside the job and adds one scan.
     """
-    out = df
-    for pattern in patterns:
-        hits = df.select(F.count_if(N.glob_any(name, [pattern]))).scalar()
-        fail = F.raise_error(F.lit(f"selection names {pattern!r}, which matches no marker")).cast("boolean")
-        out = out.filter(F.when(hits == 0, fail).otherwise(F.lit(True)))
-    return out
+    if not patterns:
+        return df
+    hits = F.array(*[F.struct(F.lit(p).alias("pattern"), F.count_if(N.glob_any(name, [p])).alias("n")) for p in patterns])
+    lost = df.select(F.array_join(F.transform(F.filter(hits, lambda h: h.n == 0), lambda h: h.pattern), ", ")).scalar()
+    fail = F.raise_error(F.concat(F.lit("selection names what matches no marker: "), lost)).cast("boolean")
+    return df.filter(F.when(lost != "", fail).otherwise(F.lit(True)))
 
 
 def unmatched_patterns(df: DataFrame, name: Column, patterns: Sequence[str]) -> DataFrame:
@@ -715,11 +715,34 @@ def readiness(marker_map: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def marker_glob_select(channels: DataFrame, selection: Selection) -> DataFrame:
-    """Kept channels of each slide picked by globs; every glob must match."""
+def selection_problems(channels: DataFrame, selection: Selection) -> DataFrame:
+    """(slide_id, problem): globs that match nothing in a slide, and slides left without a channel.
+
+    One pass over the channels with a count per glob.
+    """
+    patterns = (*selection.include, *selection.exclude)
     kept = kept_channels(channels)
-    checked = require_patterns(kept, F.lower("marker"), (*selection.include, *selection.exclude))
-    return checked.filter(in_selection(F.col("marker"), selection))
+    hits = [F.count_if(N.glob_any(F.lower("marker"), [p])).alias(f"_p{i}") for i, p in enumerate(patterns)]
+    counts = kept.groupBy("slide_id").agg(*hits, F.count_if(in_selection(F.col("marker"), selection)).alias("_picked"))
+    found = [F.when(F.col(f"_p{i}") == 0, F.lit(f"{p} matches no marker")) for i, p in enumerate(patterns)]
+    found.append(F.when(F.col("_picked") == 0, F.lit("the selection leaves no channel")))
+    return counts.select("slide_id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("problem"))
+
+
+def marker_glob_select(channels: DataFrame, selection: Selection, strict: bool = True) -> DataFrame:
+    """Kept channels of each slide picked by globs.
+
+    With ``strict`` a slide in which a glob matches nothing, or of which no
+    channel is left, is an error.
+    """
+    picked = kept_channels(channels).filter(in_selection(F.col("marker"), selection))
+    if not strict:
+        return picked
+    problems = selection_problems(channels, selection).groupBy("slide_id").agg(F.min("problem").alias("problem"))
+    slides = channels.select("slide_id").distinct().join(problems, "slide_id", "left")
+    told = F.concat(F.lit("slide "), F.col("slide_id").cast("string"), F.lit(": "), F.col("problem"))
+    checked = F.when(F.col("problem").isNull(), F.col("slide_id")).otherwise(F.raise_error(told))
+    return slides.select(checked.alias("slide_id")).join(picked, "slide_id").select(*channels.columns)
 
 
 def required_missing(panel: DataFrame, required: Sequence[str]) -> DataFrame:

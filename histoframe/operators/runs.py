@@ -88,12 +88,14 @@ def union_runs(*masks: DataFrame) -> DataFrame:
 
 
 def _run_id() -> Column:
-    """One number per run: 23 bits of slide, 20 each of row and column."""
-    return (
+    """One number per run: 23 bits of slide, 20 each of row and column; values beyond them are an error."""
+    number = (
         F.shiftleft(F.col("slide_id").cast("bigint"), 40)
         + F.shiftleft(F.col("y").cast("bigint"), 20)
         + F.col("x0").cast("bigint")
     )
+    fits = F.col("slide_id").between(0, (1 << 23) - 1) & F.col("y").between(0, (1 << 20) - 1) & F.col("x0").between(0, (1 << 20) - 1)
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("run outside the range of slide ids or frame sizes")))
 
 
 def run_edges(runs: DataFrame, diagonal: bool) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from histoframe.functions import names as N
 from histoframe.functions import numeric as X
+from histoframe.session import materialize
 
 
 def region_keys(mask: DataFrame, slides: DataFrame) -> DataFrame:
@@ -28,18 +29,19 @@ def novel_partials(pixels: DataFrame, mask: DataFrame, slides: DataFrame, target
     """(n, mean, var) of each target channel over the tissue, zeros included.
 
     ``targets`` is (slide_id, idx, marker). Only non-zero tissue pixels are
-    read; n comes from the mask. Whole-number sums keep the moments exact
-    and combine before the shuffle.
+    read; n comes from the mask. Their mean and variance are merged with the
+    zeros by the pooling formula, so no power sums cancel.
     """
     targets = unique_targets(targets)
     wanted = targets.select("slide_id", F.col("idx").alias("c"))
     seen = pixels.join(wanted, ["slide_id", "c"], "left_semi").join(mask, ["slide_id", "y", "x"], "left_semi")
-    sums = seen.groupBy("slide_id", "c").agg(
-        F.sum(F.col("v").cast("double")).alias("_s"), F.sum(F.col("v").cast("double") * F.col("v")).alias("_ss")
-    )
+    v = F.col("v").cast("double")
+    sums = seen.groupBy("slide_id", "c").agg(F.count("v").alias("_n"), F.avg(v).alias("_m"), F.var_samp(v).alias("_v"))
     n, div = F.col("n_tissue"), F.col("divisor")
-    mean = F.coalesce("_s", X.d(0)) / n / div
-    var = (F.coalesce("_ss", X.d(0)) - F.coalesce("_s", X.d(0)) * F.coalesce("_s", X.d(0)) / n) / (n - 1) / (div * div)
+    n1, m1 = F.coalesce("_n", F.lit(0)), F.coalesce("_m", X.d(0)) / div
+    mean = n1 * m1 / n
+    spread = (n1 - 1) * F.coalesce("_v", X.d(0)) / (div * div) + n1 * (n - n1) / n * m1 * m1
+    var = spread / (n - 1)
     return (
         targets.join(region_keys(mask, slides), "slide_id")
         .join(sums.withColumnRenamed("c", "idx"), ["slide_id", "idx"], "left")
@@ -55,16 +57,21 @@ def novel_partials(pixels: DataFrame, mask: DataFrame, slides: DataFrame, target
 
 
 def pool_stats(partials: DataFrame) -> DataFrame:
-    """Exact mean and sample deviation of the union of all partials, by name key."""
+    """Exact mean and sample deviation of the union of all partials, by name key.
+
+    A key without a single tissue pixel in any slide has no statistics and is
+    an error.
+    """
     key = N.match_key(F.col("marker"))
     n = F.col("n").cast("double")
     centre = partials.groupBy(key.alias("key")).agg(F.sum("n").alias("total"), F.sum(n * F.col("mean")).alias("_sum"))
     centre = centre.select("key", "total", (F.col("_sum") / F.nullif(F.col("total").cast("double"), X.d(0))).alias("mean"))
     back = partials.withColumn("key", key).withColumnRenamed("mean", "_m").join(centre, "key")
     spread = F.sum((n - 1) * F.col("var") + n * (F.col("_m") - F.col("mean")) * (F.col("_m") - F.col("mean")))
-    pooled = back.filter("n > 0").groupBy("key", "total", "mean").agg(spread.alias("_ss"))
+    pooled = back.groupBy("key", "total", "mean").agg(spread.alias("_ss"))
+    total = F.when(F.col("total") > 0, F.col("total")).otherwise(F.raise_error(F.concat(F.lit("no tissue pixels for marker "), F.col("key"))))
     std = F.when(F.col("total") > 1, F.sqrt(F.greatest(F.col("_ss") / (F.col("total") - 1), X.d(0)))).otherwise(X.d(0))
-    return pooled.select("key", F.col("total").alias("n"), "mean", std.alias("std"))
+    return pooled.select("key", total.alias("n"), "mean", std.alias("std"))
 
 
 def fill_blank_stats(additional: DataFrame, pooled: DataFrame) -> DataFrame:
@@ -111,4 +118,5 @@ def prepare_cohort(
     partials = reused.select("slide_id", "marker", "region_key", "n", "mean", "var", F.lit(True).alias("reused")).unionByName(
         fresh.withColumn("reused", F.lit(False))
     )
+    partials = materialize(partials, "partials")
     return fill_blank_stats(additional, pool_stats(partials)), partials

@@ -12,8 +12,8 @@ from histoframe.operators import runs as R
 # Detection defaults in microns and factors.
 NUCLEAR_FACTOR = 0.7
 MIN_OBJECT_UM2 = 68.0
-WORKING_EDGE = 512
 MAX_BRIDGE_UM = 100.0
+PITCHES_PER_BRIDGE = 20  # the working pitch of the region, as a part of the bridge
 CLEANUP_MIN_UM2, CLEANUP_HOLE_UM2, CLEANUP_CLOSE_UM = 17000.0, 2000.0, 2.0
 
 
@@ -52,31 +52,30 @@ def resize_nearest(coarse: DataFrame, slides: DataFrame, coarse_height: Column,
     return rows.select("slide_id", "y", span("x", F.col("_w"), F.col("width")))
 
 
-def tissue_region(islands: DataFrame, slides: DataFrame, max_bridge_um: float = MAX_BRIDGE_UM) -> DataFrame:
+def tissue_region(
+    islands: DataFrame, slides: DataFrame, max_bridge_um: float = MAX_BRIDGE_UM, pitch_um: float | None = None
+) -> DataFrame:
     """Region that encloses the islands, as runs on the native frame.
 
     The alpha shape of a point set is what a closing by a disk of the same
-    radius leaves (Edelsbrunner, Kirkpatrick, Seidel 1983). Stride and
-    radius are columns, so slides of any size and resolution go through one
-    plan. A slide with fewer than four coarse points keeps its islands.
+    radius leaves (Edelsbrunner, Kirkpatrick, Seidel 1983). The closing works
+    on cells of ``pitch_um`` microns (a twentieth of the bridge by default); a
+    cell is set when any of its pixels is, and the islands themselves always
+    belong to the region, so none is lost whatever the frame's size.
     """
-    edge = F.greatest("height", "width") / WORKING_EDGE
-    plan = slides.withColumn("factor", F.greatest(F.lit(1), F.bround(edge).cast("int")))
+    pitch = X.d(max_bridge_um / PITCHES_PER_BRIDGE if pitch_um is None else pitch_um)
+    plan = slides.withColumn("factor", F.greatest(F.lit(1), F.bround(pitch / F.col("mpp")).cast("int")))
     plan = plan.withColumn("radius", F.floor(X.d(max_bridge_um) / (F.col("mpp") * F.col("factor")) / 2).cast("int"))
-    pixels = R.to_pixels(islands)
-    at = lambda a: F.floor(F.col(a) / F.col("factor")).cast("int").alias(a)
-    coarse = (
-        pixels.join(plan.select("slide_id", "factor"), "slide_id")
-        .filter("y % factor = 0 AND x % factor = 0")
-        .select("slide_id", at("y"), at("x"))
+    f = F.col("factor")
+    at = lambda a: F.floor(F.col(a) / f).cast("int").alias(a)
+    coarse = R.merge_runs(islands.join(plan.select("slide_id", "factor"), "slide_id").select("slide_id", at("y"), at("x0"), at("x1")))
+    shrunk = [F.ceil(F.col(a) / f).cast("int").alias(a) for a in ("height", "width")]
+    small_frame = plan.select("slide_id", *shrunk, "radius")
+    closed = R.fill_holes(R.close_runs(coarse, small_frame), small_frame, diagonal=False)
+    rows = closed.join(plan.select("slide_id", "factor"), "slide_id").select(
+        "slide_id", F.explode(F.sequence(F.col("y") * f, F.col("y") * f + f - 1)).alias("y"), (F.col("x0") * f).alias("x0"), (F.col("x1") * f + f - 1).alias("x1")
     )
-    enough = coarse.groupBy("slide_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 4").select("slide_id")
-    large = plan.join(enough, "slide_id", "left_semi")
-    shrunk = [F.ceil(F.col(a) / F.col("factor")).cast("int").alias(a) for a in ("height", "width")]
-    small_frame = large.select("slide_id", *shrunk, "radius")
-    closed = R.close_runs(R.to_runs(coarse.join(enough, "slide_id", "left_semi")), small_frame)
-    region = upsample_nearest(R.to_pixels(R.fill_holes(closed, small_frame, diagonal=False)), large)
-    return R.to_runs(region.unionByName(pixels.join(enough, "slide_id", "left_anti").select("slide_id", "y", "x")))
+    return R.merge_runs(R.clip_runs(rows, slides).unionByName(islands.select("slide_id", "y", "x0", "x1")))
 
 
 def otsu_mask(image: DataFrame, slides: DataFrame, factor: float) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,13 @@ def get_session(app: str = "histoframe", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a fresh
-    local folder made.
+    Only where the session names none and runs on one machine is a fresh
+    local folder made; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -53,6 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), "histoframe", f"{name}-{uuid.uuid4().hex}")
 
 
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete the tables that operators have written under the shared root; results not yet read are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_root(spark), "histoframe"))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     """Written table in the shared folder, read back: one pass over the input."""
     path = scratch_path(df.sparkSession, name)

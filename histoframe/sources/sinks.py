@@ -71,7 +71,7 @@ def read_features(
     mine = (F.col("encoder") == encoder) & (F.col("slug") == slug)
     found = stored.filter(mine & (F.col("variant") == variant))
     if found.isEmpty():
-        have = sorted(r.variant for r in stored.filter(mine).select("variant").distinct().limit(50).collect())
+        have = sorted(r.variant for r in stored.filter(mine).select("variant").distinct().collect())
         raise LookupError(f"no features {encoder}/{slug}/{variant}; stored variants: {have}")
     return found
 

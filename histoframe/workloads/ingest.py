@@ -132,9 +132,13 @@ def src_geojson(spark, sf):
 @workload(
     "poly_rasterize",
     f"""WITH {SQUARES}, g AS (SELECT CAST(i AS INT) AS i FROM range(48) t(i)),
-        solid AS (SELECT slide_id, x, y, s, TRUE AS hole FROM sq WHERE n % 3 <> 2 UNION ALL SELECT slide_id, x, y + 10, s, FALSE FROM sq WHERE n % 3 = 0)
-        SELECT DISTINCT slide_id, a.i AS y, b.i AS x FROM solid q JOIN g a ON a.i >= q.y AND a.i < q.y + s JOIN g b ON b.i >= q.x AND b.i < q.x + s
-        WHERE NOT (hole AND a.i >= q.y + 1 AND a.i < q.y + 1 + s - 3 AND b.i >= q.x + 1 AND b.i < q.x + 1 + s - 3)""",
+        f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY slide_id, o ORDER BY n, p) AS feature FROM (SELECT sq.*, x AS p FROM sq)),
+        ring AS (SELECT slide_id, o, feature * 4 AS k, TRUE AS fill, x, y, s FROM f WHERE n % 3 <> 2
+                 UNION ALL SELECT slide_id, o, feature * 4 + 1, FALSE, x + 1, y + 1, s - 3 FROM f WHERE n % 3 <> 2
+                 UNION ALL SELECT slide_id, o, feature * 4 + 2, TRUE, x, y + 10, s FROM f WHERE n % 3 = 0),
+        drawn AS (SELECT slide_id, o, a.i AS y, b.i AS x, arg_max(fill, k) AS fill
+                  FROM ring q JOIN g a ON a.i >= q.y AND a.i < q.y + s JOIN g b ON b.i >= q.x AND b.i < q.x + s GROUP BY 1, 2, 3, 4)
+        SELECT DISTINCT slide_id, y, x FROM drawn WHERE fill""",
 )
 def poly_rasterize(spark, sf):
     flat = readers.flatten_geojson(_geojson(spark, sf), "json", ["slide_id", "o"])

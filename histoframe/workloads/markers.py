@@ -233,7 +233,18 @@ def kept_channels(spark, sf):
 
 @workload("marker_glob_select", f"SELECT slide_id, idx, marker FROM panel WHERE COALESCE(keep, TRUE) AND {glob_sql('marker')}")
 def marker_glob_select(spark, sf):
-    return M.marker_glob_select(I.panel(spark, sf), SELECTION).select("slide_id", "idx", "marker")
+    return M.marker_glob_select(I.panel(spark, sf), SELECTION, strict=False).select("slide_id", "idx", "marker")
+
+
+@workload(
+    "selection_problems",
+    f"""WITH k AS (SELECT * FROM panel WHERE COALESCE(keep, TRUE)), p AS (SELECT unnest({list(SELECTION.include + SELECTION.exclude)}) AS pattern)
+        SELECT slide_id, pattern || ' matches no marker' AS problem FROM k CROSS JOIN p GROUP BY slide_id, pattern
+        HAVING COUNT(*) FILTER (lower(marker) GLOB lower(pattern)) = 0
+        UNION ALL SELECT slide_id, 'the selection leaves no channel' FROM k GROUP BY slide_id HAVING COUNT(*) FILTER ({glob_sql('marker')}) = 0""",
+)
+def selection_problems(spark, sf):
+    return M.selection_problems(I.panel(spark, sf), SELECTION)
 
 
 @workload(

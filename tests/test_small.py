@@ -205,3 +205,71 @@ def test_registry():
         register("a")(type("B", (PE.Encoder,), {}))
     with pytest.raises(KeyError):
         get("zz")
+
+
+def test_polygons_draw_in_file_order(spark):
+    """The hole of a later polygon clears what an earlier one filled."""
+    def ring(feature, number, x0, y0, side):
+        corners = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+        return [(1, feature, 0, number, k, float(x0 + dx * side), float(y0 + dy * side)) for k, (dx, dy) in enumerate(corners)]
+
+    from histoframe.operators import ingest
+
+    rows = ring(0, 0, 0, 0, 10) + ring(1, 0, 0, 0, 10) + ring(1, 1, 3, 3, 4)
+    vertices = spark.createDataFrame(rows, "slide_id int, feature int, part int, ring int, vertex int, x double, y double")
+    slides = spark.createDataFrame([(1, 20, 20)], "slide_id int, height int, width int")
+    assert ingest.rasterize_polygons(vertices, slides).count() == 84
+
+
+def test_small_island_stays_in_a_large_frame(spark):
+    from histoframe.operators import tissue
+
+    islands = spark.createDataFrame([(1, 2051 + i, 1003, 1009) for i in range(7)] + [(1, 100, 100, 900)], "slide_id int, y int, x0 int, x1 int")
+    slides = spark.createDataFrame([(1, 4096, 4096, 0.5)], "slide_id int, height int, width int, mpp double")
+    region = tissue.tissue_region(islands, slides, max_bridge_um=4.0)
+    assert region.filter("y BETWEEN 2051 AND 2057 AND x0 <= 1003 AND x1 >= 1009").count() == 7
+
+
+def test_variance_of_float_pixels(spark):
+    from histoframe.operators import stats
+
+    values = [0.9, 0.9 + 1e-8, 0.9 + 2e-8]
+    pixels = spark.createDataFrame([(1, 0, 0, i, v) for i, v in enumerate(values)], "slide_id int, c int, y int, x int, v double")
+    mask = spark.createDataFrame([(1, 0, i) for i in range(3)], "slide_id int, y int, x int")
+    slides = spark.createDataFrame([(1, 4, 4, "float32")], "slide_id int, height int, width int, dtype string")
+    targets = spark.createDataFrame([(1, 0, "m")], "slide_id int, idx int, marker string")
+    var = stats.novel_partials(pixels, mask, slides, targets).first()["var"]
+    assert abs(var - 1e-16) < 1e-18
+
+
+def test_glob_problems_are_per_slide(spark):
+    from histoframe.operators import markers
+
+    channels = spark.createDataFrame([(1, 0, "dapi", True), (2, 0, "cd3", True)], "slide_id int, idx int, marker string, keep boolean")
+    wanted = markers.Selection(include=("dapi",))
+    found = {(r.slide_id, r.problem) for r in markers.selection_problems(channels, wanted).collect()}
+    assert found == {(2, "dapi matches no marker"), (2, "the selection leaves no channel")}
+    with pytest.raises(Exception, match="slide 2"):
+        markers.marker_glob_select(channels, wanted).collect()
+    assert markers.marker_glob_select(channels.filter("slide_id = 1"), wanted).count() == 1
+
+
+def test_pooling_without_pixels_is_an_error(spark):
+    from histoframe.operators import stats
+
+    partials = spark.createDataFrame([(1, "a", "k", 0, 0.0, 0.0)], "slide_id int, marker string, region_key string, n long, mean double, var double")
+    with pytest.raises(Exception, match="no tissue pixels"):
+        stats.pool_stats(partials).collect()
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from histoframe.session import shared_root
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    cluster = SimpleNamespace(conf=Conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(cluster)
