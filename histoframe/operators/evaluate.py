@@ -83,10 +83,9 @@ def weighted_sample(df: DataFrame, n: int, id_col: str, label: str = "label", se
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     coded = class_codes(sizes, label)
     n_classes = sizes.select(F.count(F.lit(1))).scalar()
+    number = lambda s: F.conv(F.substring(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(s)))), 1, 15), 16, 10).cast("bigint")
     draws = spark.range(n).select(
-        F.col("id").alias("draw"),
-        F.pmod(F.xxhash64("id", F.lit(seed)), n_classes).cast("int").alias("code"),
-        F.xxhash64("id", F.lit(seed + 1)).alias("_u"),
+        F.col("id").alias("draw"), F.pmod(number(seed), n_classes).cast("int").alias("code"), number(seed + 1).alias("_u")
     )
     picks = draws.join(coded, "code").withColumn("rank", F.pmod(F.col("_u"), F.col("_size")) + 1)
     return picks.select("draw", label, "rank").join(id_rank(df, [label], id_col), [label, "rank"]).drop("rank")
@@ -183,44 +182,46 @@ def error_rate(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*keys).agg(wrong) if keys else df.agg(wrong)
 
 
-def class_score_rows(df: DataFrame, labels: Sequence[str], probs: str = "probs") -> DataFrame:
+def class_score_rows(df: DataFrame, labels: Sequence[str], probs: str = "probs", keys: Sequence[str] = ()) -> DataFrame:
     """One row per (row, class): its score and whether it is the truth."""
     lab = F.array(*[F.lit(v) for v in labels])
-    return df.select("truth", F.inline(F.arrays_zip(lab.alias("label"), F.col(probs).alias("score")))).select(
-        "label", "score", (F.col("truth") == F.col("label")).cast("int").alias("hit")
+    return df.select(*keys, "truth", F.inline(F.arrays_zip(lab.alias("label"), F.col(probs).alias("score")))).select(
+        *keys, "label", "score", (F.col("truth") == F.col("label")).cast("int").alias("hit")
     )
 
 
-def _by_threshold(scored: DataFrame, descending: bool) -> DataFrame:
-    points = scored.groupBy("label", "score").agg(
+def _by_threshold(scored: DataFrame, group: list[str], descending: bool) -> DataFrame:
+    points = scored.groupBy(*group, "score").agg(
         F.sum("hit").cast("double").alias("pos"), F.sum(1 - F.col("hit")).cast("double").alias("neg")
     )
-    return running_totals(points, ["label"], "score", ["pos", "neg"], descending)
+    return running_totals(points, group, "score", ["pos", "neg"], descending)
 
 
-def roc_auc(scored: DataFrame) -> DataFrame:
-    """One-vs-rest area per class by mid-ranks: ties count half."""
+def roc_auc(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One-vs-rest area per class by mid-ranks: ties count half; null without a row of either kind."""
+    group = [*keys, "label"]
     below = F.col("cum_neg") - F.col("neg") * X.d(0.5)
     return (
-        _by_threshold(scored, False)
-        .groupBy("label")
+        _by_threshold(scored, group, False)
+        .groupBy(*group)
         .agg(F.sum(F.col("pos") * below).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-        .select("label", (F.col("_u") / (F.col("_p") * F.col("_n"))).alias("auc"))
+        .select(*group, (F.col("_u") / F.nullif(F.col("_p") * F.col("_n"), X.d(0))).alias("auc"))
     )
 
 
-def average_precision(scored: DataFrame) -> DataFrame:
-    """Sum of recall steps times precision over distinct thresholds, per class."""
+def average_precision(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Sum of recall steps times precision over distinct thresholds, per class; null without a true row."""
+    group = [*keys, "label"]
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     return (
-        _by_threshold(scored, True)
-        .groupBy("label")
-        .agg((F.sum(F.col("pos") * precision) / F.sum("pos")).alias("ap"))
+        _by_threshold(scored, group, True)
+        .groupBy(*group)
+        .agg((F.sum(F.col("pos") * precision) / F.nullif(F.sum("pos"), X.d(0))).alias("ap"))
     )
 
 
-def macro(df: DataFrame, value: str) -> DataFrame:
-    return df.agg(F.avg(value).alias(f"macro_{value}"))
+def macro(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(F.avg(value).alias(f"macro_{value}"))
 
 
 # ---------------------------------------------------------------- summaries

@@ -112,7 +112,9 @@ def cross_validate(
     """(out-of-fold predictions, per-fold metrics, all trials).
 
     ``cells`` has the id, features, label and quadrant; every cell is tested
-    exactly once. Fold tables are checkpointed, each is read by many fits.
+    exactly once. The metrics of a fold are macro F1, balanced accuracy, mean
+    average precision and mean one-vs-rest area. Fold tables are written, each
+    is read by many fits.
     """
     base = cut_lineage(cells)
     splits = cut_lineage(E.split_folds(base, id_col, seed=seed, folds=folds))
@@ -135,5 +137,7 @@ def cross_validate(
         out, every = out.unionByName(o), every.unionByName(t)
     out = cut_lineage(out)
     c = base.sparkSession.createDataFrame(chosen, "fold int, c double")
-    metrics = E.macro_metrics(out, labels, ["fold"]).join(c, "fold")
+    scored = E.class_score_rows(out, labels, keys=["fold"])
+    ranked = [E.macro(E.average_precision(scored, ["fold"]), "ap", ["fold"]), E.macro(E.roc_auc(scored, ["fold"]), "auc", ["fold"])]
+    metrics = E.macro_metrics(out, labels, ["fold"]).join(ranked[0], "fold").join(ranked[1], "fold").join(c, "fold")
     return out, metrics, every

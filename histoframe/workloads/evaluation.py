@@ -76,7 +76,14 @@ def class_weights(spark, sf):
     return w.select("label", "n", r6("balanced"), F.round("sampler", 9).alias("sampler"))
 
 
-@workload("weighted_sample")
+@workload(
+    "weighted_sample",
+    """WITH k AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS code, COUNT(*) AS size FROM cell_features GROUP BY label),
+        r AS (SELECT cell_id, label, row_number() OVER (PARTITION BY label ORDER BY cell_id) AS rank FROM cell_features),
+        d AS (SELECT range AS draw, CAST('0x' || substr(md5(range || '|42'), 1, 15) AS BIGINT) % (SELECT COUNT(*) FROM k) AS code,
+                     CAST('0x' || substr(md5(range || '|43'), 1, 15) AS BIGINT) AS u FROM range(5000))
+        SELECT draw, label, cell_id FROM d JOIN k USING (code) JOIN r USING (label) WHERE rank = u % size + 1""",
+)
 def weighted_sample(spark, sf):
     return E.weighted_sample(I.cell_features(spark, sf).select("cell_id", "label"), 5000, "cell_id")
 
@@ -201,6 +208,16 @@ def roc_auc_ovr(spark, sf):
     return E.roc_auc(_scored(spark, sf)).withColumn("auc", F.round("auc", 6))
 
 
+@workload(
+    "roc_auc_macro",
+    f"""WITH {SCORED}, r AS (SELECT label, truth = label AS hit, rank() OVER (PARTITION BY label ORDER BY score) + (COUNT(*) OVER (PARTITION BY label, score) - 1) / 2 AS mid FROM scored),
+        a AS (SELECT label, (SUM(mid) FILTER (hit) - COUNT(*) FILTER (hit) * (COUNT(*) FILTER (hit) + 1) / 2) / (COUNT(*) FILTER (hit) * COUNT(*) FILTER (NOT hit)) AS auc FROM r GROUP BY 1)
+        SELECT ROUND(AVG(auc), 6) AS macro_auc FROM a""",
+)
+def roc_auc_macro(spark, sf):
+    return E.macro(E.roc_auc(_scored(spark, sf)), "auc").select(r6("macro_auc"))
+
+
 AP = f"""{SCORED}, pts AS (SELECT label, score, COUNT(*) FILTER (truth = label) AS pos, COUNT(*) AS n FROM scored GROUP BY 1, 2),
     cum AS (SELECT label, pos, SUM(pos) OVER w AS cp, SUM(n) OVER w AS cn FROM pts WINDOW w AS (PARTITION BY label ORDER BY score DESC)),
     ap AS (SELECT label, SUM(pos * cp / cn) / SUM(pos) AS ap FROM cum GROUP BY 1)"""
@@ -260,7 +277,14 @@ def linear_probe(spark, sf):
 @workload("tune_c")
 def tune_c(spark, sf):
     cells = _quad(spark, sf).select("cell_id", "label", "features", "quadrant")
-    return phenotype.cross_validate(cells, LABELS, folds=(2,))[2]
+    return phenotype.cross_validate(cells, LABELS)[2]
+
+
+@workload("cross_validate_metrics")
+def cross_validate_metrics(spark, sf):
+    """Macro F1, balanced accuracy, mean average precision and mean area of every fold."""
+    cells = _quad(spark, sf).select("cell_id", "label", "features", "quadrant")
+    return phenotype.cross_validate(cells, LABELS, n_trials=2)[1]
 
 
 @workload("cross_validate")
