@@ -53,9 +53,17 @@ def _frame(slides: DataFrame) -> DataFrame:
     return slides.select("slide_id", (F.col("height").cast("bigint") * F.col("width")).alias("_area"))
 
 
-def channel_minmax(pixels: DataFrame, slides: DataFrame, value: str = "v") -> DataFrame:
-    """Range of each channel over the whole frame, zeros included."""
+def channel_minmax(pixels: DataFrame, slides: DataFrame, value: str = "v", channels: DataFrame | None = None) -> DataFrame:
+    """Range of each channel over the whole frame, zeros included.
+
+    ``channels`` (slide_id, c) names those that may have no pixel at all;
+    they read 0 to 0.
+    """
     stats = pixels.groupBy(*CHANNEL).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(F.lit(1)).alias("_n"))
+    if channels is not None:
+        zero = F.lit(0).cast(dict(stats.dtypes)["lo"])
+        blank = channels.select(*CHANNEL).distinct().join(stats, CHANNEL, "left_anti")
+        stats = stats.unionByName(blank.select(*CHANNEL, zero.alias("lo"), zero.alias("hi"), F.lit(0).cast("bigint").alias("_n")))
     gap = F.col("_n") < F.col("_area")
     return stats.join(_frame(slides), "slide_id").select(
         *CHANNEL,
@@ -64,21 +72,27 @@ def channel_minmax(pixels: DataFrame, slides: DataFrame, value: str = "v") -> Da
     )
 
 
-def channel_histogram(pixels: DataFrame, slides: DataFrame, value: str = "v", stride: int = 1) -> DataFrame:
+def channel_histogram(
+    pixels: DataFrame, slides: DataFrame, value: str = "v", stride: int = 1, channels: DataFrame | None = None
+) -> DataFrame:
     """Counts per distinct value of each channel, the zeros among them.
 
     At most 65,536 rows a channel for integer pixels, so all that follows
     (percentiles, thresholds) works on a table that no longer grows with the
     image. ``stride`` keeps every n-th row and column of the frame.
+    ``channels`` (slide_id, c) names those that may have no pixel at all;
+    they are all zeros.
     """
     area = (F.ceil(F.col("height") / stride) * F.ceil(F.col("width") / stride)).cast("bigint")
     frame = slides.select("slide_id", area.alias("_area"))
     seen = pixels if stride == 1 else pixels.filter((F.col("y") % stride == 0) & (F.col("x") % stride == 0))
     counts = seen.groupBy(*CHANNEL, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    present = counts.groupBy(*CHANNEL).agg(F.sum("n").alias("_seen"))
+    if channels is not None:
+        named = channels.select(*CHANNEL).distinct().join(present, CHANNEL, "left_anti")
+        present = present.unionByName(named.withColumn("_seen", F.lit(0).cast("bigint")))
     zeros = (
-        counts.groupBy(*CHANNEL)
-        .agg(F.sum("n").alias("_seen"))
-        .join(frame, "slide_id")
+        present.join(frame, "slide_id")
         .select(*CHANNEL, F.lit(0).cast(dict(counts.dtypes)["value"]).alias("value"), (F.col("_area") - F.col("_seen")).alias("n"))
         .filter("n > 0")
     )
@@ -86,10 +100,11 @@ def channel_histogram(pixels: DataFrame, slides: DataFrame, value: str = "v", st
 
 
 def channel_percentiles(
-    pixels: DataFrame, slides: DataFrame, low: float = 0.01, high: float = 0.99, value: str = "v", stride: int = 1
-) -> DataFrame:
+    pixels: DataFrame, slides: DataFrame, low: float = 0.01, high: float = 0.99, value: str = "v", stride: int = 1,
+    channels: DataFrame | None = None,
+) -> DataFrame:
     """Exact percentiles with linear interpolation over the whole frame."""
-    hist = channel_histogram(pixels, slides, value, stride)
+    hist = channel_histogram(pixels, slides, value, stride, channels)
     q = F.percentile("value", F.array(F.lit(low), F.lit(high)), F.col("n"))
     return hist.groupBy(*CHANNEL).agg(q.alias("_q")).select(*CHANNEL, F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"))
 

@@ -89,9 +89,15 @@ register_segmenter, get_segmenter, segmenter_names = make_registry(Segmenter)
 
 
 def patch_tensors(pixels: DataFrame, slides: DataFrame, size: int, stride: int) -> DataFrame:
-    """Sparse pixels of each patch in one row; at most size * size * channels entries."""
+    """Sparse pixels of every patch in one row, as four arrays of at most size * size * channels entries.
+
+    A patch without a pixel has empty arrays.
+    """
     inside = G.box_pixels(pixels, slides, size, stride)
-    return inside.groupBy("slide_id", "patch_id").agg(F.collect_list(F.struct("c", "dy", "dx", "v")).alias("px"))
+    filled = inside.groupBy("slide_id", "patch_id").agg(F.collect_list(F.struct("c", "dy", "dx", "v")).alias("_px"))
+    grid = G.grid_patches(slides, size, stride).select("slide_id", "patch_id").join(filled, ["slide_id", "patch_id"], "left")
+    px = F.coalesce("_px", F.array().cast(filled.schema["_px"].dataType))
+    return grid.withColumn("_px", px).select("slide_id", "patch_id", *[F.col(f"_px.{c}").alias(c) for c in ("c", "dy", "dx", "v")])
 
 
 def encode(tensors: DataFrame, encoder: Encoder, channels: list[int], markers: list[str], size: int, batch_size: int = 64) -> DataFrame:
@@ -103,15 +109,18 @@ def encode(tensors: DataFrame, encoder: Encoder, channels: list[int], markers: l
         import pandas as pd
 
         model = encoder.load()
-        slot = {c: i for i, c in enumerate(channels)}
+        slot = np.full(max(channels, default=0) + 1, -1)
+        slot[channels] = np.arange(len(channels))
         for frame in frames:
             for s in range(0, len(frame), batch_size):
                 part = frame.iloc[s : s + batch_size]
                 batch = np.zeros((len(part), len(channels), size, size))
-                for i, px in enumerate(part["px"]):
-                    for p in px:
-                        if p["c"] in slot:
-                            batch[i, slot[p["c"]], p["dy"], p["dx"]] = p["v"]
+                owner = np.repeat(np.arange(len(part)), [len(c) for c in part["c"]])
+                c, dy, dx, v = (np.concatenate(part[name].to_list()) for name in ("c", "dy", "dx", "v"))
+                known = c < len(slot)
+                known[known] = slot[c[known].astype(int)] >= 0
+                at = (owner[known], slot[c[known].astype(int)], dy[known].astype(int), dx[known].astype(int))
+                batch[at] = v[known]
                 vectors = np.asarray(encoder.forward(model, encoder.transform(batch, names), names), dtype="float64")
                 yield pd.DataFrame(
                     {"slide_id": part["slide_id"].to_numpy(), "patch_id": part["patch_id"].to_numpy(), "features": list(vectors)}

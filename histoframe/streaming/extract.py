@@ -18,15 +18,16 @@ def incremental_extract(
     """Mean-marker features of newly arrived slides.
 
     ``arrivals`` streams rows with slide_id. The checkpoint remembers what
-    was processed, so a second run does only later arrivals; a batch writes
-    its own folder and can be repeated safely.
+    was processed, so a second run does only later arrivals. A slide has its
+    own folder, which a repeated batch or a slide that arrives again writes
+    anew, so nothing is there twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         new = batch.select("slide_id").distinct()
         mine = slides.join(new, "slide_id", "left_semi")
         values = G.mean_marker_sparse(pixels_of(new), mine, size, stride)
-        values.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        values.write.partitionBy("slide_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     query = arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
@@ -37,5 +38,5 @@ def extract_once(arrivals: DataFrame, pixels_of: Callable[[DataFrame], DataFrame
     spark = arrivals.sparkSession
     path, checkpoint = scratch_path(spark, "extract"), scratch_path(spark, "extract-checkpoint")
     incremental_extract(arrivals, pixels_of, slides, size, stride, path, checkpoint)
-    schema = "slide_id int, patch_id int, c int, value double, batch int"
+    schema = "patch_id int, c int, value double, slide_id int"
     return spark.read.option("basePath", path).schema(schema).parquet(path).select("slide_id", "patch_id", "c", F.col("value"))

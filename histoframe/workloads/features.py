@@ -96,7 +96,7 @@ def _mean_encoder():
     "encode",
     f"""WITH {grid_sql(TILE, TILE)}, agg AS (SELECT g.slide_id, patch_id, c, SUM(v) / 65535::DOUBLE / (1e-6::DOUBLE + COUNT(*)) AS value FROM pixels p JOIN grid g ON {inside(TILE)} GROUP BY 1, 2, 3)
         SELECT g.slide_id, g.patch_id, CAST(k AS INT) AS c, ROUND(COALESCE(value, 0), 6) AS value
-        FROM (SELECT DISTINCT slide_id, patch_id FROM agg) g CROSS JOIN range(7) t(k) LEFT JOIN agg a ON a.slide_id = g.slide_id AND a.patch_id = g.patch_id AND a.c = k""",
+        FROM grid g CROSS JOIN range(7) t(k) LEFT JOIN agg a ON a.slide_id = g.slide_id AND a.patch_id = g.patch_id AND a.c = k""",
 )
 def encode(spark, sf):
     """A numpy encoder through the batch plug-in equals the relational mean."""

@@ -273,3 +273,28 @@ def test_scratch_needs_a_shared_folder(spark):
     cluster = SimpleNamespace(conf=Conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(cluster)
+
+
+def test_blank_channels_have_statistics(spark):
+    pixels = spark.createDataFrame([(1, 0, 0, 0, 5)], "slide_id int, c int, y int, x int, v int")
+    slides = spark.createDataFrame([(1, 2, 2)], "slide_id int, height int, width int")
+    panel = spark.createDataFrame([(1, 0), (1, 1)], "slide_id int, c int")
+    assert {tuple(r) for r in P.channel_minmax(pixels, slides, channels=panel).collect()} == {(1, 0, 0, 5), (1, 1, 0, 0)}
+    found = {r.c: (r.lo, r.hi) for r in P.channel_percentiles(pixels, slides, channels=panel).collect()}
+    assert found.keys() == {0, 1} and found[1] == (0, 0)
+
+
+def test_blank_patches_are_encoded(spark):
+    from histoframe.plans import encoders
+
+    class Total(encoders.Encoder):
+        name, version, required_markers = "total", "1", ()
+
+        def forward(self, model, batch, markers):
+            return batch.sum((2, 3))
+
+    pixels = spark.createDataFrame([(1, 0, 0, 0, 5), (1, 3, 0, 0, 9)], "slide_id int, c int, y int, x int, v int")
+    slides = spark.createDataFrame([(1, 4, 4)], "slide_id int, height int, width int")
+    tensors = encoders.patch_tensors(pixels, slides, 2, 2)
+    out = sorted(tuple(r.features) for r in encoders.encode(tensors, Total(), [0, 1], ["a", "b"], 2).collect())
+    assert out == [(0.0, 0.0)] * 3 + [(5.0, 0.0)]
