@@ -25,7 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@llm_query("op2_minhash_near_dedup")
+#: All pairs by shared shingles, and components by reachability.
+OP2_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d WHERE len(w) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+    SELECT a, b, x.n AS na, y.n AS nb, c FROM (SELECT u.doc_id AS a, v.doc_id AS b, count(*) AS c FROM s u JOIN s v ON u.s = v.s AND u.doc_id < v.doc_id GROUP BY 1, 2)
+    JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM documents UNION SELECT node, b FROM r JOIN e ON a = reach),
+k AS (SELECT b AS doc_id, min(a) AS first FROM p WHERE c = na AND c = nb GROUP BY b)
+SELECT o.doc_id, coalesce(n, 0) AS n_shingles, coalesce(first, o.doc_id) AS class_id, root AS component_id, o.doc_id = root AS kept
+FROM documents o JOIN (SELECT node, min(reach) AS root FROM r GROUP BY node) ON node = o.doc_id LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+@llm_query("op2_minhash_near_dedup", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.near_dedup import near_duplicates
 
