@@ -213,12 +213,18 @@ def isolate_cells(pixels: DataFrame, cell_px: DataFrame, patches: DataFrame, siz
     )
 
 
-def cell_mean_marker(isolated: DataFrame, slides: DataFrame) -> DataFrame:
-    """Non-zero mean of each (cell, channel) over its isolated patch."""
+def cell_mean_marker(isolated: DataFrame, slides: DataFrame, cells: DataFrame, panel: DataFrame) -> DataFrame:
+    """Non-zero mean of each (cell, channel) over its isolated patch.
+
+    ``cells`` has slide_id and cell_id, ``panel`` slide_id and idx: every cell
+    gets a value for every channel of its slide, 0 where it has no pixel.
+    """
     divisor = slides.select("slide_id", X.dtype_divisor(F.col("dtype")).alias("_divisor"))
     sums = isolated.groupBy("slide_id", "cell_id", "c").agg(F.sum("v").alias("_sum"), F.count_if(F.col("v") != 0).alias("_n"))
     value = F.col("_sum") / F.col("_divisor") / (X.d(MEAN_EPSILON) + F.col("_n"))
-    return sums.join(divisor, "slide_id").select("slide_id", "cell_id", "c", value.alias("value"))
+    channels = panel.groupBy("slide_id").agg(F.collect_set("idx").alias("_channels")).join(divisor, "slide_id")
+    every = cells.select("slide_id", "cell_id").join(channels, "slide_id").select("slide_id", "cell_id", "_divisor", F.explode("_channels").alias("c"))
+    return every.join(sums, ["slide_id", "cell_id", "c"], "left").select("slide_id", "cell_id", "c", F.coalesce(value, X.d(0)).alias("value"))
 
 
 def small_patch_flag(patch_sets: DataFrame) -> DataFrame:

@@ -206,11 +206,14 @@ def cell_isolate(spark, sf):
 
 @workload(
     "cell_mean_marker",
-    f"""WITH {ISOLATED} SELECT slide_id, cell_id, c, ROUND(SUM(v) / {DIVISOR} / (1e-6::DOUBLE + COUNT(*)), 6) AS value
-        FROM isolated JOIN slides USING (slide_id) GROUP BY 1, 2, 3, dtype""",
+    f"""WITH {ISOLATED}, seen AS (SELECT slide_id, cell_id, c, SUM(v) / {DIVISOR} / (1e-6::DOUBLE + COUNT(*)) AS value
+            FROM isolated JOIN slides USING (slide_id) GROUP BY 1, 2, 3, dtype)
+        SELECT cells.slide_id, cells.cell_id, CAST(k AS INT) AS c, ROUND(COALESCE(value, 0), 6) AS value
+        FROM cells CROSS JOIN range(7) t(k) LEFT JOIN seen ON seen.slide_id = cells.slide_id AND seen.cell_id = cells.cell_id AND seen.c = k""",
 )
 def cell_mean_marker(spark, sf):
-    return rounded(G.cell_mean_marker(_isolated(spark, sf), I.slides(spark, sf)))
+    planes = I.slides(spark, sf).select("slide_id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("idx"))
+    return rounded(G.cell_mean_marker(_isolated(spark, sf), I.slides(spark, sf), C.cell_table(I.cell_px(spark, sf)), planes))
 
 
 CONFIGS = """configs AS (SELECT p_partkey AS id, 16 + p_size * 8 AS patch_size, CASE WHEN p_partkey % 3 = 0 THEN 8 + p_size * 4 END AS stride,
