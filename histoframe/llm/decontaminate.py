@@ -199,4 +199,5 @@ def contained_items(
 def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without those that contain an item; rows without an id stay."""
     found = materialize(contained_items(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    found = found.hint("merge")  # grows with the table, so it is merged and not broadcast, at every size
     return docs.join(found, F.col(options.get("id_col", "doc_id")) == F.col("_leak"), "left_anti")
