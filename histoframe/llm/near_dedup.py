@@ -77,30 +77,32 @@ def _long_overlap_fits(percent: int, n: str, n_long: str, m: str, m_long: str):
     return (100 + percent) * F.least(n_long, m_long) >= percent * (F.col(n) + F.col(m))
 
 
-def _short_list_pairs(postings: DataFrame, percent: int, *carried: str) -> DataFrame:
-    """Pairs a < b out of lists of (v, rep, n, ...), one row per shared value."""
-    left = postings.select("v", F.col("rep").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}_a") for c in carried])
-    right = postings.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}_b") for c in carried])
+def _short_list_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b out of lists of (v, rep, n), one row per shared value."""
+    left = postings.select("v", F.col("rep").alias("a"), F.col("n").alias("na"))
+    right = postings.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"))
     return left.join(right, "v").filter((F.col("a") < F.col("b")) & _sizes_fit(percent)).drop("v")
 
 
 def sketch_pairs(reps: DataFrame, percent: int, k: int, long_list: int, floor: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs by overlap of retained values, and the heavy classes."""
+    """Pairs by overlap of retained values, and the heavy classes.
+
+    A pair that can pass the estimate shares a least number of values beside
+    those of long lists. Values stand in one order, rarest first, so it also
+    shares one of each class's first values, up to that number from the end;
+    only those are paired, and a class with fewer shared values has no pairs.
+    """
     postings = reps.select("rep", "n", F.explode("vals").alias("v"))
     counts = postings.groupBy("v").agg(F.count("*").alias("c")).filter("c > 1")
     shared = materialize(postings.join(counts, "v"), "lists")
     hot = shared.filter(F.col("c") > long_list).groupBy("rep").agg(F.count("*").alias("hot"))
-    flagged = materialize(
-        shared.filter(F.col("c") <= long_list).select("v", "rep", "n").join(hot, "rep", "left").na.fill(0, ["hot"]), "short"
-    )
     heavy = reps.join(hot, "rep").filter(F.size("vals") - F.col("hot") < k // 2).select("rep")
-    pairs = (
-        _short_list_pairs(flagged, percent, "hot")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("shared"), *[F.first(c).alias(c) for c in ("na", "nb", "hot_a", "hot_b")])
-        .filter(F.col("shared") + F.least("hot_a", "hot_b") >= floor * F.least(F.lit(k), F.greatest("na", "nb")))
-    )
-    return pairs.select("a", "b"), heavy
+    short = shared.filter(F.col("c") <= long_list).join(hot, "rep", "left").na.fill(0, ["hot"])
+    own = Window.partitionBy("rep")
+    needed = F.ceil(floor * F.least(F.lit(k), F.col("n"))) - F.col("hot")
+    ranked = short.withColumn("held", F.count("*").over(own)).withColumn("at", F.row_number().over(own.orderBy("c", "v")))
+    prefix = materialize(ranked.filter(F.col("at") <= F.col("held") - needed + 1).select("v", "rep", "n"), "short")
+    return _short_list_pairs(prefix, percent).select("a", "b").distinct(), heavy
 
 
 def estimate_filter(pairs: DataFrame, reps: DataFrame, k: int, floor: float) -> DataFrame:
@@ -193,6 +195,8 @@ def near_duplicates(
     heavy = materialize(heavy, "heavy")
     likely = materialize(estimate_filter(pairs, reps, k, floor), "likely")
     needed = likely.select(F.col("a").alias("rep")).unionByName(likely.select(F.col("b").alias("rep"))).unionByName(heavy).distinct()
+    # The ids grow with the table, so they are merged and not broadcast, at every size.
+    needed = needed.hint("merge")
     again = texts.join(needed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     full = shingle_tables(again, width, None).withColumnRenamed("doc_id", "rep")
     full = materialize(full.join(reps.select("rep", "sig"), ["rep", "sig"], "left_semi").dropDuplicates(["rep"]), "full")
@@ -225,7 +229,7 @@ def without_copies(docs: DataFrame, **options) -> DataFrame:
     """
     found = materialize(near_duplicates(docs, **options).select("doc_id", "kept"), "copies")
     id_col = options.get("id_col", "doc_id")
-    copies = found.filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
+    copies = found.filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct().hint("merge")
     left = docs.join(copies, F.col(id_col) == F.col("_copy"), "left_anti")
     repeated = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_copy")), "repeated")
     if repeated.isEmpty():
