@@ -103,7 +103,7 @@ def word_hashes(column: pa.Array, separators: np.ndarray = BLANKS) -> tuple[np.n
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
 
 
-def _combine(hashes: np.ndarray, span: int) -> np.ndarray:
+def combine(hashes: np.ndarray, span: int) -> np.ndarray:
     """Fingerprint of every run of ``span`` words."""
     n = len(hashes) - span + 1
     total = np.full(n, np.uint64(span))
@@ -118,13 +118,13 @@ def _combine(hashes: np.ndarray, span: int) -> np.ndarray:
 def shingle_rows(column: pa.Array, width: int = WIDTH, separators: np.ndarray = BLANKS) -> list[np.ndarray]:
     """Each text's shingle fingerprints in order, repeats included."""
     hashes, bounds = word_hashes(column, separators)
-    every = _combine(hashes, width) if len(hashes) >= width else np.empty(0, np.int64)
+    every = combine(hashes, width) if len(hashes) >= width else np.empty(0, np.int64)
     rows = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= width:
             rows.append(every[a : b - width + 1])
         else:
-            rows.append(_combine(hashes[a:b], b - a) if b > a else every[:0])
+            rows.append(combine(hashes[a:b], b - a) if b > a else every[:0])
     return rows
 
 
