@@ -12,7 +12,8 @@ A replacement is a function of a secret key, the kind and the canonical value,
 so an entity reads the same wherever it occurs. The distinct entities of the
 whole table are checked for collisions: where two would share a replacement,
 or a replacement is itself an entity of the table, all but one move on to
-their next replacement, until all are distinct.
+their next replacement, until all are distinct. Names and e-mail addresses get
+longer with the attempts, so there is always a free one.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from histoframe.session import materialize
 
-#: Attempts after which an entity without a free replacement is an error.
-MAX_ATTEMPTS = 64
+#: Attempts after which replacements without a fixed format get longer by one part, again and again.
+GROWTH = 4
+#: Attempts in a row that settle nobody, after which the fixed format of those left has no free value.
+STALLED = 64
 
 _MARK, _ESCAPE = "\u0001", "\u0002"
 
@@ -148,6 +151,15 @@ def canonical(kind: Column, raw: Column) -> Column:
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """Replacement of a canonical value at an attempt; kinds of names are ``name_f``, ``_m``, ``_n`` and ``_s``."""
+    longer = F.floor(attempt / GROWTH).cast("int")
+    letter = F.when(kind == "email", "a").otherwise(F.lower(value.substr(F.lit(1), F.lit(1))))
+    grown = F.concat(value.substr(F.lit(1), F.lit(1)), F.repeat(letter, longer), value.substr(F.lit(2), F.length(value)))
+    spelt = F.when((longer > 0) & ((kind == "email") | kind.startswith("name")), grown).otherwise(value)
+    return _let(spelt, lambda long: _of_seed(kind, long, longer, _keyed(key, kind, value, attempt.cast("string"))))
+
+
+def _of_seed(kind: Column, value: Column, longer: Column, seed: Column) -> Column:
+    """Replacement of a value's length; Latin names get ``longer`` more syllables."""
     n = F.length(value)
 
     def card(seed: Column) -> Column:
@@ -159,6 +171,8 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 
     def name(seed: Column) -> Column:
         stem = reduce(F.concat, [_pick(SYLLABLES, _byte(seed, F.lit(i))) for i in range(3)])
+        more = F.transform(F.sequence(F.lit(1), longer), lambda i: _pick(SYLLABLES, _byte(seed, i + 9)))
+        stem = F.when(longer > 0, F.concat(stem, F.array_join(more, ""))).otherwise(stem)
         ending = F.lit("")
         for role, endings in ENDINGS.items():
             ending = F.when(kind == f"name_{role}", _pick(endings, _byte(seed, F.lit(9)))).otherwise(ending)
@@ -178,7 +192,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             .otherwise(_scrambled(value, seed, F.lit(0), n))
         )
 
-    return _let(_keyed(key, kind, value, attempt.cast("string")), made)
+    return _let(seed, made)
 
 
 def _laid_out(kind: Column, raw: Column, made: Column) -> Column:
@@ -192,11 +206,11 @@ def _laid_out(kind: Column, raw: Column, made: Column) -> Column:
 
     def cased(i: Column) -> Column:
         c, twin = raw.substr(i, F.lit(1)), made.substr(i, F.lit(1))
-        return F.when(F.upper(c) == c, F.upper(twin)).otherwise(twin)
+        return F.when((F.upper(c) == c) & (F.lower(c) != c), F.upper(twin)).otherwise(twin)
 
     return (
         F.when(kind.isin("card", "ssn", "phone", "iban"), F.array_join(F.transform(places, dense), ""))
-        .when(kind == "email", F.array_join(F.transform(places, cased), ""))
+        .when(kind == "email", F.concat(F.array_join(F.transform(places, cased), ""), made.substr(F.length(raw) + 1, F.length(made))))
         .when(kind.startswith("name") & (F.upper(raw) == raw), F.upper(made))
         .otherwise(made)
     )
@@ -266,23 +280,28 @@ def moved_on(entities: DataFrame, key: str) -> DataFrame:
 
     ``entities`` are distinct. Of those that share a replacement the smallest
     value keeps it; a replacement that is itself an entity is nobody's. A
-    settled replacement stays taken for later attempts.
+    settled replacement stays taken for later attempts, so those without one
+    only get fewer. It is an error where a fixed format has no free value left.
     """
     made = lambda df: df.withColumn("made", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
     real = entities.select("kind", F.col("value").alias("made")).withColumn("real", F.lit(True))
     current = materialize(made(entities.withColumn("attempt", F.lit(0))), "replacements")
-    for _ in range(MAX_ATTEMPTS):
+    left, stalled = None, 0
+    while stalled < STALLED:
         owners = current.groupBy("kind", "made").agg(F.min(F.struct("attempt", "value")).alias("owner"), F.count("*").alias("n"))
         clash = owners.join(real, ["kind", "made"], "left").filter("n > 1 OR real")
         losers = current.join(clash, ["kind", "made"]).filter("real OR value <> owner.value").select("kind", "value", "attempt")
         losers = materialize(losers, "clashes")
-        if losers.isEmpty():
+        n = losers.count()
+        left, stalled = n, stalled + 1 if n == left else 0
+        if not n:
             return current.filter("attempt > 0").select("kind", "value", "attempt")
         ahead = losers.select("kind", "value", F.lit(True).alias("_moved"))
         next_one = F.col("attempt") + F.coalesce(F.col("_moved").cast("int"), F.lit(0))
         current = current.drop("made").join(ahead, ["kind", "value"], "left").select("kind", "value", next_one.alias("attempt"))
         current = materialize(made(current), "replacements")
-    raise RuntimeError(f"an entity has no free replacement after {MAX_ATTEMPTS} attempts")
+    kinds = sorted(r.kind for r in losers.select("kind").distinct().collect())
+    raise RuntimeError(f"{left} entities of {', '.join(kinds)} have no free replacement of their format")
 
 
 def replace_personal_data(docs: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,7 +328,8 @@ def replace_personal_data(docs: DataFrame, key: str, *, id_col: str = "doc_id",
             def of_kind(kind: Column) -> Column:
                 def of_value(value: Column) -> Column:
                     attempt = F.coalesce(F.element_at(late, F.concat_ws("|", kind, value)), F.lit(0))
-                    return _let(surrogate(kind, value, attempt, key), lambda made: _laid_out(kind, raw, made))
+                    made = _let(attempt, lambda a: surrogate(kind, value, a, key))
+                    return _let(made, lambda made: _laid_out(kind, raw, made))
 
                 return _let(canonical(kind, raw), of_value)
 

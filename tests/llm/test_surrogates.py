@@ -3,6 +3,7 @@ import re
 from helpers import ODD, documents
 from pyspark.sql import functions as F
 
+from histoframe.llm import surrogates
 from histoframe.llm.surrogates import moved_on, replace_personal_data, surrogate
 
 KEY = "k"
@@ -57,3 +58,16 @@ def test_odd_rows(spark):
     assert replace_personal_data(documents(spark, []), KEY).count() == 0
     (marked,) = replaced(spark, "\u0001\u0002a 10.20.30.40 \u0002b")
     assert re.fullmatch("\u0001\u0002a [0-9.]+ \u0002b", marked)
+
+
+def test_more_names_than_short_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", ("al",))
+    monkeypatch.setattr(surrogates, "GROWTH", 1)
+    rows = [("name_s", "Q" + "abcdefgh"[i % 8] + "ijklmnop"[i // 8]) for i in range(10)]
+    late = {r.value: r.attempt for r in moved_on(spark.createDataFrame(rows, "kind string, value string"), KEY).collect()}
+    tries = spark.createDataFrame([(k, v, late.get(v, 0)) for k, v in rows], "kind string, value string, attempt int")
+    made = [r.made for r in tries.withColumn("made", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), KEY)).collect()]
+    assert len(set(made)) == 10 and max(late.values()) >= 2
+    grown = spark.createDataFrame([("name_f", "Анна", 2), ("email", "a@b.com", 2)], "kind string, value string, attempt int")
+    anna, mail = (r.made for r in grown.select(surrogate(F.col("kind"), F.col("value"), F.col("attempt"), KEY).alias("made")).collect())
+    assert re.fullmatch("[А-Я][а-я]{4}а", anna) and re.fullmatch(r"[a-z]{3}@[a-z]\.com", mail)
