@@ -14,6 +14,9 @@ from histoframe.session import cut_lineage, materialize
 N_NEIGHBOURS = 15
 RESOLUTION = 0.5
 
+#: Rounds in which a level of the clustering has to come to rest; more are an error.
+MAX_ROUNDS = 500
+
 
 def knn(df: DataFrame, k: int = N_NEIGHBOURS, id_col: str = "cell_id", features: str = "features", n_pivots: int = 48, block: int = 4096) -> DataFrame:
     """Exact ``k`` nearest other rows of every row, Euclidean.
@@ -140,7 +143,10 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = RESOLUTI
 
 
 def _move_round(edges: DataFrame, state: DataFrame, m2: float, resolution: float, turn: int) -> DataFrame:
-    """One synchronous round: half the nodes take their best label."""
+    """One synchronous round: the nodes a hash picks take their best label; ``wants`` tells who has a better one.
+
+    Half of the nodes at first, later ever fewer, so that moves made at once stop disturbing each other.
+    """
     totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
     links = (
         edges.filter("src <> dst")
@@ -159,35 +165,37 @@ def _move_round(edges: DataFrame, state: DataFrame, m2: float, resolution: float
     )
     stay = F.max(F.when(F.col("label") == F.col("old"), F.col("gain"))).alias("stay")
     best = scored.groupBy("node", "old", "k").agg(F.max(F.struct(F.col("gain"), (-F.col("label")).alias("neg"))).alias("b"), stay)
-    may = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
-    move = may & (F.col("b.gain") > F.col("stay") + 1e-9)
-    return best.select("node", F.when(move, -F.col("b.neg")).otherwise(F.col("old")).alias("label"), "k", move.alias("moved"))
+    parts = 2 + turn // 8
+    may = F.pmod(F.xxhash64("node", F.lit(turn // parts)), F.lit(parts)) == turn % parts
+    wants = F.col("b.gain") > F.col("stay") + 1e-9
+    return best.select("node", F.when(may & wants, -F.col("b.neg")).otherwise(F.col("old")).alias("label"), "k", wants.alias("wants"))
 
 
-def communities(edges: DataFrame, resolution: float = RESOLUTION, max_rounds: int = 6, max_levels: int = 3) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = RESOLUTION) -> DataFrame:
     """(node, label): modularity communities of an undirected graph.
 
     Louvain-style levels: label moves by gain, then every community becomes
-    one node. In a round only the half of the nodes picked by a seeded hash
-    moves, which stops neighbours from swapping labels for ever. Rounds are
-    checkpointed; a level ends when under one percent move.
+    one node. In a round only the nodes picked by a seeded hash move, which
+    stops neighbours from swapping labels for ever. Rounds are checkpointed; a
+    level ends when no node has a better label, the whole when a level merges
+    nothing. A level that doesn't come to rest is an error.
     """
     w = edges if "w" in edges.columns else edges.withColumn("w", X.d(1))
     graph = materialize(w.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double")), "graph")
     m2 = graph.agg(F.sum("w")).first()[0] or 1.0
     assigned = graph.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
-    for _ in range(max_levels):
+    while True:
         degree = graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         state = degree.select("node", F.col("node").alias("label"), "k")
-        merged = False
-        for turn in range(max_rounds):
+        for turn in range(MAX_ROUNDS):
             moved = cut_lineage(_move_round(graph, state, m2, resolution, turn))
-            counts = moved.agg(F.count_if("moved").alias("n"), F.count(F.lit(1)).alias("all")).first()
-            state = moved.drop("moved")
-            merged = merged or counts["n"] > 0
-            if turn % 2 and counts["n"] * 100 < counts["all"]:
+            state = moved.drop("wants")
+            if not moved.agg(F.count_if("wants")).first()[0]:
                 break
-        if not merged:
+        else:
+            raise RuntimeError(f"a level did not come to rest in {MAX_ROUNDS} rounds")
+        counts = state.agg(F.count_distinct("label").alias("labels"), F.count(F.lit(1)).alias("nodes")).first()
+        if counts["labels"] == counts["nodes"]:
             break
         relabel = state.select(F.col("node").alias("label"), F.col("label").alias("_to"))
         assigned = cut_lineage(assigned.join(relabel, "label").select("node", F.col("_to").alias("label")))

@@ -298,3 +298,17 @@ def test_blank_patches_are_encoded(spark):
     tensors = encoders.patch_tensors(pixels, slides, 2, 2)
     out = sorted(tuple(r.features) for r in encoders.encode(tensors, Total(), [0, 1], ["a", "b"], 2).collect())
     assert out == [(0.0, 0.0)] * 3 + [(5.0, 0.0)]
+
+
+def test_communities_run_to_rest(spark):
+    from histoframe.operators.graph import communities
+
+    n = 256
+    pairs = [(i, i + 1) for i in range(n - 1)]
+    label = {r.node: r.label for r in communities(spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "src long, dst long"), 0.05).collect()}
+    total = {}
+    for node in range(n):
+        total[label[node]] = total.get(label[node], 0) + (1 if node in (0, n - 1) else 2)
+    # No two neighbouring communities would gain by becoming one.
+    cuts = [(label[a], label[b]) for a, b in pairs if label[a] != label[b]]
+    assert all(cuts.count((x, y)) + cuts.count((y, x)) <= 0.05 * total[x] * total[y] / (2 * n - 2) + 1e-6 for x, y in cuts)
