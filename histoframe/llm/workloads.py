@@ -134,3 +134,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op11_sentencepiece_agenda")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from histoframe.llm.pieces import piece_digests, piece_encode
+
+    return piece_digests(piece_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
