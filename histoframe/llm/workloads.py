@@ -143,3 +143,59 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histoframe.llm.pieces import piece_digests, piece_encode
 
     return piece_digests(piece_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+#: Every kept term of every group, zeros written out.
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+o AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+q AS MATERIALIZED (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER l + 5 * count(*) OVER l) AS q FROM o WINDOW l AS (PARTITION BY lang)),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+v AS (SELECT lang, source, term, coalesce(c.n, 0) AS n FROM g JOIN o USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS MATERIALIZED (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER s + 5 * count(*) OVER s) AS p FROM v WINDOW s AS (PARTITION BY lang, source)),
+m AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+a AS (SELECT lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value FROM g x JOIN g y USING (lang) LEFT JOIN m ON m.lang = x.lang AND m.source = x.source AND m.item = y.source WHERE x.source <> y.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM a)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM k WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@llm_query("op12_source_divergence", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    """Every distance to every entry; the rounds are written out one after the other."""
+    usable = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+    steps = [
+        f"e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {usable})",
+        "p AS MATERIALIZED (SELECT r, vec_id, label, k, v[k * (len(v) // 4) + 1:(k + 1) * (len(v) // 4)] AS v FROM e, range(4) t(k))",
+        "b0 AS MATERIALIZED (SELECT k, r - 1 AS i, v FROM p WHERE r <= 256)",
+    ]
+    nearest = "SELECT r, k, any_value(p.v) AS v, min(struct_pack(d := list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, i := i)) AS m FROM p JOIN {book} b USING (k) GROUP BY r, k"
+    for n in range(4):
+        steps += [
+            f"a{n} AS MATERIALIZED ({nearest.format(book=f'b{n}')})",
+            f"u{n} AS (SELECT k, i, list(s ORDER BY j) AS v FROM (SELECT k, m.i AS i, j, floor(sum(v[j])::HUGEINT / count(*))::BIGINT AS s FROM a{n}, range(1, (SELECT any_value(len(v)) FROM p) + 1) t(j) GROUP BY ALL) GROUP BY k, i)",
+            f"b{n + 1} AS MATERIALIZED (SELECT k, i, coalesce(u{n}.v, b{n}.v) AS v FROM b{n} LEFT JOIN u{n} USING (k, i))",
+        ]
+    steps += [
+        f"a AS MATERIALIZED ({nearest.format(book='b4')})",
+        "c AS (SELECT r, string_agg(lpad(lower(hex(m.i)), 2, '0'), '' ORDER BY k) AS code, sum(m.d)::BIGINT AS error FROM a GROUP BY r)",
+        "h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY k, i)) AS codebooks_sha256 FROM b4)",
+    ]
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM e JOIN c USING (r), h"
+
+
+@llm_query("op13_orchard_codes", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histoframe.llm.codes import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
