@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoframe.functions import numeric as X
-from histoframe.session import cut_lineage, materialize
+from histoframe.session import counted, cut_lineage, drop_table, materialize
 
 # Neighbours per row and resolution of the clustering.
 N_NEIGHBOURS = 15
 RESOLUTION = 0.5
 
-#: Rounds in which a level of the clustering has to come to rest; more are an error.
-MAX_ROUNDS = 500
+#: Gain a move needs, as a share of the node's weight (of 1 at least); steps in which gains are told apart.
+LEAST_GAIN, STEPS_PER_DOUBLING = 1e-9, 4
+
+#: Share of moving nodes below which the first pass goes on to the next level.
+QUIET = 0.1
 
 
 def knn(df: DataFrame, k: int = N_NEIGHBOURS, id_col: str = "cell_id", features: str = "features", n_pivots: int = 48, block: int = 4096) -> DataFrame:
@@ -142,11 +146,8 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = RESOLUTI
     return sums.select((F.col("i") / F.col("m2") - X.d(resolution) * F.col("t2") / (F.col("m2") * F.col("m2"))).alias("modularity"))
 
 
-def _move_round(edges: DataFrame, state: DataFrame, m2: float, resolution: float, turn: int) -> DataFrame:
-    """One synchronous round: the nodes a hash picks take their best label; ``wants`` tells who has a better one.
-
-    Half of the nodes at first, later ever fewer, so that moves made at once stop disturbing each other.
-    """
+def _wishes(edges: DataFrame, state: DataFrame, m2: float, resolution: float) -> DataFrame:
+    """(node, old, new, k, delta) of the nodes that another label would serve better."""
     totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
     links = (
         edges.filter("src <> dst")
@@ -157,53 +158,138 @@ def _move_round(edges: DataFrame, state: DataFrame, m2: float, resolution: float
     own = state.select("node", "label", X.d(0).alias("links"))
     options = links.unionByName(own).groupBy("node", "label").agg(F.sum("links").alias("links"))
     mine = state.select("node", F.col("label").alias("old"), "k")
-    rest = F.col("tot") - F.when(F.col("label") == F.col("old"), F.col("k")).otherwise(X.d(0))
-    scored = (
-        options.join(totals, "label")
-        .join(mine, "node")
-        .withColumn("gain", F.round(F.col("links") - X.d(resolution) * F.col("k") * rest / X.d(m2), 9))
+    stays = F.col("label") == F.col("old")
+    rest = F.col("tot") - F.when(stays, F.col("k")).otherwise(X.d(0))
+    gain = F.col("links") - X.d(resolution) * F.col("k") * rest / X.d(m2)
+    scored = options.join(totals, "label").join(mine, "node").withColumn("gain", gain)
+    best = scored.groupBy("node", "old", "k").agg(
+        F.max(F.when(~stays, F.struct("gain", (-F.col("label")).alias("neg")))).alias("b"), F.max(F.when(stays, F.col("gain"))).alias("stay")
+    )
+    wishes = best.select("node", "old", (-F.col("b.neg")).alias("new"), "k", (F.col("b.gain") - F.col("stay")).alias("delta"))
+    return wishes.filter(F.col("delta") > X.d(LEAST_GAIN) * F.greatest(F.col("k"), X.d(1)))
+
+
+def _granted(wishes: DataFrame, m2: float, resolution: float) -> DataFrame:
+    """(node, new) of the wishes that raise modularity when they all come true at once.
+
+    A label takes or gives, as its greatest wish (gain, hash, id) does, so two
+    granted moves only ever share a label they both enter or both leave. That
+    costs at most ``resolution * k * k' / m2`` for each such two, so a wish is
+    granted where its gain exceeds this sum over the wishes that come before
+    it: all in its own step of gains and the greater steps. The greatest of
+    both its labels needs no comparison; so the greatest of all always goes.
+    """
+    key = F.struct("delta", F.xxhash64("node").alias("h"), (-F.col("node")).alias("neg"))
+    ends = F.explode(F.array(F.struct(F.col("old").alias("label"), F.lit(False).alias("takes")), F.struct(F.col("new").alias("label"), F.lit(True).alias("takes"))))
+    by_label = wishes.select(ends.alias("e"), key.alias("key")).groupBy("e.label").agg(F.max(F.struct("key", "e.takes")).alias("top"))
+    by_label = by_label.select("label", (-F.col("top.key.neg")).alias("first"), F.col("top.takes").alias("takes"))
+
+    def seen(end: str) -> DataFrame:
+        return by_label.select(F.col("label").alias(end), F.col("first").alias(f"{end}_first"), F.col("takes").alias(f"{end}_takes"))
+
+    agreed = wishes.join(seen("new"), "new").join(seen("old"), "old").filter("new_takes AND NOT old_takes")
+    agreed = agreed.withColumn("step", F.floor(F.log2("delta") * STEPS_PER_DOUBLING).cast("int"))
+    each = agreed.select(F.explode(F.array("old", "new")).alias("label"), "step", "k").groupBy("label", "step").agg(F.sum("k").alias("k_step"))
+    greater = Window.partitionBy("label").orderBy(F.desc("step"))
+    ahead = each.withColumn("ahead", F.sum("k_step").over(greater.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def before(end: str) -> DataFrame:
+        return ahead.select(F.col("label").alias(end), "step", F.col("ahead").alias(f"{end}_ahead"))
+
+    weighed = agreed.join(before("new"), ["new", "step"]).join(before("old"), ["old", "step"])
+    shared = F.col("new_ahead") + F.col("old_ahead") - F.col("k") * 2
+    sure = (F.col("new_first") == F.col("node")) & (F.col("old_first") == F.col("node"))
+    worth = F.col("delta") - X.d(resolution) * F.col("k") * shared / X.d(m2) > X.d(LEAST_GAIN) * F.greatest(F.col("k"), X.d(1))
+    return weighed.filter(sure | worth).select("node", "new")
+
+
+def _settle(graph: DataFrame, labels: DataFrame, m2: float, resolution: float, quiet: float) -> tuple[DataFrame, int, bool]:
+    """Moves in rounds until nobody wishes to move, or until fewer than the ``quiet`` share of nodes do.
+
+    Gives (node, label), the number of moves and whether no wish is left. Each
+    round writes its wishes and its labels; those of the round before last
+    are deleted.
+    """
+    degree = graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+    state, nodes = counted(labels.join(degree, "node").select("node", "label", "k"), "labels")
+    moves, old = 0, []
+    while True:
+        wishes, n_wishes = counted(_wishes(graph, state, m2, resolution), "wishes")
+        old.append(wishes)
+        if not n_wishes:
+            break
+        moved = F.coalesce(F.col("new"), F.col("label"))
+        turned = state.join(_granted(wishes, m2, resolution), "node", "left").select("node", moved.alias("label"), "k", F.col("new").isNotNull().alias("_moved"))
+        turned, n_moved = counted(turned, "labels", F.col("_moved"))
+        old.append(state)
+        state, moves = turned.drop("_moved"), moves + n_moved
+        while len(old) > 2:
+            drop_table(old.pop(0))
+        if n_moved < quiet * nodes:
+            break
+    return state.select("node", "label"), moves, not n_wishes
+
+
+def _contracted(graph: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every label one node, weights summed."""
+    ends = labels.select("node", "label")
+    return cut_lineage(
+        graph.join(ends.select(F.col("node").alias("src"), F.col("label").alias("_a")), "src")
+        .join(ends.select(F.col("node").alias("dst"), F.col("label").alias("_b")), "dst")
+        .groupBy(F.col("_a").alias("src"), F.col("_b").alias("dst"))
+        .agg(F.sum("w").alias("w"))
     )
-    stay = F.max(F.when(F.col("label") == F.col("old"), F.col("gain"))).alias("stay")
-    best = scored.groupBy("node", "old", "k").agg(F.max(F.struct(F.col("gain"), (-F.col("label")).alias("neg"))).alias("b"), stay)
-    parts = 2 + turn // 8
-    may = F.pmod(F.xxhash64("node", F.lit(turn // parts)), F.lit(parts)) == turn % parts
-    wants = F.col("b.gain") > F.col("stay") + 1e-9
-    return best.select("node", F.when(may & wants, -F.col("b.neg")).otherwise(F.col("old")).alias("label"), "k", wants.alias("wants"))
 
 
 def communities(edges: DataFrame, resolution: float = RESOLUTION) -> DataFrame:
     """(node, label): modularity communities of an undirected graph.
 
-    Louvain-style levels: label moves by gain, then every community becomes
-    one node. In a round only the nodes picked by a seeded hash move, which
-    stops neighbours from swapping labels for ever. Rounds are checkpointed; a
-    level ends when no node has a better label, the whole when a level merges
-    nothing. A level that doesn't come to rest is an error.
+    Louvain-style: nodes move by gain, then every community becomes one node
+    and moves on. Moves of a round are chosen so that together they raise
+    modularity, so every round makes progress and the search ends. The first
+    pass goes on to the next level once few nodes move; it is followed by
+    passes over the nodes themselves until no node gains by another label and
+    no community by joining another.
     """
     w = edges if "w" in edges.columns else edges.withColumn("w", X.d(1))
     graph = materialize(w.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double")), "graph")
     m2 = graph.agg(F.sum("w")).first()[0] or 1.0
-    assigned = graph.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
+    labels = graph.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
+    quiet = QUIET
     while True:
-        degree = graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
-        state = degree.select("node", F.col("node").alias("label"), "k")
-        for turn in range(MAX_ROUNDS):
-            moved = cut_lineage(_move_round(graph, state, m2, resolution, turn))
-            state = moved.drop("wants")
-            if not moved.agg(F.count_if("wants")).first()[0]:
+        labels, _, at_rest = _settle(graph, labels, m2, resolution, quiet)
+        small, merged = _contracted(graph, labels), False
+        while True:
+            itself = small.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
+            joined, moves, _ = _settle(small, itself, m2, resolution, quiet)
+            if not moves:
                 break
-        else:
-            raise RuntimeError(f"a level did not come to rest in {MAX_ROUNDS} rounds")
-        counts = state.agg(F.count_distinct("label").alias("labels"), F.count(F.lit(1)).alias("nodes")).first()
-        if counts["labels"] == counts["nodes"]:
-            break
-        relabel = state.select(F.col("node").alias("label"), F.col("label").alias("_to"))
-        assigned = cut_lineage(assigned.join(relabel, "label").select("node", F.col("_to").alias("label")))
-        ends = state.select("node", "label")
-        graph = cut_lineage(
-            graph.join(ends.withColumnRenamed("node", "src").withColumnRenamed("label", "_a"), "src")
-            .join(ends.withColumnRenamed("node", "dst").withColumnRenamed("label", "_b"), "dst")
-            .groupBy(F.col("_a").alias("src"), F.col("_b").alias("dst"))
-            .agg(F.sum("w").alias("w"))
-        )
-    return assigned
+            merged = True
+            to = joined.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+            labels = cut_lineage(labels.join(to, "label").select("node", F.col("_to").alias("label")))
+            small = _contracted(small, joined)
+        if at_rest and not merged:
+            return labels
+        quiet = 0.0
+
+
+def open_wishes(edges: DataFrame, labels: DataFrame, resolution: float = RESOLUTION) -> DataFrame:
+    """How far a labelling is from rest: (nodes, labelled, moves, merges).
+
+    Nodes of the graph, (node, label) rows for them, nodes that would gain by
+    another label, and communities that would gain by joining another.
+    """
+    w = edges if "w" in edges.columns else edges.withColumn("w", X.d(1))
+    graph = w.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double"))
+    m2 = graph.agg(F.sum("w")).first()[0] or 1.0
+
+    def wishes(graph: DataFrame, labels: DataFrame) -> DataFrame:
+        degree = graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+        return _wishes(graph, labels.join(degree, "node"), m2, resolution)
+
+    small = _contracted(graph, labels)
+    itself = small.select(F.col("src").alias("node"), F.col("src").alias("label")).distinct()
+    nodes = graph.select(F.col("src").alias("node")).distinct()
+    found = {"nodes": nodes, "labelled": labels.join(nodes, "node"), "moves": wishes(graph, labels), "merges": wishes(small, itself)}
+    rows = reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("fact")) for name, rows in found.items()])
+    return rows.agg(*[F.count_if(F.col("fact") == name).alias(name) for name in found])

@@ -7,7 +7,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "histoframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -62,6 +63,21 @@ def drop_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` has written, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in sorted({os.path.dirname(f) for f in df.inputFiles()}):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def counted(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, int]:
+    """``materialize``, with the number of rows (for which ``where`` holds) counted while they are written."""
+    seen = Observation()
+    n = F.count(F.lit(1)) if where is None else F.count_if(where)
+    return materialize(df.observe(seen, n.alias("n")), name), seen.get["n"]
+
+
 def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     """Written table in the shared folder, read back: one pass over the input."""
     path = scratch_path(df.sparkSession, name)

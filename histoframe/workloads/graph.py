@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from histoframe.operators import graph as G
+from histoframe.session import materialize
 from histoframe.workloads import inputs as I
 from histoframe.workloads import workload
 
@@ -42,3 +43,14 @@ def modularity(spark, sf):
 @workload("communities")
 def communities(spark, sf):
     return G.communities(_edges(spark, sf))
+
+
+@workload(
+    "communities_at_rest",
+    f"""WITH {EDGES} SELECT (SELECT COUNT(DISTINCT src) FROM edges) AS nodes, (SELECT COUNT(DISTINCT src) FROM edges) AS labelled,
+        0::BIGINT AS moves, 0::BIGINT AS merges""",
+)
+def communities_at_rest(spark, sf):
+    """Every node has one label, and no move of a node or of a whole community raises modularity."""
+    edges = materialize(_edges(spark, sf), "edges")
+    return G.open_wishes(edges, G.communities(edges))
