@@ -19,6 +19,7 @@ checks, for each Arrow batch, the parts that are new in it.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 from array import array
@@ -36,13 +37,36 @@ from histoframe.llm.batches import steps
 #: The mark that stands for a space inside pieces.
 SPACE = "▁"
 
-#: Distinct parts a task remembers before it starts anew, and the longest part it remembers.
-_MEMO, _LONGEST = 400_000, 64
+#: Distinct parts a worker remembers besides as many older ones, and the longest part it remembers.
+_MEMO, _LONGEST = 500_000, 64
 
 #: Types of pieces in a model file.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 
 
+class _Known(dict):
+    """Ids of parts as int32 bytes, made on first use; ``fresh`` lists the parts they were made for."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self._make, self._older, self.fresh = make, {}, []
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self._older.get(part)
+        if ids is None:
+            ids = self._make(part)
+            self.fresh.append(part)
+        if len(part) <= _LONGEST:
+            self[part] = ids
+        return ids
+
+    def age(self) -> None:
+        """Forget what was not used since the parts were last too many."""
+        if len(self) > _MEMO:
+            self._older = dict(self)
+            self.clear()
+
+
 class PieceBpe:
     """Encoder and decoder for one model file's bytes."""
 
@@ -67,8 +91,7 @@ class PieceBpe:
         self._strip = spec.normalizer_spec.add_dummy_prefix or spec.normalizer_spec.remove_extra_whitespaces
         self._strip_all = spec.normalizer_spec.remove_extra_whitespaces
         self._part = self._parts_pattern([piece for _, piece, _ in normal])
-        self._known: dict[str, bytes] = {}
-        self._fresh: list[str] = []
+        self._known = _Known(self._encode_part)
         #: What each id adds to a decoded text, in UTF-8, and which ids keep a space they begin with.
         surface = spec.trainer_spec.unk_surface.encode("utf-8")
         self._surface = [p.piece.replace(SPACE, " ").encode("utf-8") for p in spec.pieces]
@@ -132,16 +155,7 @@ class PieceBpe:
 
     def _of_parts(self, normal: str) -> np.ndarray:
         """Ids of a normalised text."""
-        known, out = self._known, []
-        for part in self._part.findall(normal):
-            ids = known.get(part)
-            if ids is None:
-                ids = self._encode_part(part)
-                if len(part) <= _LONGEST:
-                    known[part] = ids
-                self._fresh.append(part)
-            out.append(ids)
-        ids = np.frombuffer(b"".join(out), np.int32)
+        ids = np.frombuffer(b"".join(map(self._known.__getitem__, self._part.findall(normal))), np.int32)
         return ids if self._fallback else self._one_unknown(ids)
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -150,19 +164,18 @@ class PieceBpe:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of whole texts, each part of them that is new here checked against the library."""
-        if len(self._known) > _MEMO:
-            self._known.clear()
         out = [self.encode(t) for t in texts]
         self.check_fresh()
+        self._known.age()
         return out
 
     def check_fresh(self) -> None:
-        """Compare with the library on one text of all parts met since the last check."""
-        fresh, self._fresh = self._fresh, []
+        """Compare with the library on one text of all parts met since the last check, each on a line of its own."""
+        fresh, self._known.fresh = self._known.fresh, []
         if fresh:
             text = "\n".join(["", *fresh]).replace(SPACE, " ")
             own = self.encode(text)
-            self._fresh = []
+            self._known.fresh = []
             if not np.array_equal(own, self.library.encode(text)):
                 raise RuntimeError(f"ids of {text[:200]!r} differ from the library's")
 
@@ -208,9 +221,11 @@ def _decoded(data: bytes) -> str:
     return "".join(out)
 
 
-def _model(path: str) -> bytes:
+@functools.lru_cache(maxsize=2)
+def _loaded(path: str) -> PieceBpe:
+    """One encoder for all tasks of a worker, with what it remembers."""
     with open(path, "rb") as f:
-        return f.read()
+        return PieceBpe(f.read())
 
 
 def piece_encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True) -> DataFrame:
@@ -225,7 +240,7 @@ def piece_encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", te
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PieceBpe(_model(model_path))
+        bpe = _loaded(model_path)
         for batch in steps(batches, "text"):
             ids = bpe.encode_batch(batch.column(1).to_pylist())
             out = {"doc_id": batch.column(0), "ids": _lists(ids)}
@@ -247,7 +262,7 @@ def piece_decode(encoded: DataFrame, model_path: str, *, id_col: str = "doc_id",
     """(doc_id, decoded) of id lists; a null list gives an empty text, an id outside the vocabulary is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PieceBpe(_model(model_path))
+        bpe = _loaded(model_path)
         for batch in batches:
             texts = [bpe.decode(np.array(x or [], np.int32)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])

@@ -9,6 +9,7 @@ import sentencepiece
 from helpers import ODD, SF, documents
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from histoframe.llm import pieces
 from histoframe.llm.pieces import PieceBpe, piece_decode, piece_digests, piece_encode
 from histoframe.llm.workloads import REGISTERED
 
@@ -70,9 +71,17 @@ def test_unsupported_models_are_refused():
         PieceBpe(m.SerializeToString())
 
 
+def test_parts_are_forgotten_by_age(own, monkeypatch):
+    monkeypatch.setattr(pieces, "_MEMO", 5)
+    bpe = PieceBpe(MODEL)
+    for text in texts_of(14, 60):
+        assert bpe.encode_batch([text, "the same words again"])[0].tolist() == own.library.encode(text)
+        assert len(bpe._known) <= 60 and len(bpe._known._older) <= 80
+
+
 def test_a_wrong_part_is_noticed(own):
     bpe = PieceBpe(MODEL)
-    bpe._encode_part = lambda part: np.array([5], np.int32).tobytes()
+    bpe._known._make = lambda part: np.array([5], np.int32).tobytes()
     with pytest.raises(RuntimeError):
         bpe.encode_batch(["some words"])
 
