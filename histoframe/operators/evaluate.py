@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from histoframe.functions import numeric as X
@@ -54,6 +54,26 @@ def split_folds(cells: DataFrame, id_col: str, valid_frac: float = 0.2, seed: in
     return held.unionByName(ranked.select(id_col, "fold", split.alias("split")))
 
 
+def split_join(splits: DataFrame, patches: DataFrame, id_col: str, seen: Observation | None = None) -> DataFrame:
+    """Rows of the folds with ``position``, the place of their patch in the patch set (from 0, by id).
+
+    A row whose id is absent from the patch set, or stands in it more than
+    once, fails the job that reads the positions, so no action of its own is
+    needed to check. ``seen`` observes ``rows``, ``missing`` and ``repeated``
+    of that job.
+    """
+    known = patches.groupBy(id_col).agg(F.count(F.lit(1)).alias("_times"))
+    placed = id_rank(known, [], id_col).withColumn("position", F.col("rank") - 1).drop("rank")
+    joined = splits.join(placed, id_col, "left")
+    missing, repeated = F.col("position").isNull(), F.col("_times") > 1
+    if seen is not None:
+        joined = joined.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("missing"), F.count_if(repeated).alias("repeated"))
+    which = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    absent = F.raise_error(F.concat(F.lit(f"{id_col} "), which, F.lit(" of a fold is absent from the patch set")))
+    twice = F.raise_error(F.concat(F.lit(f"{id_col} "), which, F.lit(" stands more than once in the patch set")))
+    return joined.withColumn("position", F.when(missing, absent).when(repeated, twice).otherwise(F.col("position"))).drop("_times")
+
+
 def cap_per_class(df: DataFrame, group: Sequence[str], id_col: str, limit: int | None, seed: int = 42) -> DataFrame:
     """At most ``limit`` rows per class in seeded hash order; small classes whole."""
     if limit is None:

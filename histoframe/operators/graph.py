@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -15,6 +16,9 @@ from histoframe.session import counted, cut_lineage, drop_table, materialize
 N_NEIGHBOURS = 15
 RESOLUTION = 0.5
 
+#: Rows of a block, the most blocks, and the most bytes of pivots that every task gets.
+BLOCK, MAX_BLOCKS, PIVOT_BYTES = 4096, 100_000, 64 << 20
+
 #: Gain a move needs, as a share of the node's weight (of 1 at least); steps in which gains are told apart.
 LEAST_GAIN, STEPS_PER_DOUBLING = 1e-9, 4
 
@@ -22,108 +26,212 @@ LEAST_GAIN, STEPS_PER_DOUBLING = 1e-9, 4
 QUIET = 0.1
 
 
-def knn(df: DataFrame, k: int = N_NEIGHBOURS, id_col: str = "cell_id", features: str = "features", n_pivots: int = 48, block: int = 4096) -> DataFrame:
-    """Exact ``k`` nearest other rows of every row, Euclidean.
+def _matrix(column):  # noqa: ANN001, ANN202 - Arrow list array to numpy rows
+    import numpy as np
+
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(flat, dtype=np.float64).reshape(len(column), -1)
 
-    A pivot-partitioned kNN join (Lu et al., 2012). Rows belong to the cell
-    of their nearest pivot; a bound on the k-th neighbour distance of each
-    cell says which rows it has to see at all, and only those are sent
-    there. Cells are cut into blocks of about ``block`` rows on both sides,
-    so a cell with a third of the data is many small tasks, and a task
-    returns k rows per query row, never pairs.
-    """
-    spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(features).cast("array<double>").alias("f"))
-    order = F.md5(F.col("id").cast("string"))
-    pivots = [r.f for r in rows.orderBy(order, "id").limit(n_pivots).collect()]
-    if not pivots:
-        return spark.createDataFrame([], f"{id_col} bigint, neighbour bigint, distance double, rank int")
-    n_pivots = len(pivots)
-
-    def euclid(a, b):  # noqa: ANN001, ANN202 - numpy arrays
-        import numpy as np
-
-        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-        return np.sqrt(np.maximum(sq, 0.0))
-
-    def assign(batches: Iterator) -> Iterator:
-        import numpy as np
-
-        centres = np.array(pivots)
-        for b in batches:
-            dist = euclid(np.stack(b["f"].to_numpy()), centres)
-            own = dist.argmin(1)
-            yield b.assign(cell=own.astype("int32"), d=dist[np.arange(len(b)), own], dp=list(dist))
-
-    placed = cut_lineage(rows.mapInPandas(assign, "id bigint, f array<double>, cell int, d double, dp array<double>"))
-
-    # Per cell: size, radius and the k + 1 rows nearest the pivot. At most
-    # pivots * (k + 1) numbers reach the driver.
-    near = Window.partitionBy("cell").orderBy("d", "id")
-    closest = placed.select("cell", "d", F.row_number().over(near).alias("n")).filter(F.col("n") <= k + 1)
-    close_by = {c: [] for c in range(n_pivots)}
-    for r in closest.select("cell", "d").collect():
-        close_by[r.cell].append(r.d)
-    size, radius = [0] * n_pivots, [0.0] * n_pivots
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("u")).collect():
-        size[r.cell], radius[r.cell] = r.n, r.u
 
+def _euclid(a, b):  # noqa: ANN001, ANN202 - numpy rows
+    """Distances of all rows of both sides, and how far off rounding may have put each."""
     import numpy as np
 
-    between = euclid(np.array(pivots), np.array(pivots))
-    bounds = []
-    for i in range(n_pivots):
-        reach = sorted(radius[i] + between[i, j] + d for j in range(n_pivots) for d in close_by[j])
-        theta = reach[k] if len(reach) > k else float("inf")
-        bounds.append(float((theta + radius[i]) * (1 + 1e-9) + 1e-9) if size[i] else -1.0)
-
-    limit = F.array(*[F.lit(b) for b in bounds])
-    targets = F.filter(F.sequence(F.lit(0), F.lit(n_pivots - 1)), lambda i: F.get("dp", i) <= F.get(limit, i))
-    sent = placed.select("id", "f", F.explode(targets).alias("cell"))
-    sent_size = [0] * n_pivots
-    for r in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        sent_size[r.cell] = r.n
-
-    def blocks(sizes: list[int]):  # noqa: ANN202
-        return F.get(F.array(*[F.lit(max(1, -(-s // block))) for s in sizes]), F.col("cell"))
-
-    def spread(side: DataFrame, own: str, other: str, own_n, other_n) -> DataFrame:  # noqa: ANN001
-        mine = F.pmod(F.xxhash64("id"), own_n).cast("int").alias(own)
-        return side.select("id", "f", "cell", mine, F.explode(F.sequence(F.lit(0), (other_n - 1).cast("int"))).alias(other))
-
-    key = ["cell", "qb", "cb"]
-    queries = spread(placed, "qb", "cb", blocks(size), blocks(sent_size))
-    candidates = spread(sent, "cb", "qb", blocks(sent_size), blocks(size))
-
-    def top_k(q, c):  # noqa: ANN001, ANN202
-        import numpy as np
-        import pandas as pd
-
-        empty = pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-        if not len(q) or not len(c):
-            return empty
-        c = c.sort_values("id")
-        ids, pool = c["id"].to_numpy(), np.stack(c["f"].to_numpy())
-        qid, qf = q["id"].to_numpy(), np.stack(q["f"].to_numpy())
-        out = []
-        for s in range(0, len(qid), 512):
-            dist = euclid(qf[s : s + 512], pool)
-            dist[ids[None, :] == qid[s : s + 512, None]] = np.inf
-            take = min(k, dist.shape[1])
-            pick = np.argpartition(dist, take - 1, axis=1)[:, :take]
-            exact = np.sqrt(((qf[s : s + 512][:, None, :] - pool[pick]) ** 2).sum(2))
-            exact[~np.isfinite(np.take_along_axis(dist, pick, 1))] = np.inf
-            out.append(pd.DataFrame({"id": np.repeat(qid[s : s + 512], take), "neighbour": ids[pick].ravel(), "distance": exact.ravel()}))
-        found = pd.concat(out)
-        return found[np.isfinite(found["distance"])]
-
-    found = queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(top_k, "id bigint, neighbour bigint, distance double")
-    best = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select(F.col("id").alias(id_col), "neighbour", "distance", "rank")
-    )
+    left, right = (a * a).sum(1), (b * b).sum(1)
+    sq = left[:, None] + right[None, :] - 2.0 * a @ b.T
+    slack = 1e-7 * (np.sqrt(left)[:, None] + np.sqrt(right).max(initial=0.0)) + 1e-300
+    return np.sqrt(np.maximum(sq, 0.0)), slack
+
+
+def _nearest(ids, vectors, pool_ids, pool, k: int):  # noqa: ANN001, ANN202 - numpy rows
+    """(row, neighbour, distance) of each row's ``k`` nearest others in a pool, ties to the smaller id.
+
+    A matrix product picks the candidates with room for its rounding; their
+    distances are worked out term by term.
+    """
+    import numpy as np
+
+    found = [], [], []
+    for at in range(0, len(ids), 64):
+        part = vectors[at : at + 64]
+        rough, slack = _euclid(part, pool)
+        rough[pool_ids[None, :] == ids[at : at + 64, None]] = np.inf
+        if pool.shape[0] > k:
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] + 2 * slack
+            row, col = np.nonzero((rough <= limit) & np.isfinite(rough))
+        else:
+            row, col = np.nonzero(np.isfinite(rough))
+        exact = np.sqrt(((part[row] - pool[col]) ** 2).sum(1))
+        order = np.lexsort((pool_ids[col], exact, row))
+        row, col, exact = row[order], col[order], exact[order]
+        first = np.searchsorted(row, row)
+        taken = np.arange(len(row)) - first < k
+        found[0].append(row[taken] + at)
+        found[1].append(pool_ids[col[taken]])
+        found[2].append(exact[taken])
+    return tuple(np.concatenate(x) if x else np.empty(0) for x in found)
+
+
+class KnnPlan:
+    """The two passes of an exact kNN join, each a table in the shared folder.
+
+    Rows belong to the nearest of about ``sqrt(rows)`` pivots, and a pivot's
+    rows are cut into blocks. A block knows its pivot and the range of its
+    rows' distances from it. In the first pass a row meets its own block only,
+    which gives an upper bound on its k-th distance; ``sent`` names the other
+    blocks that can still hold a nearer one by the triangle inequality, and in
+    the second pass the row meets just those.
+
+    Pivots and the blocks' ranges are the only data sent to all tasks:
+    ``PIVOT_BYTES`` bounds the first by their number, and blocks grow with the
+    table where they would be more than ``MAX_BLOCKS``.
+    """
+
+    def __init__(self, df: DataFrame, k: int, id_col: str, features: str, pivots: int | None, block: int) -> None:
+        self.k, self.spark = k, df.sparkSession
+        rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(features).cast("array<double>").alias("f"))
+        self.rows = rows.filter(F.col("f").isNotNull())
+        sizes = self.rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("f")).alias("width")).first()
+        self.n = sizes["n"]
+        if not self.n:
+            return
+        most = max(1, PIVOT_BYTES // (8 * max(1, sizes["width"])))
+        self.n_pivots = min(most, pivots or math.isqrt(self.n - 1) + 1)
+        self.block = max(block, self.n // MAX_BLOCKS)
+        self.pivots = self._pivots()
+        self.placed = self._placed()
+        self.blocks = self.placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("high"))
+        self.own = self._own()
+        self.sent = self._sent()
+
+    def _pivots(self):  # noqa: ANN202
+        """Broadcast pivot rows: those with the least hashes."""
+        order = F.md5(F.col("id").cast("string"))
+        chosen = self.rows.select(order.alias("h"), "id", "f").orderBy("h", "id").limit(self.n_pivots).select("f").toArrow()["f"]
+        return self.spark.sparkContext.broadcast(_matrix(chosen.combine_chunks()))
+
+    def _placed(self) -> DataFrame:
+        """(id, f, block, d): block and distance from its pivot."""
+        pivots = self.pivots
+
+        def place(batches: Iterator) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+
+            for batch in batches:
+                vectors = _matrix(batch.column(1))
+                cell = _euclid(vectors, pivots.value)[0].argmin(1)
+                d = np.sqrt(((vectors - pivots.value[cell]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(d)], names=["id", "f", "cell", "d"])
+
+        celled = materialize(self.rows.mapInArrow(place, "id bigint, f array<double>, cell bigint, d double"), "cells")
+        sizes = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n_cell"))
+        cuts = F.ceil(F.col("n_cell") / self.block)
+        part = F.pmod(F.xxhash64("id"), cuts)
+        return materialize(celled.join(sizes, "cell").select("id", "f", (F.shiftleft("cell", 24) + part).alias("block"), "d"), "blocks")
+
+    def _own(self) -> DataFrame:
+        """(id, f, block, neighbours, distances): first pass, nearest first."""
+        k = self.k
+
+        def inside(group):  # noqa: ANN001, ANN202 - Arrow table
+            import numpy as np
+            import pyarrow as pa
+
+            group = group.combine_chunks()
+            ids, vectors = group["id"].to_numpy(), _matrix(group["f"].combine_chunks())
+            row, neighbour, distance = _nearest(ids, vectors, ids, vectors, k)
+            bounds = pa.array(np.searchsorted(row, np.arange(len(ids) + 1)).astype("int32"))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (neighbour.astype("int64"), distance.astype("float64"))]
+            return pa.table([group["id"], group["f"], group["block"], *lists], names=["id", "f", "block", "neighbours", "distances"])
+
+        schema = "id bigint, f array<double>, block bigint, neighbours array<bigint>, distances array<double>"
+        return materialize(self.placed.select("id", "f", "block").groupBy("block").applyInArrow(inside, schema), "first-pass")
+
+    def _sent(self) -> DataFrame:
+        """(id, f, block): the rows with each further block they have to meet."""
+        k, pivots = self.k, self.pivots
+        known = self.blocks.orderBy("block").toPandas()
+        balls = self.spark.sparkContext.broadcast({c: known[c].to_numpy() for c in known})
+
+        def reach(batches: Iterator) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+
+            ball = balls.value
+            cell = ball["block"] >> 24
+            for batch in batches:
+                for at in range(0, batch.num_rows, 512):
+                    part = batch.slice(at, 512)
+                    vectors = _matrix(part.column(1))
+                    rough, slack = _euclid(vectors, pivots.value)
+                    to_pivot = rough[:, cell]
+                    nearest = np.maximum(np.maximum(to_pivot - ball["high"], ball["low"] - to_pivot), 0.0)
+                    best = np.array([d[k - 1] if len(d) >= k else np.inf for d in part.column(3).to_pylist()])
+                    few = np.flatnonzero(~np.isfinite(best))
+                    if len(few):
+                        # Too few rows in the own block: those of the nearest blocks that make up k are within their farthest.
+                        farthest = to_pivot[few] + ball["high"]
+                        order = np.argsort(farthest, axis=1)
+                        enough = np.cumsum(ball["n"][order], axis=1) >= k + 1
+                        at_last = np.where(enough.any(1), enough.argmax(1), 0)
+                        bound = np.take_along_axis(farthest, order[np.arange(len(few)), at_last][:, None], 1)[:, 0]
+                        best[few] = np.where(enough.any(1), bound, np.inf)
+                    meets = nearest <= best[:, None] + 2 * slack
+                    meets &= ball["block"][None, :] != part.column(2).to_numpy()[:, None]
+                    row, target = np.nonzero(meets)
+                    taken = part.select([0, 1]).take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(ball["block"][target])], names=["id", "f", "block"])
+
+        columns = self.own.select("id", "f", "block", "distances")
+        return materialize(columns.mapInArrow(reach, "id bigint, f array<double>, block bigint"), "sent")
+
+    def _others(self) -> DataFrame:
+        """(id, neighbour, distance): second pass. Guests of a block come in parts, each with a copy of the block."""
+        k = self.k
+        guests = self.sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / self.block).alias("parts"))
+        queries = self.sent.join(guests, "block").select("id", "f", "block", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+        hosts = self.placed.join(guests, "block").select("id", "f", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+
+        def meet(queries, hosts):  # noqa: ANN001, ANN202 - Arrow tables
+            import numpy as np
+            import pyarrow as pa
+
+            ids, pool_ids = queries["id"].to_numpy(), hosts["id"].to_numpy()
+            found = np.empty(0, int), np.empty(0, int), np.empty(0)
+            if len(ids) and len(pool_ids):
+                found = _nearest(ids, _matrix(queries["f"].combine_chunks()), pool_ids, _matrix(hosts["f"].combine_chunks()), k)
+            return pa.table([pa.array(ids[found[0]]), pa.array(found[1].astype("int64")), pa.array(found[2])], names=["id", "neighbour", "distance"])
+
+        key = ["block", "part"]
+        return queries.groupBy(*key).cogroup(hosts.groupBy(*key)).applyInArrow(meet, "id bigint, neighbour bigint, distance double")
+
+    def neighbours(self) -> DataFrame:
+        """(id, neighbour, distance, rank) of all rows."""
+        own = self.own.select("id", F.explode(F.arrays_zip("neighbours", "distances")).alias("e")).select("id", "e.neighbours", "e.distances").toDF("id", "neighbour", "distance")
+        best = Window.partitionBy("id").orderBy("distance", "neighbour")
+        return own.unionByName(self._others()).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= self.k)
+
+    def traffic(self) -> DataFrame:
+        """(rows, pivots, blocks, sent, share): (row, block) meetings of the second pass, of all that are possible."""
+        blocks = self.blocks.agg(F.count(F.lit(1)).alias("blocks"))
+        both = blocks.join(self.sent.agg(F.count(F.lit(1)).alias("sent")))
+        every = F.col("rows") * F.col("blocks")
+        return both.select(F.lit(self.n).alias("rows"), F.lit(self.n_pivots).alias("pivots"), "blocks", "sent").withColumn("share", F.col("sent") / every)
+
+
+def knn(df: DataFrame, k: int = N_NEIGHBOURS, id_col: str = "cell_id", features: str = "features", pivots: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Exact ``k`` nearest other rows of every row, Euclidean, ties to the smaller id.
+
+    Two passes over blocks of rows (``KnnPlan``). Rows without features take
+    no part, as queries nor as neighbours; ids are expected to be distinct. A
+    hot place is many blocks and many parts of guests, so no task holds more
+    than about two blocks, and a task returns k rows per query row.
+    """
+    plan = KnnPlan(df, k, id_col, features, pivots, block)
+    if not plan.n:
+        return df.sparkSession.createDataFrame([], f"{id_col} bigint, neighbour bigint, distance double, rank int")
+    return plan.neighbours().withColumnRenamed("id", id_col)
 
 
 def symmetric_edges(neighbours: DataFrame, id_col: str = "cell_id") -> DataFrame:

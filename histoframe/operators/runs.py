@@ -8,6 +8,8 @@ All windows stay inside one row of one slide.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from histoframe.session import cut_lineage
 
 ROW = ["slide_id", "y"]
 BUCKET = 64  # columns per bucket when runs of neighbouring rows meet
+STRIP, TILE = 512, 1024  # columns and least rows of a tile of a dilation
 
 
 def to_runs(mask: DataFrame) -> DataFrame:
@@ -205,24 +208,70 @@ def fill_holes(runs: DataFrame, slides: DataFrame, max_area: DataFrame | None =
 # -------------------------------------------------------------- morphology
 
 
-def disk_rows(radius: Column) -> Column:
-    """(dy, half width) of every row of a disk."""
-    half = lambda dy: F.floor(F.sqrt((radius * radius - dy * dy).cast("double"))).cast("int")
-    return F.transform(F.sequence(-radius, radius), lambda dy: F.struct(dy.alias("dy"), half(dy).alias("w")))
+def _grown(piece):  # noqa: ANN001, ANN202 - pandas frames
+    """Dilated runs of one tile's own rows from all runs near it in one strip of columns.
+
+    The vertical distance to the nearest set pixel of the column comes first
+    (one pass down, one up); it says how far a column reaches to both sides,
+    and a row's reaches are joined by a running sum of starts and ends.
+    """
+    import numpy as np
+    import pandas as pd
+
+    r, tile, rows = int(piece["radius"].iloc[0]), int(piece["tile"].iloc[0]), int(piece["tile_rows"].iloc[0])
+    columns = int(piece["columns"].iloc[0])
+    left, top = int(piece["strip"].iloc[0]) * columns, tile * rows - r
+    mask = np.zeros((rows + 2 * r, columns), bool)
+    for y, x0, x1 in zip(piece["y"].to_numpy() - top, piece["x0"].to_numpy() - left, piece["x1"].to_numpy() - left):
+        mask[y, x0 : x1 + 1] = True
+    far = np.where(mask, 0, r + 1)
+    for y in range(1, len(far)):
+        np.minimum(far[y], far[y - 1] + 1, out=far[y])
+    for y in range(len(far) - 2, -1, -1):
+        np.minimum(far[y], far[y + 1] + 1, out=far[y])
+    far = far[r : r + rows]
+    reach = np.array([math.isqrt(r * r - d * d) for d in range(r + 1)])
+    out = []
+    width = columns + 2 * r + 1
+    for at in range(0, rows, 256):
+        y, x = np.nonzero(far[at : at + 256] <= r)
+        w = reach[far[at : at + 256][y, x]]
+        n = len(far[at : at + 256])
+        edges = np.bincount(y * width + x + r - w, minlength=n * width) - np.bincount(y * width + x + r + w + 1, minlength=n * width + 1)[: n * width]
+        covered = np.zeros((n, width + 1), np.int8)
+        covered[:, 1:] = edges.reshape(n, width).cumsum(axis=1) > 0
+        turn = np.diff(covered, axis=1)
+        (row, start), stop = np.nonzero(turn == 1), np.nonzero(turn == -1)[1]
+        out.append(pd.DataFrame({"y": row + at + tile * rows, "x0": start + left - r, "x1": stop - 1 + left - r}))
+    found = pd.concat(out)
+    found.insert(0, "slide_id", piece["slide_id"].iloc[0])
+    return found
+
+
+def _pieces(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Runs cut into strips of columns, with each tile of rows that they can reach; three tiles at most."""
+    rows = F.greatest(F.lit(TILE), F.col("radius") * 2)
+    strips = F.sequence(F.floor(F.col("x0") / STRIP), F.floor(F.col("x1") / STRIP))
+    tiles = F.sequence(F.floor((F.col("y") - F.col("radius")) / F.col("tile_rows")), F.floor((F.col("y") + F.col("radius")) / F.col("tile_rows")))
+    return (
+        runs.select(*ROW, "x0", "x1")
+        .join(slides.select("slide_id", F.col("radius").cast("int").alias("radius"), rows.cast("int").alias("tile_rows")), "slide_id")
+        .select(*ROW, "x0", "x1", "radius", "tile_rows", F.explode(strips).alias("strip"))
+        .select("*", F.explode(tiles).alias("tile"))
+        .withColumns({"columns": F.lit(STRIP), "x0": F.greatest("x0", F.col("strip") * STRIP), "x1": F.least("x1", (F.col("strip") + 1) * STRIP - 1)})
+    )
 
 
 def dilate(runs: DataFrame, slides: DataFrame) -> DataFrame:
-    """Dilation by each slide's disk of ``radius`` pixels.
+    """Dilation by each slide's disk of ``radius`` pixels, by a separable distance transform.
 
-    A run is copied once per disk row, not once per disk pixel.
+    Tiles are at least as tall as the disk, so a piece of a run goes to three
+    of them at most whatever the radius, and a tile returns joined runs.
     """
-    spread = (
-        runs.select(*ROW, "x0", "x1")
-        .join(slides.select("slide_id", disk_rows(F.col("radius")).alias("_disk")), "slide_id")
-        .select(*ROW, "x0", "x1", F.inline("_disk"))
-        .select("slide_id", (F.col("y") + F.col("dy")).alias("y"), (F.col("x0") - F.col("w")).alias("x0"), (F.col("x1") + F.col("w")).alias("x1"))
-    )
-    return merge_runs(clip_runs(spread, slides))
+    schema = runs.select(*ROW, "x0", "x1").schema
+    grown = _pieces(runs, slides).groupBy("slide_id", "tile", "strip").applyInPandas(_grown, "slide_id bigint, y bigint, x0 bigint, x1 bigint")
+    grown = clip_runs(grown, slides)
+    return merge_runs(grown.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
 
 
 def close_runs(runs: DataFrame, slides: DataFrame) -> DataFrame:
@@ -251,29 +300,40 @@ def cleanup(runs: DataFrame, slides: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def region_stats(runs: DataFrame, diagonal: bool = True) -> DataFrame:
-    """Area, bounding box and boundary pixels of every component.
+    """Area, bounding box and number of boundary pixels of every component.
 
-    Boundary pixels lack a set 4-neighbour: run ends, and columns that the
-    row above or below does not cover.
+    Boundary pixels lack a set 4-neighbour: all but those inside a run that
+    the rows above and below cover as well.
     """
     labelled = cut_lineage(label_runs(runs, diagonal))
     stats = labelled.groupBy("slide_id", "comp").agg(
         F.sum(F.col("x1") - F.col("x0") + 1).alias("area"),
         F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
     )
-    return stats.join(boundary_pixels(labelled).groupBy("slide_id", "comp").agg(F.count(F.lit(1)).alias("n_boundary")), ["slide_id", "comp"])
-
-
-def boundary_pixels(labelled: DataFrame) -> DataFrame:
-    px = to_pixels(labelled)
-    cols, rows = Window.partitionBy("slide_id", "y").orderBy("x"), Window.partitionBy("slide_id", "x").orderBy("y")
-    missing = F.lit(False)
-    for axis, order in (("x", cols), ("y", rows)):
-        missing = (
-            missing
-            | (F.coalesce(F.lag(axis).over(order), F.lit(-9)) != F.col(axis) - 1)
-            | (F.coalesce(F.lead(axis).over(order), F.lit(-9)) != F.col(axis) + 1)
-        )
-    return px.withColumn("_edge", missing).filter("_edge").drop("_edge")
+    found = stats.join(covered_pixels(labelled), ["slide_id", "comp"], "left")
+    return found.withColumn("n_boundary", F.col("area") - F.coalesce("n_covered", F.lit(0))).drop("n_covered")
+
 
+def covered_pixels(labelled: DataFrame) -> DataFrame:
+    """(slide_id, comp, n_covered): pixels inside their run with a set pixel above and below.
+
+    A sweep over the ends of runs: in every row those of its own runs, one
+    pixel narrower at both sides, and of the rows next to it. Between two
+    ends the number of rows that cover the place stays the same.
+    """
 
+    def ends(dy: int, shrink: int) -> Column:
+        own = F.lit(dy == 0)
+        return F.array(
+            F.struct((F.col("y") + dy).alias("y"), (F.col("x0") + shrink).alias("x"), F.lit(1).alias("step"), F.when(own, F.col("comp")).alias("own")),
+            F.struct((F.col("y") + dy).alias("y"), (F.col("x1") + 1 - shrink).alias("x"), F.lit(-1).alias("step"), F.lit(None).cast("bigint").alias("own")),
+        )
+
+    inner = F.when(F.col("x1") - F.col("x0") >= 2, ends(0, 1)).otherwise(F.array())
+    every = labelled.select("slide_id", F.inline(F.concat(inner, ends(-1, 0), ends(1, 0))))
+    along = Window.partitionBy(*ROW).orderBy("x", "step")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    swept = every.select(
+        "slide_id", F.sum("step").over(so_far).alias("covers"), F.last("own", ignorenulls=True).over(so_far).alias("comp"), (F.lead("x").over(along) - F.col("x")).alias("length")
+    )
+    return swept.filter("covers = 3").groupBy("slide_id", "comp").agg(F.sum("length").alias("n_covered"))

@@ -29,6 +29,16 @@ def read_pixels(spark: SparkSession, path: str, slides: Sequence[int] | None = N
     return df
 
 
+def read_splits(spark: SparkSession, path: str, fold: int | None = None, split: str | None = None) -> DataFrame:
+    """Folds as written by ``write_splits``; fold and split prune folders."""
+    df = spark.read.parquet(path)
+    if fold is not None:
+        df = df.filter(F.col("fold") == fold)
+    if split is not None:
+        df = df.filter(F.col("split") == split)
+    return df
+
+
 def list_inputs(spark: SparkSession, folder: str, pattern: str = "*.tif*", recursive: bool = True) -> DataFrame:
     """Image files under a folder; only the listing is read, never the content."""
     files = (

@@ -9,7 +9,7 @@ from histoframe.operators import cells as C
 from histoframe.operators import evaluate as E
 from histoframe.plans import phenotype
 from histoframe.session import scratch_path
-from histoframe.sources import sinks
+from histoframe.sources import readers, sinks
 from histoframe.workloads import inputs as I
 from histoframe.workloads import workload
 from histoframe.workloads.pixels import r6
@@ -59,6 +59,19 @@ def sink_splits(spark, sf):
     return spark.read.parquet(path).select("cell_id", "label", "fold", "split")
 
 
+@workload(
+    "split_join",
+    f"""WITH {SPLITS}, pos AS (SELECT cell_id, row_number() OVER (ORDER BY cell_id) - 1 AS position FROM quad)
+        SELECT cell_id, label, fold, split, position FROM splits JOIN quad USING (cell_id) JOIN pos USING (cell_id)""",
+)
+def split_join(spark, sf):
+    """Folds written and read back, each row with the position of its patch."""
+    cells = _quad(spark, sf)
+    path = scratch_path(spark, "splits")
+    sinks.write_splits(E.split_folds(cells, "cell_id").join(cells.select("cell_id", "label"), "cell_id"), path)
+    return E.split_join(readers.read_splits(spark, path), cells, "cell_id").select("cell_id", "label", "fold", "split", "position")
+
+
 @workload(
     "cap_per_class",
     """SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || '|42'), doc_id) AS rank FROM documents) WHERE rank <= 150""",

@@ -57,3 +57,38 @@ def test_wishes_of_a_settled_labelling_are_seen(spark):
     labels = spark.createDataFrame([(i, int(i >= 4)) for i in range(10)], "node long, label long")
     facts = G.open_wishes(spark.createDataFrame(pairs, "src long, dst long"), labels, 1.0).first()
     assert facts.moves == 1 and facts.nodes == facts.labelled == 10
+
+
+def plain_neighbours(x, k):
+    distance = ((x[:, None] - x[None]) ** 2).sum(2) ** 0.5
+    np.fill_diagonal(distance, np.inf)
+    order = [np.lexsort((np.arange(len(x)), row))[: min(k, len(x) - 1)] for row in distance]
+    return {(i, int(j), rank) for i, near in enumerate(order) for rank, j in enumerate(near, 1)}
+
+
+def found_neighbours(spark, x, k, **sizes):
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "cell_id long, features array<double>").repartition(3)
+    return {(r.cell_id, r.neighbour, r["rank"]) for r in G.knn(df, k, **sizes).collect()}
+
+
+def test_neighbours_with_ties_and_hot_places(spark):
+    r = np.random.default_rng(5)
+    for x, k, block in ((np.vstack([np.ones((150, 3)), r.normal(size=(120, 3))]), 4, 16), (r.integers(0, 3, (80, 2)) + 1e6, 7, 8), (r.normal(size=(3, 2)), 15, 8), (r.normal(size=(1, 2)), 3, 8)):
+        assert found_neighbours(spark, x.astype(float), k, block=block) == plain_neighbours(x.astype(float), k)
+
+
+def test_few_rows_meet_other_blocks(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(30, 6))[r.integers(0, 30, 900)] * 30 + r.normal(size=(900, 6))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "cell_id long, features array<double>")
+    plan = G.KnnPlan(df, 5, "cell_id", "features", None, 4096)
+    traffic = plan.traffic().first()
+    assert traffic.pivots == 30 and traffic.share < 0.1
+    assert {(r.id, r.neighbour, r["rank"]) for r in plan.neighbours().collect()} == plain_neighbours(x, 5)
+
+
+def test_neighbours_of_odd_rows(spark):
+    schema = "cell_id long, features array<double>, rank string"
+    assert G.knn(spark.createDataFrame([], schema)).count() == 0
+    rows = G.knn(spark.createDataFrame([(1, [0.0], "x"), (2, None, "x"), (3, [2.0], "x")], schema), 2).collect()
+    assert {(r.cell_id, r.neighbour, r.distance) for r in rows} == {(1, 3, 2.0), (3, 1, 2.0)}
