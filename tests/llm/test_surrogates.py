@@ -60,6 +60,17 @@ def test_odd_rows(spark):
     assert re.fullmatch("\u0001\u0002a [0-9.]+ \u0002b", marked)
 
 
+def test_long_chains_are_no_burden(spark):
+    """Thousands of dots, hyphens, digits or words in one mention."""
+    domain, name, digits = "x a@" + "a." * 3000 + "com", "Mr Abc" + "-ab" * 3000 + " came", "1" + " 23" * 20_000
+    titles, mails = "Mr Stone and " * 5000, "a.b@c.de," * 5000
+    longest = "a@" + "b." * 126 + "org"
+    out = replaced(spark, domain, name, digits, titles, mails, longest)
+    assert out[0] == domain and re.fullmatch(r"Mr [A-Z][a-z]+ came", out[1])
+    assert len(set(out[3].split(" and "))) == 2 and "Stone" not in out[3]
+    assert len(set(out[4].split(","))) == 2 and "a.b@c.de" not in out[4] and out[5] != longest
+
+
 def test_more_names_than_short_surrogates(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "SYLLABLES", ("al",))
     monkeypatch.setattr(surrogates, "GROWTH", 1)
