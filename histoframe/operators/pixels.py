@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoframe.functions import numeric as X
+from histoframe.operators.quantiles import refined_quantiles
 
 CHANNEL = ["slide_id", "c"]
 OTSU_BINS = 256
@@ -103,12 +104,35 @@ def channel_percentiles(
     pixels: DataFrame, slides: DataFrame, low: float = 0.01, high: float = 0.99, value: str = "v", stride: int = 1,
     channels: DataFrame | None = None,
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation over the whole frame."""
+    """Exact percentiles with linear interpolation over the whole frame.
+
+    Whole numbers go through their histogram; real ones, whose histogram
+    would be as long as the image, through refinement by leading bits.
+    """
+    if dict(pixels.dtypes)[value] in ("float", "double"):
+        seen, zeros = _with_zeros(pixels, slides, value, stride, channels)
+        weighed = seen.select(*CHANNEL, value, F.lit(1).cast("bigint").alias("n")).unionByName(zeros)
+        found = refined_quantiles(weighed, CHANNEL, value, (low, high), "n")
+        return found.select(*CHANNEL, F.col("quantiles")[0].alias("lo"), F.col("quantiles")[1].alias("hi"))
     hist = channel_histogram(pixels, slides, value, stride, channels)
     q = F.percentile("value", F.array(F.lit(low), F.lit(high)), F.col("n"))
     return hist.groupBy(*CHANNEL).agg(q.alias("_q")).select(*CHANNEL, F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"))
 
 
+def _with_zeros(pixels: DataFrame, slides: DataFrame, value: str, stride: int, channels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Pixels on the stride, and one row (slide_id, c, value 0, n) for the absent ones of each channel."""
+    area = (F.ceil(F.col("height") / stride) * F.ceil(F.col("width") / stride)).cast("bigint")
+    frame = slides.select("slide_id", area.alias("_area"))
+    seen = pixels if stride == 1 else pixels.filter((F.col("y") % stride == 0) & (F.col("x") % stride == 0))
+    present = seen.groupBy(*CHANNEL).agg(F.count(F.lit(1)).alias("_seen"))
+    if channels is not None:
+        named = channels.select(*CHANNEL).distinct().join(present, CHANNEL, "left_anti")
+        present = present.unionByName(named.withColumn("_seen", F.lit(0).cast("bigint")))
+    zero = F.lit(0).cast(dict(pixels.dtypes)[value]).alias(value)
+    zeros = present.join(frame, "slide_id").select(*CHANNEL, zero, (F.col("_area") - F.col("_seen")).alias("n")).filter("n > 0")
+    return seen, zeros
+
+
 def percentile_clip(pixels: DataFrame, bounds: DataFrame) -> DataFrame:
     """Each pixel stretched between its channel's bounds and cut to [0, 1]."""
     return pixels.join(bounds, CHANNEL).withColumn("norm", X.clip_unit(F.col("v"), F.col("lo"), F.col("hi"))).drop("lo", "hi")
@@ -124,13 +148,27 @@ def otsu_threshold(hist: DataFrame, keys: Sequence[str], factor: float = 1.0) ->
     """
     keys = list(keys)
     ends = hist.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi")).filter("hi > lo")
+    binned = hist.join(ends, keys).groupBy(*keys, _otsu_bin(F.col("value")).alias("bin"))
+    return _best_split(binned.agg(F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")), keys, factor)
+
+
+def otsu_of_pixels(pixels: DataFrame, slides: DataFrame, factor: float = 1.0, value: str = "v", channels: DataFrame | None = None) -> DataFrame:
+    """``otsu_threshold`` straight from the pixels, whatever their type: the range first, then 256 counts a channel."""
+    seen, zeros = _with_zeros(pixels, slides, value, 1, channels)
+    ends = channel_minmax(pixels, slides, value, channels).filter("hi > lo")
+    weighed = seen.select(*CHANNEL, value, F.lit(1).cast("bigint").alias("n")).unionByName(zeros)
+    binned = weighed.join(ends, CHANNEL).groupBy(*CHANNEL, _otsu_bin(F.col(value)).alias("bin"))
+    return _best_split(binned.agg(F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")), CHANNEL, factor)
+
+
+def _otsu_bin(value: Column) -> Column:
+    lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
+    return F.least(F.lit(OTSU_BINS - 1), F.floor((value - lo) / (hi - lo) * OTSU_BINS).cast("int"))
+
+
+def _best_split(bins: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """Threshold of (keys, bin, n, lo, hi)."""
     lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
-    bin_ = F.least(F.lit(OTSU_BINS - 1), F.floor((F.col("value") - lo) / (hi - lo) * OTSU_BINS).cast("int"))
-    bins = (
-        hist.join(ends, keys)
-        .groupBy(*keys, bin_.alias("bin"))
-        .agg(F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    )
     upto = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     moment = F.col("n") * F.col("bin")

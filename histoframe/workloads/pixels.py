@@ -108,6 +108,26 @@ def otsu_threshold(spark, sf):
     return P.otsu_threshold(hist, ["slide_id", "c"], 0.7).withColumn("threshold", F.round("threshold", 6))
 
 
+#: Real-valued pixels: negative, tiny and repeated values, most of them distinct.
+REAL = f"""projection AS (SELECT slide_id, c, y, x, (v - 9000) / 64.0::DOUBLE + x / 4096.0::DOUBLE + y / 1048576.0::DOUBLE AS v FROM pixels), {DENSE}, {BOUNDS}"""
+
+
+def _real_pixels(spark, sf):
+    v = (F.col("v") - 9000) / X.d(64) + F.col("x") / X.d(4096) + F.col("y") / X.d(1048576)
+    return I.pixels(spark, sf).withColumn("v", v)
+
+
+@workload("channel_percentiles_real", f"WITH {REAL} SELECT slide_id, c, ROUND(lo, 9) AS lo, ROUND(hi, 9) AS hi FROM bounds")
+def channel_percentiles_real(spark, sf):
+    bounds = P.channel_percentiles(_real_pixels(spark, sf), I.slides(spark, sf))
+    return bounds.select("slide_id", "c", F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"))
+
+
+@workload("otsu_threshold_real", f"WITH {REAL}, {OTSU} SELECT slide_id, c, ROUND(t, 6) AS threshold FROM otsu")
+def otsu_threshold_real(spark, sf):
+    return P.otsu_of_pixels(_real_pixels(spark, sf), I.slides(spark, sf)).withColumn("threshold", F.round("threshold", 6))
+
+
 @workload(
     "tissue_coverage",
     f"""SELECT slide_id, ROUND(n / {AREA}, 6) AS coverage, n / {AREA} < 0.01::DOUBLE OR n / {AREA} > 0.99::DOUBLE AS degenerate
