@@ -571,6 +571,26 @@ def first_nuclear(channels: DataFrame, stored: str = "stored_nuclear") -> DataFr
     )
 
 
+def nuclear_channel(channels: DataFrame, named: str | None = None, strict: bool = True) -> DataFrame:
+    """(slide_id, nuclear_marker, nuclear_idx) of every slide.
+
+    With ``named`` the first channel of that very name, both sides cleaned; a
+    slide without it is an error. Otherwise the first channel that reads as a
+    nuclear stain, kept or not; a slide without one is an error if
+    ``strict``, else it shows with nulls.
+    """
+    if named is None:
+        fits, told = N.is_nuclear(F.col("marker")), "no nuclear stain on the panel"
+    else:
+        fits, told = N.clean_marker(F.col("marker")) == N.clean_marker(F.lit(named)), f"nuclear marker {named!r} is not on the panel"
+    first = channels.groupBy("slide_id").agg(F.min(F.when(fits, F.struct("idx", "marker"))).alias("_first"))
+    slide = F.concat(F.lit("slide "), F.col("slide_id").cast("string"), F.lit(f": {told}"))
+    index = F.col("_first.idx")
+    if strict or named is not None:
+        index = F.when(F.col("_first").isNull(), F.raise_error(slide)).otherwise(index)
+    return first.select("slide_id", F.col("_first.marker").alias("nuclear_marker"), index.alias("nuclear_idx"))
+
+
 def nuclear_check(channels: DataFrame) -> DataFrame:
     """Slides without any kept channel, or without a kept nuclear stain."""
     keep = F.coalesce("keep", F.lit(True))
@@ -603,6 +623,30 @@ def structural_channels(channels: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
+def named_channels(channels: DataFrame, names: Sequence[str], aliases: DataFrame | None = None) -> DataFrame:
+    """(slide_id, place, name, idx, marker, level): the user's names on every slide's own panel, in their order.
+
+    A name is looked up cleaned: as it is, then by ``aliases`` (alias, name);
+    likeness is not tried. A name that a slide does not have is an error of
+    the job that reads ``idx``; of equal channels the first one counts.
+    """
+    spark = channels.sparkSession
+    wanted = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "place int, name string").withColumn("cleaned", N.clean_marker(F.col("name")))
+    tries = wanted.select("place", "cleaned", F.lit(0).alias("step"))
+    if aliases is not None:
+        other = aliases.select(N.clean_marker(F.col("alias")).alias("cleaned"), N.clean_marker(F.col("name")).alias("_to"))
+        tries = tries.unionByName(wanted.join(other, "cleaned").select("place", F.col("_to").alias("cleaned"), F.lit(1).alias("step")))
+    panel = channels.select("slide_id", N.clean_marker(F.col("marker")).alias("cleaned"), "idx", "marker")
+    hits = panel.join(tries, "cleaned").groupBy("slide_id", "place").agg(F.min(F.struct("step", "idx", "marker")).alias("hit"))
+    places = F.array(*[F.lit(i) for i in range(len(names))]).cast("array<int>")
+    every = channels.select("slide_id").distinct().withColumn("place", F.explode(places)).join(wanted, "place")
+    told = F.concat(F.lit("slide "), F.col("slide_id").cast("string"), F.lit(": marker "), F.col("name"), F.lit(" is not on the panel"))
+    found = every.join(hits, ["slide_id", "place"], "left")
+    index = F.when(F.col("hit").isNull(), F.raise_error(told)).otherwise(F.col("hit.idx"))
+    level = F.when(F.col("hit.step") == 0, "exact").otherwise("alias")
+    return found.select("slide_id", "place", "name", index.alias("idx"), F.col("hit.marker").alias("marker"), level.alias("level"))
+
+
 def non_qc_channels(channels: DataFrame, index: DataFrame) -> DataFrame:
     """Channels outside the registry's pathogen family."""
     qc = index.filter(F.col("family") == QC_FAMILY).select(N.clean_marker(F.col("marker_name")).alias("_name")).distinct()
@@ -716,16 +760,19 @@ def readiness(marker_map: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def selection_problems(channels: DataFrame, selection: Selection) -> DataFrame:
-    """(slide_id, problem): globs that match nothing in a slide, and slides left without a channel.
+    """(slide_id, problem): globs that match nothing in a slide, and slides left without a channel or without a nuclear stain.
 
     One pass over the channels with a count per glob.
     """
     patterns = (*selection.include, *selection.exclude)
     kept = kept_channels(channels)
     hits = [F.count_if(N.glob_any(F.lower("marker"), [p])).alias(f"_p{i}") for i, p in enumerate(patterns)]
-    counts = kept.groupBy("slide_id").agg(*hits, F.count_if(in_selection(F.col("marker"), selection)).alias("_picked"))
+    picked = in_selection(F.col("marker"), selection)
+    stains = F.count_if(picked & N.is_nuclear(F.col("marker"))).alias("_nuclear")
+    counts = kept.groupBy("slide_id").agg(*hits, F.count_if(picked).alias("_picked"), stains)
     found = [F.when(F.col(f"_p{i}") == 0, F.lit(f"{p} matches no marker")) for i, p in enumerate(patterns)]
     found.append(F.when(F.col("_picked") == 0, F.lit("the selection leaves no channel")))
+    found.append(F.when((F.col("_picked") > 0) & (F.col("_nuclear") == 0), F.lit("the selection leaves no nuclear stain")))
     return counts.select("slide_id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("problem"))
 
 
@@ -733,7 +780,7 @@ def marker_glob_select(channels: DataFrame, selection: Selection, strict: bool =
     """Kept channels of each slide picked by globs.
 
     With ``strict`` a slide in which a glob matches nothing, or of which no
-    channel is left, is an error.
+    channel or no nuclear stain is left, is an error.
     """
     picked = kept_channels(channels).filter(in_selection(F.col("marker"), selection))
     if not strict:

@@ -197,6 +197,27 @@ def box_pixels(pixels: DataFrame, slides: DataFrame, size: int, stride: int) ->
     )
 
 
+def cell_box_pixels(pixels: DataFrame, boxes: DataFrame, size: int) -> DataFrame:
+    """Pixels of boxes of ``size`` at any place, overlapping or partly off the frame, with their place inside.
+
+    ``boxes`` has slide_id, cell_id and the corner y, x; what has no pixel,
+    off the frame as well, reads 0. A bucketed interval join: a box is listed
+    under the coarse squares of its own size that it touches, four at most,
+    and a pixel looks up its square.
+    """
+    square = lambda column: F.floor(column / size)
+    corner = boxes.select("slide_id", "cell_id", F.col("y").alias("_py"), F.col("x").alias("_px"))
+    listed = corner.select("*", F.explode(F.array_distinct(F.array(square(F.col("_py")), square(F.col("_py") + size - 1)))).alias("_sy"))
+    listed = listed.select("*", F.explode(F.array_distinct(F.array(square(F.col("_px")), square(F.col("_px") + size - 1)))).alias("_sx"))
+    placed = pixels.withColumns({"_sy": square(F.col("y")), "_sx": square(F.col("x"))})
+    dy, dx = F.col("y") - F.col("_py"), F.col("x") - F.col("_px")
+    return (
+        placed.join(listed, ["slide_id", "_sy", "_sx"])
+        .filter(dy.between(0, size - 1) & dx.between(0, size - 1))
+        .select("slide_id", "cell_id", "c", dy.alias("dy"), dx.alias("dx"), "v")
+    )
+
+
 def isolate_cells(pixels: DataFrame, cell_px: DataFrame, patches: DataFrame, size: int) -> DataFrame:
     """Pixels of each cell patch that belong to that very cell.
 

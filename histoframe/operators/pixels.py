@@ -299,6 +299,8 @@ AXIS_CHANNELS = {
     "YX": (),
     "CYX": ("c",),
     "IYX": ("c",),
+    "QYX": ("c",),
+    "YX*": ("c",),
     "YXC": ("c",),
     "YXS": ("c",),
     "TCYX": ("t", "c"),
@@ -313,7 +315,9 @@ def flatten_cycles(pixels: DataFrame, axes: str, n_per_cycle: int = 1) -> DataFr
     """Cycle and channel to one channel index, cycle by cycle.
 
     On long pixels the order of the axes is only the meaning of columns, so
-    every known layout ends in the same projection.
+    every known layout ends in the same projection. ``QYX`` names no channel
+    axis; its first one is taken for it. ``YX*`` is a stack of one file a
+    channel.
     """
     if axes not in AXIS_CHANNELS:
         raise ValueError(f"unknown axes {axes!r}; known: {sorted(AXIS_CHANNELS)}")

@@ -88,16 +88,21 @@ register_encoder, get_encoder, encoder_names = make_registry(Encoder)
 register_segmenter, get_segmenter, segmenter_names = make_registry(Segmenter)
 
 
-def patch_tensors(pixels: DataFrame, slides: DataFrame, size: int, stride: int) -> DataFrame:
+def patch_tensors(pixels: DataFrame, slides: DataFrame, size: int, stride: int, background: DataFrame | None = None) -> DataFrame:
     """Sparse pixels of every patch in one row, as four arrays of at most size * size * channels entries.
 
-    A patch without a pixel has empty arrays.
+    A patch without a pixel has empty arrays. ``background`` (slide_id, c,
+    value) says what absent pixels read, if not 0.
     """
     inside = G.box_pixels(pixels, slides, size, stride)
     filled = inside.groupBy("slide_id", "patch_id").agg(F.collect_list(F.struct("c", "dy", "dx", "v")).alias("_px"))
     grid = G.grid_patches(slides, size, stride).select("slide_id", "patch_id").join(filled, ["slide_id", "patch_id"], "left")
     px = F.coalesce("_px", F.array().cast(filled.schema["_px"].dataType))
-    return grid.withColumn("_px", px).select("slide_id", "patch_id", *[F.col(f"_px.{c}").alias(c) for c in ("c", "dy", "dx", "v")])
+    listed = grid.withColumn("_px", px).select("slide_id", "patch_id", *[F.col(f"_px.{c}").alias(c) for c in ("c", "dy", "dx", "v")])
+    if background is None:
+        return listed
+    bare = background.groupBy("slide_id").agg(F.map_from_entries(F.collect_list(F.struct("c", "value"))).alias("_bare"))
+    return listed.join(bare, "slide_id", "left").withColumns({"bare_c": F.map_keys("_bare"), "bare_v": F.map_values("_bare")}).drop("_bare")
 
 
 def encode(tensors: DataFrame, encoder: Encoder, channels: list[int], markers: list[str], size: int, batch_size: int = 64) -> DataFrame:
@@ -115,6 +120,10 @@ def encode(tensors: DataFrame, encoder: Encoder, channels: list[int], markers: l
             for s in range(0, len(frame), batch_size):
                 part = frame.iloc[s : s + batch_size]
                 batch = np.zeros((len(part), len(channels), size, size))
+                if "bare_c" in part:
+                    for i, (bare_c, bare_v) in enumerate(zip(part["bare_c"], part["bare_v"])):
+                        level = dict(zip(bare_c, bare_v)) if bare_c is not None else {}
+                        batch[i] += np.array([level.get(c, 0.0) for c in channels])[:, None, None]
                 owner = np.repeat(np.arange(len(part)), [len(c) for c in part["c"]])
                 c, dy, dx, v = (np.concatenate(part[name].to_list()) for name in ("c", "dy", "dx", "v"))
                 known = c < len(slot)

@@ -241,7 +241,8 @@ def marker_glob_select(spark, sf):
     f"""WITH k AS (SELECT * FROM panel WHERE COALESCE(keep, TRUE)), p AS (SELECT unnest({list(SELECTION.include + SELECTION.exclude)}) AS pattern)
         SELECT slide_id, pattern || ' matches no marker' AS problem FROM k CROSS JOIN p GROUP BY slide_id, pattern
         HAVING COUNT(*) FILTER (lower(marker) GLOB lower(pattern)) = 0
-        UNION ALL SELECT slide_id, 'the selection leaves no channel' FROM k GROUP BY slide_id HAVING COUNT(*) FILTER ({glob_sql('marker')}) = 0""",
+        UNION ALL SELECT slide_id, CASE WHEN COUNT(*) FILTER ({glob_sql('marker')}) = 0 THEN 'the selection leaves no channel' ELSE 'the selection leaves no nuclear stain' END
+        FROM k GROUP BY slide_id HAVING COUNT(*) FILTER ({glob_sql('marker')} AND {nuclear_sql('marker')}) = 0""",
 )
 def selection_problems(spark, sf):
     return M.selection_problems(I.panel(spark, sf), SELECTION)
@@ -322,6 +323,28 @@ def first_nuclear(spark, sf):
     return M.first_nuclear(I.panel(spark, sf).withColumn("stored_nuclear", F.lit("small_ring")))
 
 
+@workload(
+    "nuclear_channel",
+    f"""SELECT slide_id, arg_min(marker, idx) FILTER ({nuclear_sql('marker')}) AS nuclear_marker, MIN(idx) FILTER ({nuclear_sql('marker')}) AS nuclear_idx
+        FROM panel GROUP BY slide_id""",
+)
+def nuclear_channel(spark, sf):
+    """Every slide of the cohort, those without a stain with nulls."""
+    return M.nuclear_channel(I.panel(spark, sf), strict=False)
+
+
+#: Two names every slide has, one of them by an alias.
+NAMED = "named AS (SELECT slide_id, CAST(k AS INT) AS place, ['Every One', 'e1'][k + 1] AS name, 900 AS idx, 'every_one' AS marker, ['exact', 'alias'][k + 1] AS level FROM (SELECT DISTINCT slide_id FROM panel), range(2) t(k))"
+
+
+@workload("named_channels", f"WITH {NAMED} SELECT * FROM named")
+def named_channels(spark, sf):
+    panel = I.panel(spark, sf).select("slide_id", "idx", "marker")
+    common = panel.select("slide_id").distinct().select("slide_id", F.lit(900).alias("idx"), F.lit("every_one").alias("marker"))
+    aliases = spark.createDataFrame([("E1", "every-one"), ("other", "none")], "alias string, name string")
+    return M.named_channels(panel.unionByName(common), ["Every One", "e1"], aliases)
+
+
 COMPLETED = "completed AS (SELECT DISTINCT CAST(slide_id AS INT) AS slide_id, stage FROM task_events WHERE status = 'completed' AND stage IN ('tissue', 'cells', 'patch', 'extract'))"
 
 

@@ -204,6 +204,15 @@ def cell_isolate(spark, sf):
     return _isolated(spark, sf)
 
 
+@workload(
+    "cell_box_pixels",
+    f"""WITH {BOXES} SELECT b.slide_id, b.cell_id, c, p.y - b.y AS dy, p.x - b.x AS dx, v FROM boxes b
+        JOIN pixels p ON p.slide_id = b.slide_id AND p.y - b.y BETWEEN 0 AND 10 AND p.x - b.x BETWEEN 0 AND 10""",
+)
+def cell_box_pixels(spark, sf):
+    return G.cell_box_pixels(I.pixels(spark, sf), G.cell_patches(C.cell_table(I.cell_px(spark, sf)), 11), 11)
+
+
 @workload(
     "cell_mean_marker",
     f"""WITH {ISOLATED}, seen AS (SELECT slide_id, cell_id, c, SUM(v) / {DIVISOR} / (1e-6::DOUBLE + COUNT(*)) AS value

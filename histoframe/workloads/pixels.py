@@ -9,6 +9,8 @@ from histoframe.operators import cells as C
 from histoframe.operators import markers as M
 from histoframe.operators import pixels as P
 from histoframe.operators import stats as S
+from histoframe.operators.images import SparseImage
+from histoframe.session import scratch_path
 from histoframe.sources import readers
 from histoframe.workloads import inputs as I
 from histoframe.workloads import workload
@@ -25,7 +27,6 @@ def r6(name: str):
 @workload("src_pixels", "SELECT * FROM pixels WHERE c IN (0, 3)")
 def src_pixels(spark, sf):
     """Round trip through a table partitioned by channel, then a pruned read."""
-    from histoframe.session import scratch_path
     from histoframe.sources import sinks
 
     path = scratch_path(spark, "pixels")
@@ -128,6 +129,85 @@ def otsu_threshold_real(spark, sf):
     return P.otsu_of_pixels(_real_pixels(spark, sf), I.slides(spark, sf)).withColumn("threshold", F.round("threshold", 6))
 
 
+#: Every channel of the panel on the whole frame; the last one has no pixel anywhere.
+WHOLE = f"""planes AS (SELECT slide_id, CAST(k AS INT) AS c FROM slides, range(8) t(k)),
+    whole AS (SELECT slide_id, c, y, x, COALESCE(v, 0) AS v FROM planes CROSS JOIN (SELECT CAST(a.i AS INT) AS y, CAST(b.i AS INT) AS x FROM range({I.FRAME}) a(i), range({I.FRAME}) b(i)) f
+              LEFT JOIN pixels USING (slide_id, c, y, x))"""
+
+
+def _planes(spark, sf):
+    return I.slides(spark, sf).select("slide_id", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("c"))
+
+
+def _image(spark, sf):
+    return SparseImage.of_counts(I.pixels(spark, sf), _planes(spark, sf), I.slides(spark, sf))
+
+
+@workload("channel_minmax_panel", f"WITH {WHOLE} SELECT slide_id, c, MIN(v) AS lo, MAX(v) AS hi FROM whole GROUP BY 1, 2")
+def channel_minmax_panel(spark, sf):
+    return P.channel_minmax(I.pixels(spark, sf), I.slides(spark, sf), channels=_planes(spark, sf))
+
+
+@workload(
+    "channel_percentiles_panel",
+    f"WITH {WHOLE} SELECT slide_id, c, ROUND(quantile_cont(v, 0.01), 6) AS lo, ROUND(quantile_cont(v, 0.99), 6) AS hi FROM whole GROUP BY 1, 2",
+)
+def channel_percentiles_panel(spark, sf):
+    bounds = P.channel_percentiles(I.pixels(spark, sf), I.slides(spark, sf), channels=_planes(spark, sf))
+    return bounds.select("slide_id", "c", r6("lo"), r6("hi"))
+
+
+@workload(
+    "zscore_frame",
+    f"""WITH {WHOLE}, s AS (SELECT slide_id, c, AVG(v) AS mean, STDDEV_POP(v) + 1 AS std FROM whole GROUP BY 1, 2),
+        z AS (SELECT slide_id, c, (v - mean) / std AS z FROM whole JOIN s USING (slide_id, c))
+        SELECT slide_id, c, COUNT(*) AS n, ROUND(SUM(z), 4) + 0.0::DOUBLE AS total, ROUND(MIN(z), 6) + 0.0::DOUBLE AS lo, ROUND(MAX(z), 6) + 0.0::DOUBLE AS hi FROM z GROUP BY 1, 2""",
+)
+def zscore_frame(spark, sf):
+    """Absent pixels read (0 - mean) / std: counted over the whole frame after a round trip through files."""
+    image = _image(spark, sf)
+    moments = image.pixels.groupBy("slide_id", "c").agg(F.sum("value").alias("_s"), F.sum(F.col("value") * F.col("value")).alias("_q"))
+    mean = F.coalesce("_s", X.d(0)) / X.d(AREA)
+    stats = image.background.join(moments, ["slide_id", "c"], "left").select(
+        "slide_id", "c", mean.alias("mean"), (F.sqrt(F.greatest(F.coalesce("_q", X.d(0)) / X.d(AREA) - mean * mean, X.d(0))) + 1).alias("std")
+    )
+    path = scratch_path(spark, "image")
+    image.zscored(stats).write(path)
+    found = SparseImage.read(spark, path).totals()
+    return found.select("slide_id", "c", "n", *[(F.round(name, places) + X.d(0)).alias(name) for name, places in (("total", 4), ("lo", 6), ("hi", 6))])
+
+
+@workload(
+    "dapi_invert_frame",
+    f"""WITH {WHOLE}, bounds AS (SELECT slide_id, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM whole WHERE c = 0 GROUP BY 1)
+        SELECT slide_id, y, x, CAST(FLOOR((1 - {CLIP}) * 255) AS INT) AS gray FROM whole JOIN bounds USING (slide_id) WHERE c = 0""",
+)
+def dapi_invert_frame(spark, sf):
+    """The inverted stain on every pixel of the frame; the background is white."""
+    px, planes, slides = I.pixels(spark, sf).filter("c = 0"), _planes(spark, sf).filter("c = 0"), I.slides(spark, sf)
+    bounds = P.channel_percentiles(px, slides, channels=planes)
+    gray = SparseImage.of_counts(px, planes, slides).grayed(bounds).dense()
+    return gray.select("slide_id", "y", "x", F.col("value").cast("int").alias("gray"))
+
+
+@workload(
+    "pseudo_rgb_frame",
+    f"WITH {WHOLE}, n AS (SELECT slide_id, y, x, " + ", ".join(
+        f"(SUM(v / {DIVISOR} * ROUND((c * 0.618034::DOUBLE + {i / 3}::DOUBLE) % 1, 4)) / 8 - {X.IMAGENET_MEAN[i]}::DOUBLE) / {X.IMAGENET_STD[i]}::DOUBLE AS v{i}" for i in range(3))
+    + """ FROM whole JOIN slides USING (slide_id) GROUP BY 1, 2, 3)
+        SELECT slide_id, CAST(k AS INT) AS c, ROUND(SUM(v), 4) AS total, ROUND(MIN(v), 6) AS lo, ROUND(MAX(v), 6) AS hi
+        FROM (SELECT slide_id, unnest([v0, v1, v2]) AS v, unnest([0, 1, 2]) AS k FROM n) GROUP BY 1, 2""",
+)
+def pseudo_rgb_frame(spark, sf):
+    """Pseudo-colours over the panel's eight channels, normalised for a photograph network, on the whole frame."""
+    scale = I.slides(spark, sf).select("slide_id", X.dtype_divisor(F.col("dtype")).alias("_divisor"))
+    unit = _image(spark, sf).mapped(lambda v: v / F.col("_divisor"), scale)
+    rgb = unit.summed([P.colour_of(F.col("c"))[i] / 8 for i in range(3)])
+    by_plane = spark.createDataFrame([(i, X.IMAGENET_MEAN[i], X.IMAGENET_STD[i]) for i in range(3)], "c int, mean double, std double")
+    found = rgb.mapped(lambda v: (v - F.col("mean")) / F.col("std"), by_plane).totals()
+    return found.select("slide_id", "c", F.round("total", 4).alias("total"), r6("lo"), r6("hi"))
+
+
 @workload(
     "tissue_coverage",
     f"""SELECT slide_id, ROUND(n / {AREA}, 6) AS coverage, n / {AREA} < 0.01::DOUBLE OR n / {AREA} > 0.99::DOUBLE AS degenerate

@@ -249,6 +249,9 @@ def test_glob_problems_are_per_slide(spark):
     wanted = markers.Selection(include=("dapi",))
     found = {(r.slide_id, r.problem) for r in markers.selection_problems(channels, wanted).collect()}
     assert found == {(2, "dapi matches no marker"), (2, "the selection leaves no channel")}
+    unstained = markers.Selection(include=("c*", "d*"), exclude=("dapi",))
+    both = spark.createDataFrame([(1, 0, "DAPI", True), (1, 1, "cd3", True)], channels.schema)
+    assert [r.problem for r in markers.selection_problems(both, unstained).collect()] == ["the selection leaves no nuclear stain"]
     with pytest.raises(Exception, match="slide 2"):
         markers.marker_glob_select(channels, wanted).collect()
     assert markers.marker_glob_select(channels.filter("slide_id = 1"), wanted).count() == 1
