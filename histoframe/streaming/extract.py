@@ -12,10 +12,10 @@ from histoframe.session import scratch_path
 
 
 def incremental_extract(
-    arrivals: DataFrame, pixels_of: Callable[[DataFrame], DataFrame], slides: DataFrame, size: int, stride: int,
+    arrivals: DataFrame, pixels_of: Callable[[DataFrame], DataFrame], slides: DataFrame, panel: DataFrame, size: int, stride: int,
     path: str, checkpoint: str,
 ) -> None:
-    """Mean-marker features of newly arrived slides.
+    """Mean-marker features of newly arrived slides: every patch and every panel channel (slide_id, idx), 0 where blank.
 
     ``arrivals`` streams rows with slide_id. The checkpoint remembers what
     was processed, so a second run does only later arrivals. A slide has its
@@ -26,17 +26,19 @@ def incremental_extract(
     def write(batch: DataFrame, batch_id: int) -> None:
         new = batch.select("slide_id").distinct()
         mine = slides.join(new, "slide_id", "left_semi")
-        values = G.mean_marker_sparse(pixels_of(new), mine, size, stride)
+        values = G.feature_long(G.mean_marker(pixels_of(new), mine, panel, size, stride))
         values.write.partitionBy("slide_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     query = arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
 
 
-def extract_once(arrivals: DataFrame, pixels_of: Callable[[DataFrame], DataFrame], slides: DataFrame, size: int, stride: int) -> DataFrame:
+def extract_once(
+    arrivals: DataFrame, pixels_of: Callable[[DataFrame], DataFrame], slides: DataFrame, panel: DataFrame, size: int, stride: int
+) -> DataFrame:
     """Drain the arrivals and read all features written so far."""
     spark = arrivals.sparkSession
     path, checkpoint = scratch_path(spark, "extract"), scratch_path(spark, "extract-checkpoint")
-    incremental_extract(arrivals, pixels_of, slides, size, stride, path, checkpoint)
+    incremental_extract(arrivals, pixels_of, slides, panel, size, stride, path, checkpoint)
     schema = "patch_id int, c int, value double, slide_id int"
     return spark.read.option("basePath", path).schema(schema).parquet(path).select("slide_id", "patch_id", "c", F.col("value"))
