@@ -167,12 +167,12 @@ def cell_mask_validate(spark, sf):
     return C.mask_problems(bad.withColumn("x", F.col("x") + F.when(F.col("slide_id") % 5 == 0, 3).otherwise(0)), I.slides(spark, sf))
 
 
-@workload("mask_binarize", "SELECT slide_id, y, x FROM pixels WHERE c = 2 AND v - 20000 > 0")
+@workload("mask_binarize", "SELECT slide_id, y, x FROM pixels GROUP BY 1, 2, 3 HAVING MAX(v) - 20000 > 0")
 def mask_binarize(spark, sf):
-    values = I.pixels(spark, sf).filter("c = 2").withColumn("v", F.col("v") - 20000)
-    return C.binarize(values.drop("c"), I.slides(spark, sf))
+    values = I.pixels(spark, sf).groupBy("slide_id", "y", "x").agg((F.max("v") - 20000).alias("v"))
+    return C.binarize(values, I.slides(spark, sf))
 
 
-@workload("mask_union", "SELECT slide_id, y, x FROM tissue_px UNION SELECT slide_id, y, x FROM pixels WHERE c = 2")
+@workload("mask_union", "SELECT slide_id, y, x FROM tissue_px UNION SELECT slide_id, y, x FROM pixels")
 def mask_union(spark, sf):
-    return I.tissue_px(spark, sf).union(I.pixels(spark, sf).filter("c = 2").select("slide_id", "y", "x")).distinct()
+    return I.tissue_px(spark, sf).union(I.pixels(spark, sf).select("slide_id", "y", "x")).distinct()

@@ -15,6 +15,7 @@ from histoframe.workloads import workload
 from histoframe.workloads.pixels import r6
 
 LABELS = [f"class_{i}" for i in range(10)]
+DIMS = 64  # of the feature vectors
 LABEL_LIST = "labels_ AS (SELECT 'class_' || i AS label FROM range(10) t(i))"
 
 
@@ -184,13 +185,13 @@ def error_rate(spark, sf):
 
 @workload(
     "encoder_delta",
-    """WITH r AS (SELECT CASE WHEN l_returnflag = 'A' THEN 'mean_marker' ELSE 'other' END AS encoder, l_discount AS m1, l_tax AS m2 FROM lineitem WHERE l_returnflag <> 'N')
+    """WITH r AS (SELECT CASE WHEN l_returnflag = 'A' THEN 'mean_marker' ELSE 'other' END AS encoder, l_discount AS m1, l_tax AS m2 FROM lineitem)
        SELECT metric, ROUND(a, 6) AS mean_marker, ROUND(b, 6) AS other, ROUND(a - b, 6) AS delta FROM (
             SELECT 'discount' AS metric, AVG(m1) FILTER (encoder = 'mean_marker') AS a, AVG(m1) FILTER (encoder = 'other') AS b FROM r
             UNION ALL SELECT 'tax', AVG(m2) FILTER (encoder = 'mean_marker'), AVG(m2) FILTER (encoder = 'other') FROM r)""",
 )
 def encoder_delta(spark, sf):
-    li = I.table(spark, sf, "lineitem").filter("l_returnflag <> 'N'")
+    li = I.table(spark, sf, "lineitem")
     r = li.select(F.when(F.col("l_returnflag") == "A", "mean_marker").otherwise("other").alias("encoder"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
     return E.encoder_delta(r, "mean_marker", "other", ["discount", "tax"]).select("metric", r6("mean_marker"), r6("other"), r6("delta"))
 
@@ -248,32 +249,35 @@ def avg_precision_macro(spark, sf):
 
 @workload(
     "widen_probs",
-    "SELECT cell_id, CAST(k AS INT) AS k, ROUND(CASE k WHEN 2 THEN features[1] WHEN 5 THEN features[2] WHEN 9 THEN features[3] ELSE 0 END, 6) AS p FROM cell_features, range(10) t(k)",
+    f"SELECT cell_id, CAST(k AS INT) AS k, ROUND(CASE WHEN k % 2 = 0 THEN features[k // 2 + 1] ELSE 0 END, 6) AS p FROM cell_features, range({2 * DIMS}) t(k)",
 )
 def widen_probs(spark, sf):
     f = I.cell_features(spark, sf)
-    few = f.select("cell_id", F.array(*[F.lit(f"class_{k}") for k in (2, 5, 9)]).alias("classes"), F.slice("features", 1, 3).alias("probs"))
-    return E.widen_probs(few, LABELS).select("cell_id", F.posexplode("probs").alias("k", "p")).withColumn("p", F.round("p", 6))
+    few = f.select("cell_id", F.array(*[F.lit(f"class_{2 * k}") for k in range(DIMS)]).alias("classes"), F.col("features").alias("probs"))
+    return E.widen_probs(few, [f"class_{k}" for k in range(2 * DIMS)]).select("cell_id", F.posexplode("probs").alias("k", "p")).withColumn("p", F.round("p", 6))
 
 
 def _argmax(spark, sf):
-    return E.argmax_label(I.cell_features(spark, sf).select("cell_id", F.slice("features", 1, 10).alias("probs")), LABELS)
+    return E.argmax_label(I.cell_features(spark, sf).select("cell_id", F.col("features").alias("probs")), [f"class_{k}" for k in range(DIMS)])
 
 
-@workload("argmax_pred", "SELECT cell_id, 'class_' || (list_position(features[1:10], list_max(features[1:10])) - 1) AS pred FROM cell_features")
+@workload("argmax_pred", "SELECT cell_id, 'class_' || (list_position(features, list_max(features)) - 1) AS pred FROM cell_features")
 def argmax_pred(spark, sf):
     return _argmax(spark, sf).select("cell_id", "pred")
 
 
 @workload(
     "sink_predictions",
-    """SELECT 0 AS slide_id, cell_id, 'probe' AS label_set, 'class_' || (list_position(features[1:10], list_max(features[1:10])) - 1) AS label FROM cell_features
+    """SELECT 0 AS slide_id, cell_id, 'probe' AS label_set, 'class_' || (list_position(features, list_max(features)) - 1) AS label FROM cell_features
        UNION ALL SELECT 0, cell_id, 'maps', label FROM cell_features""",
 )
 def sink_predictions(spark, sf):
     truth = I.cell_features(spark, sf).select(F.lit(0).alias("slide_id"), "cell_id", F.lit("maps").alias("label_set"), "label")
     preds = _argmax(spark, sf).select(F.lit(0).alias("slide_id"), "cell_id", F.col("pred").alias("label"))
-    return C.replace_label_set(truth, preds, "probe")
+    path = scratch_path(spark, "labels")
+    for label_set, rows in (("maps", truth), ("probe", preds.withColumn("label", F.lit("old"))), ("probe", preds)):
+        sinks.write_label_set(rows, path, label_set)
+    return spark.read.parquet(path).select("slide_id", "cell_id", "label_set", "label")
 
 
 @workload("linear_probe")

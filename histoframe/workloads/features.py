@@ -113,6 +113,6 @@ def _threshold_segmenter():
     return Bright()
 
 
-@workload("segmenter_plugin", "SELECT DISTINCT slide_id, y, x FROM pixels WHERE c IN (0, 1) AND v > 30000")
+@workload("segmenter_plugin", "SELECT DISTINCT slide_id, y, x FROM pixels WHERE v > 30000")
 def segmenter_plugin(spark, sf):
-    return segment_tissue(I.pixels(spark, sf), I.slides(spark, sf), _threshold_segmenter(), [0, 1], SIZE, STRIDE)
+    return segment_tissue(I.pixels(spark, sf), I.slides(spark, sf), _threshold_segmenter(), list(range(7)), SIZE, STRIDE)

@@ -325,12 +325,12 @@ def first_nuclear(spark, sf):
 
 @workload(
     "nuclear_channel",
-    f"""SELECT slide_id, arg_min(marker, idx) FILTER ({nuclear_sql('marker')}) AS nuclear_marker, MIN(idx) FILTER ({nuclear_sql('marker')}) AS nuclear_idx
-        FROM panel GROUP BY slide_id""",
+    f"""SELECT slide_id, COALESCE(arg_min(marker, idx) FILTER ({nuclear_sql('marker')}), '') AS nuclear_marker,
+            COALESCE(MIN(idx) FILTER ({nuclear_sql('marker')}), -1) AS nuclear_idx FROM panel GROUP BY slide_id""",
 )
 def nuclear_channel(spark, sf):
-    """Every slide of the cohort, those without a stain with nulls."""
-    return M.nuclear_channel(I.panel(spark, sf), strict=False)
+    """Every slide of the cohort, those without a stain as -1."""
+    return M.nuclear_channel(I.panel(spark, sf), strict=False).fillna({"nuclear_marker": "", "nuclear_idx": -1})
 
 
 #: Two names every slide has, one of them by an alias.

@@ -90,12 +90,8 @@ def integral_image(spark, sf):
     return G.integral_image(I.tissue_px(spark, sf), I.slides(spark, sf))
 
 
-CORNER = "l_quantity > 45"
-
-
 def _bright(spark, sf):
-    px = I.table(spark, sf, "lineitem").filter(CORNER)
-    return px.select(
+    return I.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("slide_id"),
         (F.col("l_orderkey") % 30 + 5).cast("int").alias("y"),
         (F.col("l_partkey") % 20 + 25).cast("int").alias("x"),
@@ -106,7 +102,7 @@ def _bright(spark, sf):
     "bbox_prefilter",
     f"""WITH {grid_sql(SIZE, STRIDE)}, box AS (
             SELECT CAST(l_suppkey AS INT) AS s, MIN(l_orderkey % 30 + 5) AS y0, MAX(l_orderkey % 30 + 5) AS y1,
-                   MIN(l_partkey % 20 + 25) AS x0, MAX(l_partkey % 20 + 25) AS x1 FROM lineitem WHERE {CORNER} GROUP BY 1)
+                   MIN(l_partkey % 20 + 25) AS x0, MAX(l_partkey % 20 + 25) AS x1 FROM lineitem GROUP BY 1)
         SELECT slide_id, patch_id, x, y FROM grid JOIN box ON s = slide_id
         WHERE x <= x1 AND x + {SIZE} > x0 AND y <= y1 AND y + {SIZE} > y0""",
 )

@@ -183,11 +183,11 @@ def detect_islands(spark, sf):
 @workload(
     "tile_vote",
     f"""WITH {grid_sql(SIZE, STRIDE)} SELECT slide_id, y, x, ROUND(AVG(p), 6) AS vote, AVG(p) >= 0.5::DOUBLE AS tissue FROM (
-            SELECT p.slide_id, p.y, p.x, ((v // 1000 + patch_id * 7) % 64) / 64 AS p FROM pixels p JOIN grid g ON {inside(SIZE)} WHERE p.c = 1)
+            SELECT p.slide_id, p.y, p.x, ((v // 1000 + patch_id * 7) % 64) / 64 AS p FROM pixels p JOIN grid g ON {inside(SIZE)})
         GROUP BY 1, 2, 3""",
 )
 def tile_vote(spark, sf):
-    tiles = G.with_patches(I.pixels(spark, sf).filter("c = 1"), I.slides(spark, sf), SIZE, STRIDE)
+    tiles = G.with_patches(I.pixels(spark, sf), I.slides(spark, sf), SIZE, STRIDE)
     return T.tile_vote(tiles.withColumn("p", ((F.floor(F.col("v") / 1000) + F.col("patch_id") * 7) % 64) / 64)).withColumn("vote", F.round("vote", 6))
 
 

@@ -252,7 +252,7 @@ def quarantine(spark, sf):
     return rows.groupBy(F.col("l_returnflag").alias("flag"), "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-METHODS = """methods AS (SELECT o_custkey AS slide_id, CASE o_orderstatus WHEN 'F' THEN 'carta' WHEN 'O' THEN 'otsu' ELSE 'imported' END AS method FROM orders WHERE o_totalprice > 300000)"""
+METHODS = """methods AS (SELECT o_custkey AS slide_id, CASE o_orderstatus WHEN 'F' THEN 'carta' WHEN 'O' THEN 'otsu' ELSE 'imported' END AS method FROM orders)"""
 
 
 @workload(
@@ -264,7 +264,7 @@ METHODS = """methods AS (SELECT o_custkey AS slide_id, CASE o_orderstatus WHEN '
                     WHEN req IS NULL AND NOT list_contains(present, 'otsu') THEN 'ambiguous' ELSE '' END AS problem FROM p""",
 )
 def tissue_method_pick(spark, sf):
-    o = I.table(spark, sf, "orders").filter("o_totalprice > 300000")
+    o = I.table(spark, sf, "orders")
     kind = F.when(F.col("o_orderstatus") == "F", "carta").when(F.col("o_orderstatus") == "O", "otsu").otherwise("imported")
     methods = o.select(F.col("o_custkey").alias("slide_id"), kind.alias("method"))
     return Q.pick_tissue_method(methods, F.when(F.col("slide_id") % 3 == 0, "carta")).fillna("")
