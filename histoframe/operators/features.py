@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +21,11 @@ def join_positions(features: DataFrame, patches: DataFrame, keys: Sequence[str])
     return features.join(patches.select(*keys, "x", "y"), list(keys))
 
 
+def join_bucketed(spark: SparkSession, tables: Sequence[str], keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Tables that ``write_bucketed`` has cut alike, joined on their keys bucket by bucket."""
+    return reduce(lambda a, b: a.join(b, list(keys), how), [spark.table(t) for t in tables])
+
+
 def feature_inventory(features: DataFrame) -> DataFrame:
     """Stored feature sets with their shape."""
     return features.groupBy("slide_id", "slug", "encoder", "variant").agg(

@@ -219,30 +219,31 @@ def _grown(piece):  # noqa: ANN001, ANN202 - pandas frames
     import pandas as pd
 
     r, tile, rows = int(piece["radius"].iloc[0]), int(piece["tile"].iloc[0]), int(piece["tile_rows"].iloc[0])
-    columns = int(piece["columns"].iloc[0])
-    left, top = int(piece["strip"].iloc[0]) * columns, tile * rows - r
-    mask = np.zeros((rows + 2 * r, columns), bool)
-    for y, x0, x1 in zip(piece["y"].to_numpy() - top, piece["x0"].to_numpy() - left, piece["x1"].to_numpy() - left):
+    ys, starts, stops = (piece[name].to_numpy() for name in ("y", "x0", "x1"))
+    first, last = max(tile * rows, ys.min() - r), min((tile + 1) * rows - 1, ys.max() + r)
+    top, left, columns = min(first, ys.min()), starts.min(), stops.max() - starts.min() + 1
+    mask = np.zeros((max(last, ys.max()) - top + 1, columns), bool)
+    for y, x0, x1 in zip(ys - top, starts - left, stops - left):
         mask[y, x0 : x1 + 1] = True
     far = np.where(mask, 0, r + 1)
     for y in range(1, len(far)):
         np.minimum(far[y], far[y - 1] + 1, out=far[y])
     for y in range(len(far) - 2, -1, -1):
         np.minimum(far[y], far[y + 1] + 1, out=far[y])
-    far = far[r : r + rows]
+    far = far[first - top : last - top + 1]
     reach = np.array([math.isqrt(r * r - d * d) for d in range(r + 1)])
     out = []
     width = columns + 2 * r + 1
-    for at in range(0, rows, 256):
-        y, x = np.nonzero(far[at : at + 256] <= r)
-        w = reach[far[at : at + 256][y, x]]
-        n = len(far[at : at + 256])
-        edges = np.bincount(y * width + x + r - w, minlength=n * width) - np.bincount(y * width + x + r + w + 1, minlength=n * width + 1)[: n * width]
+    for at in range(0, len(far), 256):
+        part = far[at : at + 256]
+        y, x = np.nonzero(part <= r)
+        w, n = reach[part[y, x]], len(part)
+        edges = np.bincount(y * width + x + r - w, minlength=n * width) - np.bincount(y * width + x + r + w + 1, minlength=n * width)
         covered = np.zeros((n, width + 1), np.int8)
         covered[:, 1:] = edges.reshape(n, width).cumsum(axis=1) > 0
         turn = np.diff(covered, axis=1)
         (row, start), stop = np.nonzero(turn == 1), np.nonzero(turn == -1)[1]
-        out.append(pd.DataFrame({"y": row + at + tile * rows, "x0": start + left - r, "x1": stop - 1 + left - r}))
+        out.append(pd.DataFrame({"y": row + at + first, "x0": start + left - r, "x1": stop - 1 + left - r}))
     found = pd.concat(out)
     found.insert(0, "slide_id", piece["slide_id"].iloc[0])
     return found
@@ -258,7 +259,7 @@ def _pieces(runs: DataFrame, slides: DataFrame) -> DataFrame:
         .join(slides.select("slide_id", F.col("radius").cast("int").alias("radius"), rows.cast("int").alias("tile_rows")), "slide_id")
         .select(*ROW, "x0", "x1", "radius", "tile_rows", F.explode(strips).alias("strip"))
         .select("*", F.explode(tiles).alias("tile"))
-        .withColumns({"columns": F.lit(STRIP), "x0": F.greatest("x0", F.col("strip") * STRIP), "x1": F.least("x1", (F.col("strip") + 1) * STRIP - 1)})
+        .withColumns({"x0": F.greatest("x0", F.col("strip") * STRIP), "x1": F.least("x1", (F.col("strip") + 1) * STRIP - 1)})
     )
 
 

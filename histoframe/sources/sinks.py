@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histoframe.session import scratch_path
+
 CELL_SCHEMA = "slide_id INT, cell_id INT, x DOUBLE, y DOUBLE, cell_area BIGINT"
 FEATURE_KEYS = ("slide_id", "slug", "encoder", "variant")
 
@@ -25,6 +28,20 @@ def write_pixels(pixels: DataFrame, path: str, by: Sequence[str] = ("slide_id",
     spread.write.partitionBy(*by).mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 64) -> str:
+    """Table in the shared folder, cut and sorted by ``keys`` into ``buckets``; gives the name it is registered under.
+
+    Tables of the same keys, key types and number of buckets join without a
+    shuffle: positions, labels and the feature sets of several encoders are
+    cut once, when written. One file a bucket; a hot slide is spread as long
+    as the keys go on below it (patch, cell).
+    """
+    table = f"{name}_{uuid.uuid4().hex}"
+    cut = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    cut.option("path", scratch_path(df.sparkSession, name)).saveAsTable(table)
+    return table
+
+
 def write_cell_table(cells: DataFrame, path: str, fmt: str = "parquet") -> None:
     cells.write.mode("overwrite").option("header", True).format(fmt).save(path)
 

@@ -176,6 +176,29 @@ def feature_pos_join(spark, sf):
     return join_positions(long, G.grid_patches(I.slides(spark, sf), TILE, TILE), ["slide_id", "patch_id"])
 
 
+@workload(
+    "feature_join_bucketed",
+    f"""WITH {mean_sql(TILE, TILE)} SELECT l.slide_id, l.patch_id, g.x, g.y, ROUND(CAST(tissue_prop AS DOUBLE), 6) AS tissue_prop, l.c, ROUND(l.value, 6) AS value
+        FROM long l JOIN grid g ON g.slide_id = l.slide_id AND g.patch_id = l.patch_id
+        JOIN (WITH {prop_sql(TILE, TILE)} SELECT * FROM props) t ON t.slide_id = l.slide_id AND t.patch_id = l.patch_id""",
+)
+def feature_join_bucketed(spark, sf):
+    """Features, positions and tissue shares stored in the same buckets, joined as they lie."""
+    from histoframe.operators.features import join_bucketed
+    from histoframe.sources.sinks import write_bucketed
+
+    slides, keys = I.slides(spark, sf), ["slide_id", "patch_id"]
+    sets = {
+        "features": mean_features(spark, sf).select(*keys, "channels", "features"),
+        "positions": G.grid_patches(slides, TILE, TILE).select(*keys, "x", "y"),
+        "shares": G.tissue_prop(I.tissue_px(spark, sf), slides, TILE, TILE).select(*keys, "tissue_prop"),
+    }
+    joined = join_bucketed(spark, [write_bucketed(df, name, keys, 16) for name, df in sets.items()], keys)
+    share = F.round(F.col("tissue_prop").cast("double"), 6).alias("tissue_prop")
+    long = joined.select(*keys, "x", "y", share, F.inline(F.arrays_zip("channels", "features")))
+    return long.select(*keys, "x", "y", "tissue_prop", F.col("channels").alias("c"), F.round("features", 6).alias("value"))
+
+
 CELLS = "cells AS (SELECT slide_id, cell_id, AVG(x) AS x, AVG(y) AS y, COUNT(*) AS cell_area FROM cell_px GROUP BY 1, 2)"
 BOXES = f"{CELLS}, boxes AS (SELECT slide_id, cell_id, CAST(round_even(x, 0) AS INT) - 5 AS x, CAST(round_even(y, 0) AS INT) - 5 AS y FROM cells)"
 

@@ -96,3 +96,24 @@ def test_named_channels_and_stains(spark):
     with pytest.raises(Exception, match="slide 1: marker cd3 is not on the panel"):
         M.named_channels(panel, ["cd3"]).collect()
     assert M.named_channels(panel, []).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from histoframe.operators.features import join_bucketed
+    from histoframe.sources.sinks import write_bucketed
+
+    keys = ["slide_id", "patch_id"]
+    left = spark.range(400).selectExpr("cast(id % 7 as int) as slide_id", "cast(id as int) as patch_id", "id * 2 as a")
+    tables = [write_bucketed(left.withColumnRenamed("a", name), name, keys, 4) for name in ("first", "second", "third")]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_bucketed(spark, tables, keys)
+        assert joined.count() == 400 and joined.filter("first <> second OR second <> third").count() == 0
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        for table in tables:
+            spark.sql(f"DROP TABLE {table}")
