@@ -270,7 +270,10 @@ def dilate(runs: DataFrame, slides: DataFrame) -> DataFrame:
     of them at most whatever the radius, and a tile returns joined runs.
     """
     schema = runs.select(*ROW, "x0", "x1").schema
-    grown = _pieces(runs, slides).groupBy("slide_id", "tile", "strip").applyInPandas(_grown, "slide_id bigint, y bigint, x0 bigint, x1 bigint")
+    # A stated number of partitions: few bytes a tile, but much work, so they must not be put together.
+    key = ["slide_id", "tile", "strip"]
+    pieces = _pieces(runs, slides).repartition(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    grown = pieces.groupBy(*key).applyInPandas(_grown, "slide_id bigint, y bigint, x0 bigint, x1 bigint")
     grown = clip_runs(grown, slides)
     return merge_runs(grown.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
 
