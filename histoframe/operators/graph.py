@@ -19,6 +19,9 @@ RESOLUTION = 0.5
 #: Rows of a block, the most blocks, and the most bytes of pivots that every task gets.
 BLOCK, MAX_BLOCKS, PIVOT_BYTES = 4096, 100_000, 64 << 20
 
+#: Bytes of vectors on either side of a meeting of the second pass.
+TILE_BYTES = 8 << 20
+
 #: Gain a move needs, as a share of the node's weight (of 1 at least); steps in which gains are told apart.
 LEAST_GAIN, STEPS_PER_DOUBLING = 1e-9, 4
 
@@ -43,11 +46,12 @@ def _euclid(a, b):  # noqa: ANN001, ANN202 - numpy rows
     return np.sqrt(np.maximum(sq, 0.0)), slack
 
 
-def _nearest(ids, vectors, pool_ids, pool, k: int):  # noqa: ANN001, ANN202 - numpy rows
+def _nearest(ids, vectors, pool_ids, pool, k: int, bound=None):  # noqa: ANN001, ANN202 - numpy rows
     """(row, neighbour, distance) of each row's ``k`` nearest others in a pool, ties to the smaller id.
 
-    A matrix product picks the candidates with room for its rounding; their
-    distances are worked out term by term.
+    Others have another id; none of them is farther than the row's ``bound``,
+    where there is one. A matrix product picks the candidates with room for
+    its rounding; their distances are worked out term by term.
     """
     import numpy as np
 
@@ -56,11 +60,12 @@ def _nearest(ids, vectors, pool_ids, pool, k: int):  # noqa: ANN001, ANN202 - nu
         part = vectors[at : at + 64]
         rough, slack = _euclid(part, pool)
         rough[pool_ids[None, :] == ids[at : at + 64, None]] = np.inf
+        limit = np.full((len(part), 1), np.inf)
         if pool.shape[0] > k:
             limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] + 2 * slack
-            row, col = np.nonzero((rough <= limit) & np.isfinite(rough))
-        else:
-            row, col = np.nonzero(np.isfinite(rough))
+        if bound is not None:
+            limit = np.minimum(limit, bound[at : at + 64, None] + 2 * slack)
+        row, col = np.nonzero((rough <= limit) & np.isfinite(rough))
         exact = np.sqrt(((part[row] - pool[col]) ** 2).sum(1))
         order = np.lexsort((pool_ids[col], exact, row))
         row, col, exact = row[order], col[order], exact[order]
@@ -72,6 +77,14 @@ def _nearest(ids, vectors, pool_ids, pool, k: int):  # noqa: ANN001, ANN202 - nu
     return tuple(np.concatenate(x) if x else np.empty(0) for x in found)
 
 
+def _within(to_pivot, slack, bound, low, high):  # noqa: ANN001, ANN202 - numpy rows
+    """Which blocks can hold a row within each row's bound, by the distances from their pivots."""
+    import numpy as np
+
+    nearest = np.maximum(np.maximum(to_pivot - high, low - to_pivot), 0.0)
+    return nearest <= bound[:, None] + 2 * slack
+
+
 class KnnPlan:
     """The two passes of an exact kNN join, each a table in the shared folder.
 
@@ -80,7 +93,10 @@ class KnnPlan:
     rows' distances from it. In the first pass a row meets its own block only,
     which gives an upper bound on its k-th distance; ``sent`` names the other
     blocks that can still hold a nearer one by the triangle inequality, and in
-    the second pass the row meets just those.
+    the second pass the row meets just those. Blocks near each other travel as
+    one bundle of ``TILE_BYTES`` of vectors: a row goes to a bundle once,
+    however many of its blocks it meets, so where nearly all rows meet nearly
+    all blocks, rows are copied once per bundle and not once per block.
 
     Pivots and the blocks' ranges are the only data sent to all tasks:
     ``PIVOT_BYTES`` bounds the first by their number, and blocks grow with the
@@ -98,9 +114,11 @@ class KnnPlan:
         most = max(1, PIVOT_BYTES // (8 * max(1, sizes["width"])))
         self.n_pivots = min(most, pivots or math.isqrt(self.n - 1) + 1)
         self.block = max(block, self.n // MAX_BLOCKS)
+        self.tile = max(1, TILE_BYTES // (8 * max(1, sizes["width"])))
         self.pivots = self._pivots()
         self.placed = self._placed()
         self.blocks = self.placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("high"))
+        self.balls = self._balls()
         self.own = self._own()
         self.sent = self._sent()
 
@@ -128,7 +146,23 @@ class KnnPlan:
         sizes = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n_cell"))
         cuts = F.ceil(F.col("n_cell") / self.block)
         part = F.pmod(F.xxhash64("id"), cuts)
-        return materialize(celled.join(sizes, "cell").select("id", "f", (F.shiftleft("cell", 24) + part).alias("block"), "d"), "blocks")
+        placed = materialize(celled.join(sizes, "cell").select("id", "f", (F.shiftleft("cell", 24) + part).alias("block"), "d"), "blocks")
+        drop_table(celled)
+        return placed
+
+    def _balls(self):  # noqa: ANN202
+        """Broadcast (block, n, low, high, bundle) of the blocks, ordered by block; near pivots share a bundle."""
+        import numpy as np
+
+        known = self.blocks.orderBy("block").toPandas()
+        ball = {c: known[c].to_numpy() for c in known}
+        pivots = self.pivots.value
+        cells, cell = np.unique(ball["block"] >> 24, return_inverse=True)
+        around = _euclid(pivots[cells], pivots[: min(256, -(-self.n // self.tile))])[0].argmin(1)
+        order = np.lexsort((ball["block"], around[cell]))
+        ball["bundle"] = np.empty(len(order), dtype="int32")
+        ball["bundle"][order] = np.unique((np.cumsum(ball["n"][order]) - 1) // self.tile, return_inverse=True)[1]
+        return self.spark.sparkContext.broadcast(ball)
 
     def _own(self) -> DataFrame:
         """(id, f, block, neighbours, distances): first pass, nearest first."""
@@ -149,10 +183,8 @@ class KnnPlan:
         return materialize(self.placed.select("id", "f", "block").groupBy("block").applyInArrow(inside, schema), "first-pass")
 
     def _sent(self) -> DataFrame:
-        """(id, f, block): the rows with each further block they have to meet."""
-        k, pivots = self.k, self.pivots
-        known = self.blocks.orderBy("block").toPandas()
-        balls = self.spark.sparkContext.broadcast({c: known[c].to_numpy() for c in known})
+        """(id, f, block, bound, bundles, met): the bundles in which a row has to meet further blocks, and their number."""
+        k, pivots, balls = self.k, self.pivots, self.balls
 
         def reach(batches: Iterator) -> Iterator:
             import numpy as np
@@ -163,10 +195,9 @@ class KnnPlan:
             for batch in batches:
                 for at in range(0, batch.num_rows, 512):
                     part = batch.slice(at, 512)
-                    vectors = _matrix(part.column(1))
+                    vectors, block = _matrix(part.column(1)), part.column(2).to_numpy()
                     rough, slack = _euclid(vectors, pivots.value)
                     to_pivot = rough[:, cell]
-                    nearest = np.maximum(np.maximum(to_pivot - ball["high"], ball["low"] - to_pivot), 0.0)
                     best = np.array([d[k - 1] if len(d) >= k else np.inf for d in part.column(3).to_pylist()])
                     few = np.flatnonzero(~np.isfinite(best))
                     if len(few):
@@ -175,35 +206,67 @@ class KnnPlan:
                         order = np.argsort(farthest, axis=1)
                         enough = np.cumsum(ball["n"][order], axis=1) >= k + 1
                         at_last = np.where(enough.any(1), enough.argmax(1), 0)
-                        bound = np.take_along_axis(farthest, order[np.arange(len(few)), at_last][:, None], 1)[:, 0]
+                        bound = np.take_along_axis(farthest, order[np.arange(len(few)), at_last][:, None], 1)[:, 0] + 2 * slack[few, 0]
                         best[few] = np.where(enough.any(1), bound, np.inf)
-                    meets = nearest <= best[:, None] + 2 * slack
-                    meets &= ball["block"][None, :] != part.column(2).to_numpy()[:, None]
+                    meets = _within(to_pivot, slack, best, ball["low"], ball["high"]) & (ball["block"][None, :] != block[:, None])
                     row, target = np.nonzero(meets)
-                    taken = part.select([0, 1]).take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(ball["block"][target])], names=["id", "f", "block"])
+                    pairs = np.unique(np.stack([row, ball["bundle"][target]], 1), axis=0)
+                    ends = pa.array(np.searchsorted(pairs[:, 0], np.arange(len(block) + 1)).astype("int32"))
+                    bundles = pa.ListArray.from_arrays(ends, pa.array(pairs[:, 1].astype("int32")))
+                    arrays = [*part.select([0, 1, 2]).columns, pa.array(best), bundles, pa.array(meets.sum(1).astype("int64"))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "f", "block", "bound", "bundles", "met"])
 
-        columns = self.own.select("id", "f", "block", "distances")
-        return materialize(columns.mapInArrow(reach, "id bigint, f array<double>, block bigint"), "sent")
+        schema = "id bigint, f array<double>, block bigint, bound double, bundles array<int>, met bigint"
+        return materialize(self.own.select("id", "f", "block", "distances").mapInArrow(reach, schema), "sent")
 
     def _others(self) -> DataFrame:
-        """(id, neighbour, distance): second pass. Guests of a block come in parts, each with a copy of the block."""
-        k = self.k
-        guests = self.sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / self.block).alias("parts"))
-        queries = self.sent.join(guests, "block").select("id", "f", "block", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
-        hosts = self.placed.join(guests, "block").select("id", "f", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+        """(id, neighbour, distance): second pass. Guests of a bundle come in parts, each with a copy of the bundle."""
+        k, pivots, balls = self.k, self.pivots, self.balls
+        guests = self.sent.select(F.explode("bundles").alias("bundle")).groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / self.tile).cast("int").alias("parts"))
+        parts = [0] * (int(balls.value["bundle"].max()) + 1)
+        for r in guests.collect():
+            parts[r.bundle] = r.parts
+        n_parts = F.get(F.lit(parts), F.col("bundle"))
+
+        def bundled(batches: Iterator) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+
+            for batch in batches:
+                at = np.searchsorted(balls.value["block"], batch.column(2).to_numpy())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(balls.value["bundle"][at])], names=["id", "f", "block", "bundle"])
+
+        queries = self.sent.select("id", "f", "block", "bound", F.explode("bundles").alias("bundle")).withColumn("part", F.pmod(F.xxhash64("id"), n_parts).cast("int"))
+        hosts = self.placed.select("id", "f", "block").mapInArrow(bundled, "id bigint, f array<double>, block bigint, bundle int")
+        hosts = hosts.filter(n_parts > 0).select("*", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"))
 
         def meet(queries, hosts):  # noqa: ANN001, ANN202 - Arrow tables
             import numpy as np
             import pyarrow as pa
 
-            ids, pool_ids = queries["id"].to_numpy(), hosts["id"].to_numpy()
-            found = np.empty(0, int), np.empty(0, int), np.empty(0)
-            if len(ids) and len(pool_ids):
-                found = _nearest(ids, _matrix(queries["f"].combine_chunks()), pool_ids, _matrix(hosts["f"].combine_chunks()), k)
-            return pa.table([pa.array(ids[found[0]]), pa.array(found[1].astype("int64")), pa.array(found[2])], names=["id", "neighbour", "distance"])
-
-        key = ["block", "part"]
+            queries, hosts, ball = queries.sort_by("block").combine_chunks(), hosts.sort_by("block").combine_chunks(), balls.value
+            found = [np.empty(0, "int64")], [np.empty(0, "int64")], [np.empty(0)]
+            if queries.num_rows and hosts.num_rows:
+                ids, vectors, own, bound = queries["id"].to_numpy(), _matrix(queries["f"].combine_chunks()), queries["block"].to_numpy(), queries["bound"].to_numpy()
+                pool_ids, pool, block = hosts["id"].to_numpy(), _matrix(hosts["f"].combine_chunks()), hosts["block"].to_numpy()
+                here, place = np.unique(block, return_inverse=True)
+                at = np.searchsorted(ball["block"], here)
+                low, high, centres = ball["low"][at], ball["high"][at], pivots.value[here >> 24]
+                # Rows of one block, so that the blocks they meet are much the same and their own is left out for all.
+                ends = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
+                for start in np.concatenate([np.arange(a, b, 64) for a, b in zip(ends[:-1], ends[1:])]):
+                    rows = slice(start, min(start + 64, ends[np.searchsorted(ends, start, "right")]))
+                    to_pivot, slack = _euclid(vectors[rows], centres)
+                    met = _within(to_pivot, slack, bound[rows], low, high).any(0) & (here != own[start])
+                    taken = np.flatnonzero(met[place])
+                    if len(taken):
+                        row, neighbour, distance = _nearest(ids[rows], vectors[rows], pool_ids[taken], pool[taken], k, bound[rows])
+                        found[0].append(ids[rows][row])
+                        found[1].append(neighbour.astype("int64"))
+                        found[2].append(distance)
+            return pa.table([pa.array(np.concatenate(x)) for x in found], names=["id", "neighbour", "distance"])
+
+        key = ["bundle", "part"]
         return queries.groupBy(*key).cogroup(hosts.groupBy(*key)).applyInArrow(meet, "id bigint, neighbour bigint, distance double")
 
     def neighbours(self) -> DataFrame:
@@ -215,7 +278,7 @@ class KnnPlan:
     def traffic(self) -> DataFrame:
         """(rows, pivots, blocks, sent, share): (row, block) meetings of the second pass, of all that are possible."""
         blocks = self.blocks.agg(F.count(F.lit(1)).alias("blocks"))
-        both = blocks.join(self.sent.agg(F.count(F.lit(1)).alias("sent")))
+        both = blocks.join(self.sent.agg(F.sum("met").alias("sent")))
         every = F.col("rows") * F.col("blocks")
         return both.select(F.lit(self.n).alias("rows"), F.lit(self.n_pivots).alias("pivots"), "blocks", "sent").withColumn("share", F.col("sent") / every)
 
@@ -226,7 +289,8 @@ def knn(df: DataFrame, k: int = N_NEIGHBOURS, id_col: str = "cell_id", features:
     Two passes over blocks of rows (``KnnPlan``). Rows without features take
     no part, as queries nor as neighbours; ids are expected to be distinct. A
     hot place is many blocks and many parts of guests, so no task holds more
-    than about two blocks, and a task returns k rows per query row.
+    than about two blocks or two tiles, and a task returns at most k rows per
+    query row.
     """
     plan = KnnPlan(df, k, id_col, features, pivots, block)
     if not plan.n:

@@ -92,3 +92,15 @@ def test_neighbours_of_odd_rows(spark):
     assert G.knn(spark.createDataFrame([], schema)).count() == 0
     rows = G.knn(spark.createDataFrame([(1, [0.0], "x"), (2, None, "x"), (3, [2.0], "x")], schema), 2).collect()
     assert {(r.cell_id, r.neighbour, r.distance) for r in rows} == {(1, 3, 2.0), (3, 1, 2.0)}
+
+
+def test_a_row_goes_to_a_bundle_of_blocks_once(spark, monkeypatch):
+    """Structureless rows meet nearly all blocks, but are copied once per bundle and not once per block."""
+    x = np.random.default_rng(7).normal(size=(700, 16))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "cell_id long, features array<double>")
+    for rows, bundles in ((4096, 1), (200, 5)):
+        monkeypatch.setattr(G, "TILE_BYTES", rows * 8 * 16)
+        plan = G.KnnPlan(df, 5, "cell_id", "features", None, 4096)
+        copies = plan.sent.selectExpr("sum(size(bundles)) as n").first().n
+        assert plan.traffic().first().share > 0.5 and copies <= 700 * bundles
+        assert {(r.id, r.neighbour, r["rank"]) for r in plan.neighbours().collect()} == plain_neighbours(x, 5)
