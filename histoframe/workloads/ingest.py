@@ -19,9 +19,9 @@ from histoframe.workloads import workload
                       'part', 'region', 'supplier']) AS stem""",
 )
 def src_inputs(spark, sf):
-    """Listing of the data folder itself."""
+    """Listing of the data folder itself; a table that is a folder of files counts once."""
     files = readers.list_inputs(spark, sf, "*.parquet")
-    return files.select(F.regexp_replace("name", r"\.parquet$", "").alias("stem"))
+    return files.select(F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1).alias("stem")).distinct()
 
 
 @workload("image_select", "SELECT s_suppkey, s_name AS name FROM supplier WHERE s_name IN ('Supplier#000000001', 'Supplier#000000003') AND s_name <> 'Supplier#000000003'")

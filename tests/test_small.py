@@ -315,3 +315,11 @@ def test_communities_run_to_rest(spark):
     # No two neighbouring communities would gain by becoming one.
     cuts = [(label[a], label[b]) for a, b in pairs if label[a] != label[b]]
     assert all(cuts.count((x, y)) + cuts.count((y, x)) <= 0.05 * total[x] * total[y] / (2 * n - 2) + 1e-6 for x, y in cuts)
+
+
+def test_a_table_that_is_a_folder_is_listed_once(spark, tmp_path):
+    from histoframe.workloads.ingest import src_inputs
+
+    spark.range(20).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    (tmp_path / "part.parquet").write_bytes(b"x")
+    assert sorted(r.stem for r in src_inputs(spark, str(tmp_path)).collect()) == ["events", "part"]
