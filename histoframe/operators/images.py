@@ -19,7 +19,7 @@ from histoframe.operators.pixels import CHANNEL
 
 PIXEL = [*CHANNEL, "y", "x"]
 
-#: Rows of a channel that one file holds.
+#: Rows of a channel that stay together in one file.
 BAND = 4096
 
 
@@ -96,9 +96,10 @@ class SparseImage:
         )
 
     def write(self, path: str) -> None:
-        """Pixels in folders by slide and channel; backgrounds and frames beside them."""
-        bands = self.pixels.repartition(*CHANNEL, F.floor(F.col("y") / BAND))
-        bands.write.partitionBy(*CHANNEL).mode("overwrite").parquet(f"{path}/pixels")
+        """Pixels in order of slide, channel and row band, so that files and row groups prune; backgrounds and frames beside them."""
+        place = [*CHANNEL, F.floor(F.col("y") / BAND)]
+        bands = self.pixels.repartitionByRange(*place).sortWithinPartitions(*place)
+        bands.write.mode("overwrite").parquet(f"{path}/pixels")
         self.background.write.mode("overwrite").parquet(f"{path}/background")
         self.slides.write.mode("overwrite").parquet(f"{path}/slides")
 

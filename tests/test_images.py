@@ -117,3 +117,30 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
         for table in tables:
             spark.sql(f"DROP TABLE {table}")
+
+
+def test_feature_sets_share_folders_and_a_rewrite_keeps_other_slides(spark, tmp_path):
+    """A folder per slide made a small file of every slide."""
+    from histoframe.sources import sinks
+
+    def stored(ids, value):
+        keys = "'s' as slug, 'e' as encoder, 'markers_all' as variant"
+        features = spark.range(1).selectExpr(f"explode(array({','.join(map(str, ids))})) as slide_id", "0 as patch_id", f"array({value}d) as features", keys.split(", ")[0], keys.split(", ")[1], keys.split(", ")[2])
+        sinks.write_features(features, features.selectExpr("slide_id", "slug", "encoder", "variant", "array('m') as markers_used"), str(tmp_path))
+
+    stored(range(300), 1)
+    stored([7, 300], 2)
+    found = {r.slide_id: r.features for r in sinks.read_features(spark, str(tmp_path), "e", "s").collect()}
+    assert found == {**{i: [1.0] for i in range(300)}, 7: [2.0], 300: [2.0]}
+    assert spark.read.parquet(str(tmp_path / "meta")).count() == 301
+    assert len(list(tmp_path.glob("features/*/*/*/*/"))) <= sinks.SHELVES + 1
+
+
+def test_written_image_has_files_by_size_not_by_channel(spark, tmp_path):
+    rows = [(s, c, 0, 0, 1.0) for s in range(40) for c in range(3)]
+    pixels = spark.createDataFrame(rows, "slide_id int, c int, y int, x int, value double")
+    slides = spark.createDataFrame([(s, 1, 1) for s in range(40)], "slide_id int, height int, width int")
+    image = SparseImage(pixels, pixels.select("slide_id", "c", "value"), slides)
+    image.write(str(tmp_path))
+    assert sorted(SparseImage.read(spark, str(tmp_path)).pixels.collect()) == sorted(rows)
+    assert len(list(tmp_path.glob("pixels/**/*.parquet"))) < 40

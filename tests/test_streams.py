@@ -55,3 +55,18 @@ def test_blank_patches_and_channels_are_extracted(spark, tmp_path):
     out = SE.extract_once(arrivals, lambda new: pixels.join(new, "slide_id", "left_semi"), slides, panel, 2, 2)
     rows = {(r.slide_id, r.patch_id, r.c): round(r.value, 4) for r in out.collect()}
     assert len(rows) == 2 * 4 * 2 and {k: v for k, v in rows.items() if v} == {(1, 0, 0): 1.0, (2, 3, 0): 0.2}
+
+
+def test_files_follow_batches_and_the_last_one_of_a_slide_counts(spark, tmp_path):
+    """Slides used to have a folder each."""
+    slides = spark.createDataFrame([(i, 2, 2, "uint8") for i in range(6)], "slide_id int, height int, width int, dtype string")
+    panel = spark.createDataFrame([(i, 0) for i in range(6)], "slide_id int, idx int")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for batch, (ids, v) in enumerate((([0, 1, 2, 3, 4, 5], 51), ([5], 255))):
+        spark.createDataFrame([(i,) for i in ids], "slide_id int").coalesce(1).write.parquet(str(tmp_path / f"a/{batch}"))
+        pixels = spark.createDataFrame([(i, 0, 0, 0, v) for i in range(6)], "slide_id int, c int, y int, x int, v int")
+        arrivals = spark.readStream.schema("slide_id int").option("recursiveFileLookup", "true").parquet(str(tmp_path / "a"))
+        SE.incremental_extract(arrivals, lambda new, p=pixels: p.join(new, "slide_id", "left_semi"), slides, panel, 2, 2, out, checkpoint)
+    rows = {r.slide_id: round(r.value, 4) for r in SE.read_extracted(spark, out).collect()}
+    assert rows == {**{i: 0.2 for i in range(5)}, 5: 1.0}
+    assert {f for f in os.listdir(out)} == {"batch=0", "batch=1"}
