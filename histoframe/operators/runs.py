@@ -9,15 +9,18 @@ All windows stay inside one row of one slide.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histoframe.session import cut_lineage
+from histoframe.session import counted, cut_lineage
 
 ROW = ["slide_id", "y"]
 BUCKET = 64  # columns per bucket when runs of neighbouring rows meet
 STRIP, TILE = 512, 1024  # columns and least rows of a tile of a dilation
+SMALL_RADIUS = 4  # up to here a run is dilated by its copies in the rows around it
+LABEL_ROWS, LABEL_COLUMNS = 256, 1024  # a tile in which components are found at once
 
 
 def to_runs(mask: DataFrame) -> DataFrame:
@@ -163,11 +166,90 @@ def connected_roots(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) ->
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def _tile_labels(reach: int) -> Callable[[Iterator], Iterator]:
+    """Pieces in order of tile, row and column, with the first piece of their component inside the tile as ``local``."""
+
+    def first_of(slide, band, strip, y, x0, x1):  # noqa: ANN001, ANN202 - numpy columns of whole tiles
+        import numpy as np
+
+        new = np.ones(len(y), bool)
+        new[1:] = (np.diff(slide) != 0) | (np.diff(band) != 0) | (np.diff(strip) != 0) | (np.diff(y) != 0)
+        row, starts, wide = np.cumsum(new) - 1, np.flatnonzero(new), 1 << 21
+        beneath = np.zeros(len(starts), bool)
+        same = [np.diff(column[starts]) == 0 for column in (slide, band, strip)]
+        beneath[:-1] = same[0] & same[1] & same[2] & (np.diff(y[starts]) == 1)
+        upper = np.flatnonzero(beneath[row])
+        base = (row[upper] + 1) * wide
+        left = np.searchsorted(row * wide + x1, base + x0[upper] - reach, "left")
+        met = np.searchsorted(row * wide + x0, base + x1[upper] + reach, "right") - left
+        src, dst = np.repeat(upper, met), np.arange(met.sum()) + np.repeat(left - (np.cumsum(met) - met), met)
+        root = np.arange(len(y))
+        while True:
+            apart = root[src] != root[dst]
+            if not apart.any():
+                return root
+            src, dst = src[apart], dst[apart]
+            np.minimum.at(root, np.maximum(root[src], root[dst]), np.minimum(root[src], root[dst]))
+            while (root[root] != root).any():
+                root = root[root]
+
+    def label(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        tile, rest = ("slide_id", "band", "strip"), None
+
+        def labelled(table):  # noqa: ANN001, ANN202 - Arrow table
+            columns = [table[name].to_numpy().astype("int64") for name in (*tile, "y", "x0", "x1")]
+            local = table["piece"].to_numpy()[first_of(*columns)]
+            return table.append_column("local", pa.array(local)).to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
+            last = sum((table[name].to_numpy() == table[name][-1].as_py()).astype(int) for name in tile) == len(tile)
+            whole = table.num_rows - int(last.sum())
+            rest = table.slice(whole)
+            if whole:
+                yield from labelled(table.slice(0, whole))
+        if rest is not None:
+            yield from labelled(rest)
+
+    return label
+
+
 def label_runs(runs: DataFrame, diagonal: bool = False) -> DataFrame:
-    """Runs with ``comp``, the id of their component's first run in raster order."""
-    numbered = cut_lineage(runs.select(*ROW, "x0", "x1").withColumn("run", _run_id()))
-    roots = connected_roots(numbered.select(F.col("run").alias("node")), run_edges(numbered, diagonal))
-    return numbered.join(roots.select(F.col("node").alias("run"), F.col("root").alias("comp")), "run").drop("run")
+    """Runs with ``comp``, the id of their component's first run in raster order.
+
+    Runs are cut at the borders of tiles of a stated size. Components inside a
+    tile come out of one pass over its sorted pieces; only pieces at borders
+    between tiles then link components in rounds over the whole table.
+    """
+    reach, tile = int(diagonal), ["slide_id", "band", "strip"]
+    at = F.col("strip") * LABEL_COLUMNS
+    cut = runs.select(
+        *ROW, F.col("x0").alias("r0"), F.col("x1").alias("r1"), F.floor(F.col("y") / LABEL_ROWS).alias("band"),
+        F.explode(F.sequence(F.floor(F.col("x0") / LABEL_COLUMNS), F.floor(F.col("x1") / LABEL_COLUMNS))).alias("strip"),
+    )
+    cut = cut.withColumns({"x0": F.greatest("r0", at), "x1": F.least("r1", at + (LABEL_COLUMNS - 1))}).withColumn("piece", _run_id())
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_pieces = cut.repartition(parts, *tile).sortWithinPartitions(*tile, "y", "x0")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sorted_pieces.schema)
+    labelled = cut_lineage(sorted_pieces.mapInArrow(_tile_labels(reach), f"{schema}, local bigint")).withColumn("comp", F.col("local"))
+
+    y, x0, x1 = F.col("y"), F.col("x0"), F.col("x1")
+    above, left = (y % LABEL_ROWS == 0) & (y > 0), (x0 % LABEL_COLUMNS == 0) & (x0 > 0)
+    below, right = y % LABEL_ROWS == LABEL_ROWS - 1, x1 % LABEL_COLUMNS == LABEL_COLUMNS - 1
+    near = labelled.filter(above | below | left | right).select(*ROW, "x0", "x1", F.col("local").alias("run"))
+    ends = near.filter(right).select(*ROW, (x1 + 1).alias("x0"), F.col("run").alias("src"))
+    along = near.filter(left).select(*ROW, "x0", F.col("run").alias("dst")).join(ends, [*ROW, "x0"]).select("src", "dst")
+    links, n_links = counted(run_edges(near, diagonal).unionByName(along).filter("src <> dst").distinct(), "links")
+    if n_links:
+        ends = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        roots = cut_lineage(connected_roots(ends, links)).select(F.col("node").alias("local"), "root")
+        labelled = labelled.join(roots, "local", "left").withColumn("comp", F.coalesce("root", "local"))
+    return labelled.filter("x0 = r0").select(*ROW, F.col("r0").alias("x0"), F.col("r1").alias("x1"), "comp")
 
 
 def connected_components(mask: DataFrame, diagonal: bool = False) -> DataFrame:
@@ -263,19 +345,38 @@ def _pieces(runs: DataFrame, slides: DataFrame) -> DataFrame:
     )
 
 
-def dilate(runs: DataFrame, slides: DataFrame) -> DataFrame:
-    """Dilation by each slide's disk of ``radius`` pixels, by a separable distance transform.
+def _lifted(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Every run once per row of the disk, as wide as the disk is there."""
+    r, dy = F.col("radius"), F.col("dy")
+    reach = F.floor(F.sqrt(r * r - dy * dy))
+    copies = runs.select(*ROW, "x0", "x1").join(slides.select("slide_id", F.col("radius").cast("int").alias("radius")), "slide_id")
+    copies = copies.select(*ROW, "x0", "x1", "radius", F.explode(F.sequence(-r, r)).alias("dy"))
+    return copies.select("slide_id", (F.col("y") + dy).alias("y"), (F.col("x0") - reach).alias("x0"), (F.col("x1") + reach).alias("x1"))
 
-    Tiles are at least as tall as the disk, so a piece of a run goes to three
-    of them at most whatever the radius, and a tile returns joined runs.
-    """
-    schema = runs.select(*ROW, "x0", "x1").schema
+
+def _in_tiles(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Dilated runs out of distance transforms of tiles."""
     # A stated number of partitions: few bytes a tile, but much work, so they must not be put together.
     key = ["slide_id", "tile", "strip"]
     pieces = _pieces(runs, slides).repartition(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
-    grown = pieces.groupBy(*key).applyInPandas(_grown, "slide_id bigint, y bigint, x0 bigint, x1 bigint")
-    grown = clip_runs(grown, slides)
-    return merge_runs(grown.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
+    return pieces.groupBy(*key).applyInPandas(_grown, "slide_id bigint, y bigint, x0 bigint, x1 bigint")
+
+
+def dilate(runs: DataFrame, slides: DataFrame) -> DataFrame:
+    """Dilation by each slide's disk of ``radius`` pixels.
+
+    A disk up to ``SMALL_RADIUS`` copies a run to the rows it reaches. Larger
+    ones take a separable distance transform in tiles at least as tall as the
+    disk, so a piece of a run goes to three of them at most whatever the
+    radius, and a tile returns joined runs.
+    """
+    small = F.col("radius") <= SMALL_RADIUS
+    seen = slides.agg(F.count_if(small).alias("small"), F.count_if(~small).alias("large")).first()
+    if seen["small"] and seen["large"]:
+        runs = cut_lineage(runs)
+    ways = [(_lifted, small, seen["small"] or not seen["large"]), (_in_tiles, ~small, seen["large"])]
+    grown = [way(runs, slides.filter(mine)).select([F.col(f.name).cast(f.dataType) for f in runs.select(*ROW, "x0", "x1").schema]) for way, mine, used in ways if used]
+    return merge_runs(clip_runs(grown[0] if len(grown) == 1 else grown[0].unionByName(grown[1]), slides))
 
 
 def close_runs(runs: DataFrame, slides: DataFrame) -> DataFrame:
@@ -291,7 +392,7 @@ def cleanup(runs: DataFrame, slides: DataFrame) -> tuple[DataFrame, DataFrame]:
     the components of every stage; the labels that pick small components
     also give the first two counts.
     """
-    raw = cut_lineage(label_runs(runs, diagonal=True))
+    raw = label_runs(runs, diagonal=True)
     big = component_area(raw).join(slides.select("slide_id", "min_area"), "slide_id").withColumn("_big", F.col("area") >= F.col("min_area"))
     kept = raw.join(big.filter("_big").select("slide_id", "comp"), ["slide_id", "comp"], "left_semi").select(*ROW, "x0", "x1")
     filled = cut_lineage(fill_holes(kept, slides, slides.select("slide_id", F.col("max_hole").alias("max_area"))))
@@ -309,7 +410,7 @@ def region_stats(runs: DataFrame, diagonal: bool = True) -> DataFrame:
     Boundary pixels lack a set 4-neighbour: all but those inside a run that
     the rows above and below cover as well.
     """
-    labelled = cut_lineage(label_runs(runs, diagonal))
+    labelled = label_runs(runs, diagonal)
     stats = labelled.groupBy("slide_id", "comp").agg(
         F.sum(F.col("x1") - F.col("x0") + 1).alias("area"),
         F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),

@@ -92,3 +92,47 @@ def test_split_join_positions_and_missing_ids(spark):
     with pytest.raises(Exception, match="cell_id null of a fold is absent"):
         E.split_join(spark.createDataFrame([(None, 1)], "cell_id long, fold int"), patches, "cell_id").collect()
     assert E.split_join(folds.limit(0), patches.limit(0), "cell_id").count() == 0
+
+
+def plain_components(mask, near):
+    left, found = set(mask), set()
+    while left:
+        part, todo = set(), [left.pop()]
+        while todo:
+            y, x = todo.pop()
+            part.add((y, x))
+            more = {(y + dy, x + dx) for dy, dx in near} & left
+            left -= more
+            todo += more
+        found.add(frozenset(part))
+    return found
+
+
+def test_components_inside_and_across_tiles(spark, monkeypatch):
+    masks = {1: mask_of(1, 23, 31, 0.55), 2: mask_of(2, 9, 40, 0.7), 3: {(0, 0)}, 4: {(y, x) for y in range(20) for x in range(30) if y % 2 == 0 or x == y % 4 * 9}}
+    near = {False: [(-1, 0), (1, 0), (0, -1), (0, 1)], True: [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]}
+    for rows, columns in ((256, 1024), (4, 7)):
+        monkeypatch.setattr(R, "LABEL_ROWS", rows)
+        monkeypatch.setattr(R, "LABEL_COLUMNS", columns)
+        for diagonal in (False, True):
+            labelled = R.label_runs(as_runs(spark, masks), diagonal)
+            got, firsts = {}, {}
+            for r in R.to_pixels(labelled).collect():
+                got.setdefault((r.slide_id, r.comp), set()).add((r.y, r.x))
+            for (s, comp), part in got.items():
+                y, x = min(part)
+                assert comp == (s << 40) + (y << 20) + x
+                firsts.setdefault(s, set()).add(frozenset(part))
+            assert firsts == {s: plain_components(m, near[diagonal]) for s, m in masks.items()}
+
+
+def test_components_inside_tiles_need_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(R, "connected_roots", lambda *a: pytest.fail("rounds over the whole table"))
+    assert R.label_runs(as_runs(spark, {s: mask_of(s, 48, 48, 0.6) for s in range(5)}), True).count() > 0
+
+
+def test_small_disks_need_no_tiles(spark, monkeypatch):
+    monkeypatch.setattr(R, "_in_tiles", lambda *a: pytest.fail("a Python group per tile"))
+    sizes = {1: (23, 31, 0), 2: (40, 17, 3), 3: (9, 9, 4)}
+    masks = {s: mask_of(s, h, w, 0.1) for s, (h, w, _) in sizes.items()}
+    assert pixels(R.dilate(as_runs(spark, masks), frames(spark, sizes))) == {s: plain_dilation(masks[s], *sizes[s]) for s in sizes}
