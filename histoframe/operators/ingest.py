@@ -110,7 +110,9 @@ def match_artifacts(slides: DataFrame, artifacts: DataFrame) -> DataFrame:
     )
 
 
-def rasterize_polygons(vertices: DataFrame, slides: DataFrame, keys: Sequence[str] = ("slide_id",)) -> DataFrame:
+def rasterize_polygons(
+    vertices: DataFrame, slides: DataFrame, keys: Sequence[str] = ("slide_id",), union: Sequence[str] | None = None
+) -> DataFrame:
     """Pixels inside polygons, drawn ring by ring in file order.
 
     ``vertices`` has the keys, feature, part, ring, vertex, x, y. Every edge
@@ -118,6 +120,8 @@ def rasterize_polygons(vertices: DataFrame, slides: DataFrame, keys: Sequence[st
     one ring on one line pair up in x order; each pair becomes a run of
     pixels. An outline (ring 0) sets its pixels and a hole clears them,
     whatever drew them before, so the last ring over a pixel decides.
+    ``union`` names some of the keys: pixels of all drawings that share them,
+    each once.
     """
     from pyspark.sql import Window
 
@@ -145,8 +149,24 @@ def rasterize_polygons(vertices: DataFrame, slides: DataFrame, keys: Sequence[st
         .join(slides.select("slide_id", "height", "width"), "slide_id")
         .filter((first <= last) & F.col("y").between(0, F.col("height") - 1))
     )
-    drawn = runs.select(*poly, "y", F.explode(F.sequence(first, last)).alias("x"))
-    top = F.max_by(F.col("ring") == 0, F.struct("feature", "part", "ring"))
-    return drawn.groupBy(*keys, "y", "x").agg(top.alias("_set")).filter("_set").drop("_set")
+    # 64 columns are one number: a line's rings are drawn over it in file order, bit by bit.
+    words = F.explode(F.sequence(F.shiftright(first, 6), F.shiftright(last, 6))).alias("word")
+    parts = runs.select(*poly, "y", first.alias("_first"), last.alias("_last"), words)
+    low = F.greatest(F.lit(0), F.col("_first") - F.col("word") * 64)
+    high = F.least(F.lit(63), F.col("_last") - F.col("word") * 64)
+    bits = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(63) - (high - low))
+    drawn = parts.select(*poly, "y", "word", F.call_function("shiftleft", bits, low).alias("bits"))
+    rings = drawn.groupBy(*poly, "y", "word").agg(F.bit_or("bits").alias("bits"))
+    order = F.array_sort(F.collect_list(F.struct("feature", "part", "ring", "bits")))
+
+    def draw(seen: Column, ring: Column) -> Column:
+        return F.when(ring["ring"] == 0, seen.bitwiseOR(ring["bits"])).otherwise(seen.bitwiseAND(F.bitwise_not(ring["bits"])))
+
+    words = rings.groupBy(*keys, "y", "word").agg(F.aggregate(order, F.lit(0).cast("bigint"), draw).alias("bits"))
+    if union is not None:
+        words = words.groupBy(*union, "y", "word").agg(F.bit_or("bits").alias("bits"))
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", F.col("bits"), i).bitwiseAND(F.lit(1)) == 1)
+    pixels = words.filter("bits <> 0").select(*(keys if union is None else union), "y", "word", F.explode(set_bits).alias("_bit"))
+    return pixels.select(*(keys if union is None else union), "y", (F.col("word") * 64 + F.col("_bit")).cast("int").alias("x"))
 
 

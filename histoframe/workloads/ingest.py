@@ -142,7 +142,7 @@ def src_geojson(spark, sf):
 )
 def poly_rasterize(spark, sf):
     flat = readers.flatten_geojson(_geojson(spark, sf), "json", ["slide_id", "o"])
-    return G.rasterize_polygons(flat, I.slides(spark, sf), ["slide_id", "o"]).select("slide_id", "y", "x").distinct()
+    return G.rasterize_polygons(flat, I.slides(spark, sf), ["slide_id", "o"], union=["slide_id"])
 
 
 @workload(

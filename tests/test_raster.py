@@ -136,3 +136,27 @@ def test_small_disks_need_no_tiles(spark, monkeypatch):
     sizes = {1: (23, 31, 0), 2: (40, 17, 3), 3: (9, 9, 4)}
     masks = {s: mask_of(s, h, w, 0.1) for s, (h, w, _) in sizes.items()}
     assert pixels(R.dilate(as_runs(spark, masks), frames(spark, sizes))) == {s: plain_dilation(masks[s], *sizes[s]) for s in sizes}
+
+
+def test_polygons_are_drawn_by_words_of_columns(spark):
+    """The last ring over a pixel decides, over borders of 64 columns; no pixel is shuffled on its own."""
+    from histoframe.operators import ingest as N
+
+    r = random.Random(4)
+    want, rows = {}, []
+    for s, o in ((1, 0), (1, 1), (2, 0)):
+        for feature in range(6):
+            for ring in range(3):
+                x, y, w, h = r.randrange(-5, 140), r.randrange(-2, 6), r.randrange(1, 150), r.randrange(1, 5)
+                rows += [(s, o, feature, 0, ring, k, float(x + dx * w), float(y + dy * h)) for k, (dx, dy) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)))]
+                covered = {(b, a) for a in range(max(0, x), min(200, x + w)) for b in range(max(0, y), min(8, y + h))}
+                drawn = want.setdefault((s, o), set())
+                drawn.update(covered) if ring == 0 else drawn.difference_update(covered)
+    vertices = spark.createDataFrame(rows, "slide_id int, o int, feature int, part int, ring int, vertex int, x double, y double")
+    slides = frames(spark, {1: (8, 200, 0), 2: (8, 200, 0)})
+    found = N.rasterize_polygons(vertices, slides, ["slide_id", "o"])
+    assert sorted(found.collect()) == sorted((*k, y, x) for k, px in want.items() for y, x in px)
+    once = N.rasterize_polygons(vertices, slides, ["slide_id", "o"], union=["slide_id"])
+    assert sorted(once.collect()) == sorted({(s, y, x) for (s, _), px in want.items() for y, x in px})
+    words = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line and "word" in line]
+    assert len(words) == 2
