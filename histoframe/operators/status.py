@@ -158,9 +158,9 @@ def with_duration(tasks: DataFrame) -> DataFrame:
 
 
 def stale_running(tasks: DataFrame, now: Column, hours: int = STALE_HOURS) -> DataFrame:
-    """Tasks that say running but have not moved for a day."""
-    age = F.unix_timestamp(now) - F.unix_timestamp("ts")
-    return tasks.filter((F.col("status") == "running") & (age > hours * 3600)).select(*TASK, "ts")
+    """Tasks that say running but have not moved for a day, to the microsecond."""
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+    return tasks.filter((F.col("status") == "running") & (age > hours * 3_600_000_000)).select(*TASK, "ts")
 
 
 def edited(recorded: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:

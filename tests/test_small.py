@@ -15,6 +15,7 @@ from histoframe.operators import pixels as P
 from histoframe.operators import ranking as K
 from histoframe.operators import runs as R
 from histoframe.operators import stats as S
+from histoframe.operators import status as Q
 from histoframe.plans import encoders as PE
 
 
@@ -323,3 +324,12 @@ def test_a_table_that_is_a_folder_is_listed_once(spark, tmp_path):
     spark.range(20).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     (tmp_path / "part.parquet").write_bytes(b"x")
     assert sorted(r.stem for r in src_inputs(spark, str(tmp_path)).collect()) == ["events", "part"]
+
+
+def test_stale_to_the_microsecond(spark):
+    """A task a few microseconds older than a day is stale, one of exactly a day is not."""
+    rows = [(1, "00:00:10.900000"), (2, "00:00:10.900001"), (3, "00:00:10.100000"), (4, "00:00:10.899999")]
+    tasks = spark.createDataFrame([(i, "ingest", "", "running", f"2024-01-01 {at}") for i, at in rows], "slide_id int, stage string, task_key string, status string, ts string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        found = Q.stale_running(tasks.withColumn("ts", F.col("ts").cast(kind)), F.lit("2024-01-02 00:00:10.900000").cast(kind))
+        assert sorted(r.slide_id for r in found.collect()) == [3, 4]
