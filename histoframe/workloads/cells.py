@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from histoframe.operators import cells as C
+from histoframe.operators import words as W
 from histoframe.session import scratch_path
 from histoframe.sources import sinks
 from histoframe.workloads import inputs as I
@@ -175,4 +176,5 @@ def mask_binarize(spark, sf):
 
 @workload("mask_union", "SELECT slide_id, y, x FROM tissue_px UNION SELECT slide_id, y, x FROM pixels")
 def mask_union(spark, sf):
-    return I.tissue_px(spark, sf).union(I.pixels(spark, sf).select("slide_id", "y", "x")).distinct()
+    """Masks go in as they come, with repeated pixels: their rows are made distinct once, as words."""
+    return W.union_of(I.tissue_lines(spark, sf), I.pixel_lines(spark, sf))

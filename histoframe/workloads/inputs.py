@@ -41,14 +41,27 @@ def pixels(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(F.max((F.col("l_quantity") * 1000).cast("int")).alias("v"))
 
 
-def tissue_px(spark: SparkSession, sf: str) -> DataFrame:
-    """(slide_id, y, x): pixels with a bright enough line."""
-    li = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 10)
-    return li.select(
+def _places(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.col("l_suppkey").cast("int").alias("slide_id"),
         (F.col("l_orderkey") % FRAME).cast("int").alias("y"),
         (F.col("l_partkey") % FRAME).cast("int").alias("x"),
-    ).distinct()
+    )
+
+
+def pixel_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(slide_id, y, x) of ``pixels`` with repeats: one row per line."""
+    return _places(table(spark, sf, "lineitem"))
+
+
+def tissue_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(slide_id, y, x) of ``tissue_px`` with repeats: one row per bright enough line."""
+    return _places(table(spark, sf, "lineitem").filter(F.col("l_quantity") > 10))
+
+
+def tissue_px(spark: SparkSession, sf: str) -> DataFrame:
+    """(slide_id, y, x): pixels with a bright enough line."""
+    return tissue_lines(spark, sf).distinct()
 
 
 def cell_px(spark: SparkSession, sf: str) -> DataFrame:
