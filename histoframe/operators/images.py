@@ -69,12 +69,17 @@ class SparseImage:
 
         The sum starts from the backgrounds', and a pixel adds by how much it differs from its own.
         """
-        planes = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), w.cast("double").alias("w")) for i, w in enumerate(weights)])).alias("p")
-        base = self.background.select("slide_id", "value", planes).groupBy("slide_id", F.col("p.c").alias("c")).agg(F.sum(F.col("value") * F.col("p.w")).alias("value"))
+        names = [f"_w{i}" for i in range(len(weights))]
+        sums = lambda value: [F.sum(F.col(value) * w.cast("double")).alias(n) for w, n in zip(weights, names, strict=True)]
+        base = self.background.groupBy("slide_id").agg(*sums("value"))
         own = self.background.withColumnRenamed("value", "_own")
-        apart = self.pixels.join(own, CHANNEL).select("slide_id", "y", "x", (F.col("value") - F.col("_own")).alias("_by"), planes)
-        more = apart.groupBy("slide_id", F.col("p.c").alias("c"), "y", "x").agg(F.sum(F.col("_by") * F.col("p.w")).alias("_more"))
-        pixels = more.join(base, CHANNEL).select(*PIXEL, (F.col("value") + F.col("_more")).alias("value"))
+        apart = self.pixels.join(own, CHANNEL).select("slide_id", "c", "y", "x", (F.col("value") - F.col("_own")).alias("_by"))
+        # All channels of a pixel are one row until they are listed, after the last aggregate and join.
+        more = apart.groupBy("slide_id", "y", "x").agg(*sums("_by"))
+        listed = lambda value: F.inline(F.array(*[F.struct(F.lit(i).alias("c"), value(n).alias("value")) for i, n in enumerate(names)]))
+        start = base.select("slide_id", *[F.col(n).alias(f"{n}_base") for n in names])
+        pixels = more.join(start, "slide_id").select("slide_id", "y", "x", listed(lambda n: F.col(f"{n}_base") + F.col(n))).select(*PIXEL, "value")
+        base = base.select("slide_id", listed(F.col))
         return SparseImage(pixels, base, self.slides)
 
     def dense(self) -> DataFrame:

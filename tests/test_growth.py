@@ -19,6 +19,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_planes_are_not_a_join_key(spark):
+    plan = plan_of(registered()["pseudo_rgb_frame"].build(spark, SF))
+    assert not re.search(r"hashpartitioning\(c#\d+, \d+\)", plan)
+
+
 def test_union_of_masks_in_words(spark):
     random.seed(5)
     masks = [[(s, random.randrange(4), random.randrange(-70, 300)) for s in range(2) for _ in range(120)] for _ in range(2)]
