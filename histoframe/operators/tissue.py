@@ -16,6 +16,9 @@ MAX_BRIDGE_UM = 100.0
 PITCHES_PER_BRIDGE = 20  # the working pitch of the region, as a part of the bridge
 CLEANUP_MIN_UM2, CLEANUP_HOLE_UM2, CLEANUP_CLOSE_UM = 17000.0, 2000.0, 2.0
 
+#: Coarse cells of a row that are painted together.
+STRETCH = 64
+
 
 def area_px(slides: DataFrame, um2: float, name: str) -> DataFrame:
     """Square microns in pixels of each slide, at least one."""
@@ -130,18 +133,32 @@ def tile_vote(predictions: DataFrame, cutoff: float = 0.5) -> DataFrame:
 def cluster_map(patches: DataFrame, size: int, factor: int) -> DataFrame:
     """Cluster ids painted on a coarse grid; later patches overwrite.
 
-    ``patches`` has slide_id, patch_id, x, y and label. Each patch lists the
-    coarse cells it covers; the aggregate keeps the last one per cell.
+    ``patches`` has slide_id, patch_id, x, y and label. A patch travels as its
+    stretches of coarse rows, cut at every ``STRETCH`` cells; the task that
+    has all stretches of a place paints its cells, so no map holds them.
     """
 
-    def span(axis: str) -> Column:
-        first = F.floor(F.col(axis) / factor).cast("int")
-        last = (F.floor((F.col(axis) + size) / factor) - 1).cast("int")
-        return F.when(first <= last, F.sequence(first, last))
-
-    cells = patches.select("slide_id", "patch_id", "label", F.explode(span("y")).alias("cy"), span("x").alias("_xs"))
-    return (
-        cells.select("slide_id", "patch_id", "label", "cy", F.explode("_xs").alias("cx"))
-        .groupBy("slide_id", "cy", "cx")
-        .agg(F.max_by("label", "patch_id").alias("label"))
-    )
+    def ends(axis: str) -> tuple[Column, Column]:
+        return F.floor(F.col(axis) / factor).cast("int"), (F.floor((F.col(axis) + size) / factor) - 1).cast("int")
+
+    (y0, y1), (x0, x1) = ends("y"), ends("x")
+    inside = patches.filter((y0 <= y1) & (x0 <= x1))
+    rows = inside.select("slide_id", "patch_id", "label", F.explode(F.sequence(y0, y1)).alias("cy"), x0.alias("_x0"), x1.alias("_x1"))
+    place = F.floor(F.col("_x0") / STRETCH), F.floor(F.col("_x1") / STRETCH)
+    cut = rows.select("slide_id", "patch_id", "label", "cy", "_x0", "_x1", F.explode(F.sequence(*place)).alias("_at"))
+    spans = cut.select(
+        "slide_id", "cy", "_at",
+        F.struct(
+            "patch_id", F.greatest("_x0", (F.col("_at") * STRETCH).cast("int")).alias("first"),
+            F.least("_x1", (F.col("_at") * STRETCH + STRETCH - 1).cast("int")).alias("last"), "label",
+        ).alias("span"),
+    )
+    keys = ["slide_id", "cy", "_at"]
+    met = spans.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list("span")).alias("spans"))
+
+    def painted(cx: Column) -> Column:
+        top = F.try_element_at(F.filter("spans", lambda s: (s["first"] <= cx) & (cx <= s["last"])), F.lit(-1))
+        return F.struct(cx.alias("cx"), top.alias("top"))
+
+    cells = F.transform(F.sequence(F.array_min("spans.first"), F.array_max("spans.last")), painted)
+    return met.select("slide_id", "cy", F.inline(cells)).filter("top IS NOT NULL").select("slide_id", "cy", "cx", F.col("top.label").alias("label"))

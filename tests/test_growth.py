@@ -24,6 +24,22 @@ def test_planes_are_not_a_join_key(spark):
     assert not re.search(r"hashpartitioning\(c#\d+, \d+\)", plan)
 
 
+def test_cluster_map_paints_like_brute_force(spark):
+    random.seed(4)
+    rows = [(s, i, random.randrange(700), random.randrange(40), random.choice([None, 1, 2, 3])) for s in range(2) for i in range(60)]
+    patches = spark.createDataFrame(rows, "slide_id int, patch_id int, x int, y int, label int")
+    for size, factor in ((20, 3), (2, 3), (300, 4)):
+        want = {}
+        for s, _, x, y, label in rows:
+            for cy in range(y // factor, (y + size) // factor):
+                for cx in range(x // factor, (x + size) // factor):
+                    want[s, cy, cx] = label
+        found = T.cluster_map(patches, size, factor)
+        got = found.collect()
+        assert len(got) == len(want) and {(r.slide_id, r.cy, r.cx): r.label for r in got} == want
+        assert not re.search(r"Aggregate\(key[^\n]*cx#", plan_of(found))
+
+
 def test_union_of_masks_in_words(spark):
     random.seed(5)
     masks = [[(s, random.randrange(4), random.randrange(-70, 300)) for s in range(2) for _ in range(120)] for _ in range(2)]
