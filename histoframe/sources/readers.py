@@ -81,8 +81,10 @@ def read_mpp_csv(spark: SparkSession, path: str) -> DataFrame:
     """Per-image resolution overrides; the last row of an image wins."""
     rows = spark.read.option("header", True).csv(path)
     require_columns(rows, ("image", "mpp"), "resolution table")
-    placed = rows.withColumn("_at", F.struct(F.col("_metadata.file_name"), F.monotonically_increasing_id().alias("row")))
-    return placed.groupBy("image").agg(F.max_by(F.col("mpp").cast("double"), "_at").alias("mpp"))
+    # A place that is one number combines in a hash map, one with the file's name in it would sort all rows; so each file comes first.
+    placed = rows.select("image", F.col("mpp").cast("double").alias("mpp"), F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    by_file = placed.groupBy("image", "_file").agg(F.max_by("mpp", "_row").alias("mpp"))
+    return by_file.groupBy("image").agg(F.max_by("mpp", "_file").alias("mpp"))
 
 
 def read_channel_names(spark: SparkSession, path: str) -> DataFrame:

@@ -67,12 +67,12 @@ def src_ome_meta(spark, sf):
     "SELECT CAST(l_suppkey AS VARCHAR) || '.tif' AS image, MAX(l_orderkey * 10 + l_linenumber) / 100000 AS mpp FROM lineitem GROUP BY 1",
 )
 def src_mpp_csv(spark, sf):
-    """Repeated images in one sorted file; the last row counts."""
+    """Repeated images in sorted files, as many as the rows need; the last row counts."""
     li = I.table(spark, sf, "lineitem")
     at = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     path = scratch_path(spark, "mpp")
     rows = li.select(F.concat(F.col("l_suppkey").cast("string"), F.lit(".tif")).alias("image"), (at / 100000).alias("mpp"), at.alias("at"))
-    rows.repartitionByRange(4, "at").sortWithinPartitions("at").drop("at").write.option("header", True).csv(path)
+    rows.repartitionByRange("at").sortWithinPartitions("at").drop("at").write.option("header", True).csv(path)
     return readers.read_mpp_csv(spark, path)
 
 

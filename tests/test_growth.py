@@ -40,6 +40,15 @@ def test_cluster_map_paints_like_brute_force(spark):
         assert not re.search(r"Aggregate\(key[^\n]*cx#", plan_of(found))
 
 
+def test_last_row_of_the_last_file_wins(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("image,mpp\nx,0.1\ny,0.2\nx,0.3\n")
+    (tmp_path / "b.csv").write_text("image,mpp\nz,0.4\nx,0.5\nx,\n")
+    found = readers.read_mpp_csv(spark, str(tmp_path))
+    assert {r.image: r.mpp for r in found.collect()} == {"x": None, "y": 0.2, "z": 0.4}
+    # The pass over all rows is a hash aggregate; sorting is left to what it gives.
+    assert "partial_max_by(mpp" in plan_of(found) and "HashAggregate" in [line for line in plan_of(found).split("\n") if "partial_max_by" in line][-1]
+
+
 def test_union_of_masks_in_words(spark):
     random.seed(5)
     masks = [[(s, random.randrange(4), random.randrange(-70, 300)) for s in range(2) for _ in range(120)] for _ in range(2)]
