@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoframe.functions import numeric as X
+from histoframe.operators import words as W
 
 # Added to the non-zero count of a patch mean; small-patch bound.
 MEAN_EPSILON = 1e-6
 FIXED_INPUT_MIN_PX = 128
 
+#: Rows of a slide that stay in one task where boxes are summed, and the overlap up to which a row is copied to all its boxes at once.
+BAND, DIRECT = 256, 4
+
 
 def axis_starts(extent: Column, size: int, stride: int) -> Column:
     """Starts of all boxes along an axis, the last one flush with the edge."""
@@ -25,22 +29,27 @@ def axis_count(extent: Column, size: int, stride: int) -> Column:
     return F.when(last >= 0, F.floor(last / stride).cast("int") + 1 + edge).otherwise(0)
 
 
-def axis_covering(at: Column, extent: Column, size: int, stride: int) -> Column:
-    """Positions along an axis of the boxes that contain a coordinate.
+def axis_touching(low: Column, high: Column, extent: Column, size: int, stride: int) -> Column:
+    """Positions along an axis of the boxes that hold any coordinate from ``low`` to ``high``.
 
     Pure arithmetic: a pixel finds its boxes without joining the grid, and
     gets at most ceil(size / stride) of them plus the edge box.
     """
     last = extent - size
     top = F.floor(last / stride).cast("int")
-    first = F.greatest(F.lit(0), (F.floor((at - size) / stride) + 1).cast("int"))
-    final = F.least(F.floor(at / stride).cast("int"), top)
+    first = F.greatest(F.lit(0), (F.floor((low - size) / stride) + 1).cast("int"))
+    final = F.least(F.floor(high / stride).cast("int"), top)
     none = F.array().cast("array<int>")
     regular = F.when(first <= final, F.sequence(first, final)).otherwise(none)
-    edge = F.when((last % stride != 0) & (at >= last), F.array(top + 1)).otherwise(none)
+    edge = F.when((last % stride != 0) & (high >= last) & (low < extent), F.array(top + 1)).otherwise(none)
     return F.when(last >= 0, F.concat(regular, edge)).otherwise(none)
 
 
+def axis_covering(at: Column, extent: Column, size: int, stride: int) -> Column:
+    """Positions along an axis of the boxes that contain a coordinate."""
+    return axis_touching(at, at, extent, size, stride)
+
+
 def grid_patches(slides: DataFrame, size: int, stride: int) -> DataFrame:
     """Boxes of a regular grid in row-major order; none on a too small slide."""
     rows = slides.select(
@@ -75,15 +84,23 @@ def with_patches(rows: DataFrame, slides: DataFrame, size: int, stride: int) ->
     )
 
 
+def banded(rows: DataFrame) -> DataFrame:
+    """Rows with slide_id and y, a band of ``BAND`` rows of a slide in one task."""
+    return rows.withColumn("_band", F.floor(F.col("y") / BAND)).repartition("slide_id", "_band").drop("_band")
+
+
 def box_sums(rows: DataFrame, slides: DataFrame, size: int, stride: int, keys: list[str], sums: dict[str, Column]) -> DataFrame:
     """Additive aggregates per grid patch.
 
-    With little overlap every row goes straight to its boxes. With more, the
-    sums run along x first and along y second, so a pixel is copied k times
-    instead of k * k and the second step starts from combined rows.
+    With some overlap every row goes straight to its boxes, in tasks that hold
+    whole bands of a slide: there the copies combine to a row per box at once.
+    With more, the sums run along x first and along y second, so a pixel is
+    copied k times instead of k * k and the second step starts from combined
+    rows.
     """
-    if size <= 2 * stride:
-        return with_patches(rows, slides, size, stride).groupBy("slide_id", "patch_id", *keys).agg(
+    if size <= DIRECT * stride:
+        near = rows if size <= stride else banded(rows)
+        return with_patches(near, slides, size, stride).groupBy("slide_id", "patch_id", *keys).agg(
             *[F.sum(expr).alias(name) for name, expr in sums.items()]
         )
     width = F.col("_width")
@@ -102,9 +119,30 @@ def box_sums(rows: DataFrame, slides: DataFrame, size: int, stride: int, keys: l
     )
 
 
+def box_counts(mask: DataFrame, slides: DataFrame, size: int, stride: int) -> DataFrame:
+    """(slide_id, patch_id, _n): mask pixels of each grid patch that has any.
+
+    Rows of the mask travel as words of 64 columns, and a box counts bits; a
+    repeated pixel counts once.
+    """
+    height, width, start = F.col("_height"), F.col("_width"), F.col("word") * W.BITS
+    dims = slides.select("slide_id", F.col("height").alias("_height"), F.col("width").alias("_width"))
+    words = banded(W.to_words(mask)).join(dims, "slide_id")
+    boxes = words.withColumn("_ix", F.explode(axis_touching(start, start + W.BITS - 1, width, size, stride)))
+    first = F.least(F.col("_ix") * stride, width - size) - start
+    seen = W.bits_between(F.greatest(F.lit(0), first), F.least(F.lit(W.BITS - 1), first + size - 1))
+    counted = boxes.withColumn("_n", F.bit_count(F.col("bits").bitwiseAND(seen))).filter("_n > 0")
+    patch_id = (F.col("_iy") * axis_count(width, size, stride) + F.col("_ix")).cast("int")
+    return (
+        counted.withColumn("_iy", F.explode(axis_covering(F.col("y"), height, size, stride)))
+        .groupBy("slide_id", patch_id.alias("patch_id"))
+        .agg(F.sum("_n").alias("_n"))
+    )
+
+
 def tissue_prop(mask: DataFrame, slides: DataFrame, size: int, stride: int) -> DataFrame:
     """All patches with the share of each under tissue; zeros stay."""
-    counts = box_sums(mask, slides, size, stride, [], {"_n": F.lit(1)})
+    counts = box_counts(mask, slides, size, stride)
     prop = (F.coalesce("_n", F.lit(0)) / (size * size)).cast("float")
     return grid_patches(slides, size, stride).join(counts, ["slide_id", "patch_id"], "left").select(
         "slide_id", "patch_id", "x", "y", prop.alias("tissue_prop")

@@ -58,3 +58,17 @@ def test_union_of_masks_in_words(spark):
     assert len(got) == len(set(got)) and set(got) == set(masks[0]) | set(masks[1])
     assert dict(found.dtypes)["x"] == "int"
     assert not re.search(r"Aggregate\(key[^\n]*x#", plan_of(registered()["mask_union"].build(spark, SF)))
+
+
+@pytest.mark.parametrize("size, stride", [(16, 5), (20, 16), (100, 30), (7, 2), (30, 30)])
+def test_boxes_do_not_count_what_lies_off_the_frame(spark, size, stride):
+    random.seed(6)
+    height, width = 103, 200
+    slides = spark.createDataFrame([(0, height, width, "uint16")], "slide_id int, height int, width int, dtype string")
+    points = {(random.randrange(-20, 130), random.randrange(-90, 300)) for _ in range(3000)}
+    mask = spark.createDataFrame([(0, y, x) for y, x in points], "slide_id int, y int, x int")
+    sums = G.box_sums(mask, slides, size, stride, [], {"n": F.lit(1)})
+    counts = {r.patch_id: r.n for r in sums.collect()}
+    for r in G.tissue_prop(mask, slides, size, stride).collect():
+        n = sum(r.y <= y < r.y + size and r.x <= x < r.x + size for y, x in points)
+        assert counts.get(r.patch_id, 0) == n and abs(r.tissue_prop - n / size**2) < 1e-6
