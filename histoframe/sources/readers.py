@@ -117,8 +117,8 @@ def complete_additional(df: DataFrame) -> DataFrame:
 GEOMETRY = "struct<type: string, coordinates: string>"
 
 
-def flatten_geojson(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
-    """Polygon and MultiPolygon features to one row per vertex, in file order.
+def geojson_rings(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
+    """Polygon and MultiPolygon features to one row per ring, its points in an array, in file order.
 
     Coordinates stay text until the geometry type is known; other geometry
     types are ignored. ring 0 is the outline, later rings are holes.
@@ -130,14 +130,23 @@ def flatten_geojson(df: DataFrame, text: str = "json", keys: Sequence[str] = ())
     polygons = F.when(geo["type"] == "Polygon", F.array(F.from_json(geo["coordinates"], poly))).when(
         geo["type"] == "MultiPolygon", F.from_json(geo["coordinates"], f"array<{poly}>")
     )
-    return (
-        feats.select(*keys, "feature", F.posexplode(polygons).alias("part", "rings"))
-        .select(*keys, "feature", "part", F.posexplode("rings").alias("ring", "points"))
-        .select(*keys, "feature", "part", "ring", F.posexplode("points").alias("vertex", "p"))
-        .select(*keys, "feature", "part", "ring", "vertex", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+    parts = feats.select(*keys, "feature", F.posexplode(polygons).alias("part", "rings"))
+    return parts.select(*keys, "feature", "part", F.posexplode("rings").alias("ring", "points"))
+
+
+def ring_vertices(rings: DataFrame) -> DataFrame:
+    """One row per vertex of ``points``, in order."""
+    kept = [c for c in rings.columns if c != "points"]
+    return rings.select(*kept, F.posexplode("points").alias("vertex", "p")).select(
+        *kept, "vertex", F.col("p")[0].alias("x"), F.col("p")[1].alias("y")
     )
 
 
+def flatten_geojson(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
+    """Polygon and MultiPolygon features to one row per vertex, in file order."""
+    return ring_vertices(geojson_rings(df, text, keys))
+
+
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.option("wholetext", True).text(path)
     return flatten_geojson(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("json")), "json", ["file"])

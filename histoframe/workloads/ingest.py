@@ -95,8 +95,12 @@ SQUARES = """sq AS (SELECT CAST(l_suppkey AS INT) AS slide_id, l_orderkey AS o,
 
 def _geojson(spark, sf):
     """One feature collection per order: squares with a hole, multi-polygons, a point."""
-    li = I.table(spark, sf, "lineitem")
-    x, y, s = (F.col("l_partkey") % 30).cast("double"), (F.col("l_orderkey") % 30).cast("double"), (F.col("l_linenumber") + 4).cast("double")
+    # Numbers of their own, as each stands in dozens of places: spelt out there, the code is too long to be compiled.
+    li = I.table(spark, sf, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", (F.col("l_partkey") % 30).cast("double").alias("x"),
+        (F.col("l_orderkey") % 30).cast("double").alias("y"), (F.col("l_linenumber") + 4).cast("double").alias("s"),
+    )
+    x, y, s = F.col("x"), F.col("y"), F.col("s")
 
     def ring(x0, y0, side):
         return F.array(*[F.array(x0 + dx * side, y0 + dy * side) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
@@ -125,8 +129,14 @@ def _geojson(spark, sf):
         FROM r CROSS JOIN v GROUP BY 1, 2, 3, 4, 5, 6""",
 )
 def src_geojson(spark, sf):
-    flat = readers.flatten_geojson(_geojson(spark, sf), "json", ["slide_id", "o"])
-    return flat.groupBy("slide_id", "part", "ring", "vertex", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    """Whole rings are shuffled, and vertices counted where all of a place are.
+
+    A ring grows to its vertices after the shuffle, so there are more
+    partitions than usual, and a number of them that stays as it is.
+    """
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rings = readers.geojson_rings(_geojson(spark, sf), "json", ["slide_id"]).repartition(n, "slide_id", "part", "ring")
+    return readers.ring_vertices(rings).groupBy("slide_id", "part", "ring", "vertex", "x", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
 @workload(

@@ -1,5 +1,6 @@
 """Steps whose memory in a task grew with the table: same results, and plans without the step that grew."""
 
+import json
 import random
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from histoframe.operators import patches as G
 from histoframe.operators import tissue as T
 from histoframe.operators import words as W
-from histoframe.sources import readers
+from histoframe.sources import readers, sinks
 from histoframe.workloads import registered
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +73,8 @@ def test_boxes_do_not_count_what_lies_off_the_frame(spark, size, stride):
     for r in G.tissue_prop(mask, slides, size, stride).collect():
         n = sum(r.y <= y < r.y + size and r.x <= x < r.x + size for y, x in points)
         assert counts.get(r.patch_id, 0) == n and abs(r.tissue_prop - n / size**2) < 1e-6
+
+
+def test_vertices_are_not_shuffled(spark):
+    plan = plan_of(registered()["src_geojson"].build(spark, SF))
+    assert not re.search(r"hashpartitioning\([^)]*vertex", plan)
