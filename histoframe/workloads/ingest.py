@@ -170,8 +170,8 @@ def sink_geojson(spark, sf):
     )
     path = scratch_path(spark, "geojson")
     sinks.write_geojson(sinks.tissue_features(rings), path)
-    tid = F.get_json_object("value", "$.properties.tissue_id").cast("bigint")
-    return spark.read.text(path).select("slide_id", tid.alias("tissue_id"), F.col("value").alias("feature"))
+    tid = F.get_json_object("feature", "$.properties.tissue_id").cast("bigint")
+    return sinks.read_tissue(spark, path).select("slide_id", tid.alias("tissue_id"), "feature")
 
 
 @workload(

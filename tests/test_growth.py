@@ -78,3 +78,15 @@ def test_boxes_do_not_count_what_lies_off_the_frame(spark, size, stride):
 def test_vertices_are_not_shuffled(spark):
     plan = plan_of(registered()["src_geojson"].build(spark, SF))
     assert not re.search(r"hashpartitioning\([^)]*vertex", plan)
+
+
+def test_outlines_of_many_slides_share_folders(spark, tmp_path):
+    rows = [(s, t, '{"type":"Feature","properties":{"tissue_id":%d,"name":"},\\"slide_id\\":7}"},"geometry":null}' % t) for s in range(-3, 300) for t in range(2)]
+    features = spark.createDataFrame(rows, "slide_id int, tissue_id bigint, feature string")
+    path = str(tmp_path / "out")
+    sinks.write_geojson(features, path)
+    assert len(list((tmp_path / "out").glob("shelf=*"))) <= sinks.SHELVES
+    assert sorted(map(tuple, sinks.read_tissue(spark, path).collect())) == sorted((s, f) for s, _, f in rows)
+    assert {r.slide_id for r in sinks.read_tissue(spark, path, [5, 17]).collect()} == {5, 17}
+    for line in (r.value for r in spark.read.text(path).limit(5).collect()):
+        assert set(json.loads(line)) == {"type", "properties", "geometry", "slide_id"}
