@@ -142,7 +142,10 @@ def segment(pixels: DataFrame, slides: DataFrame, segmenter: Segmenter, channels
     """Tile predictions (slide_id, y, x, p) of a segmenter, to be voted over.
 
     One group is one tile, size * size * channels pixels at most; a tile
-    without any pixel predicts nothing and reads as background.
+    without any pixel predicts nothing and reads as background. Predictions
+    come dealt by image row, so that a vote is summed after the shuffle and
+    not beside the segmenter; equal ones take few bytes and as much memory as
+    others, so there are more partitions than usual, and a fixed number.
     """
     tiles = G.with_patches(pixels.filter(F.col("c").isin(*channels)), slides, size, stride)
 
@@ -159,4 +162,5 @@ def segment(pixels: DataFrame, slides: DataFrame, segmenter: Segmenter, channels
         return pd.DataFrame({"slide_id": int(key[0]), "y": (ys + y0).ravel(), "x": (xs + x0).ravel(), "p": prob.ravel()})
 
     starts = G.grid_patches(slides, size, stride).select("slide_id", "patch_id", F.col("y").alias("_py"), F.col("x").alias("_px"))
-    return tiles.join(starts, ["slide_id", "patch_id"]).groupBy("slide_id", "patch_id").applyInPandas(run, "slide_id int, y int, x int, p double")
+    found = tiles.join(starts, ["slide_id", "patch_id"]).groupBy("slide_id", "patch_id").applyInPandas(run, "slide_id int, y int, x int, p double")
+    return found.repartition(4 * int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slide_id", "y")

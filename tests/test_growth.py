@@ -90,3 +90,9 @@ def test_outlines_of_many_slides_share_folders(spark, tmp_path):
     assert {r.slide_id for r in sinks.read_tissue(spark, path, [5, 17]).collect()} == {5, 17}
     for line in (r.value for r in spark.read.text(path).limit(5).collect()):
         assert set(json.loads(line)) == {"type", "properties", "geometry", "slide_id"}
+
+
+def test_votes_are_summed_after_the_shuffle(spark):
+    plan = plan_of(registered()["segmenter_plugin"].build(spark, SF))
+    sums, python = plan.index("partial_avg"), plan.index("FlatMapGroupsInPandas")
+    assert "REPARTITION_BY_NUM" in plan[sums:python]
