@@ -107,9 +107,11 @@ def _cleanup(spark, sf):
 
 @workload("mask_cleanup")
 def mask_cleanup(spark, sf):
-    """Clean mask with the component count of each stage on every pixel's slide."""
+    """Pixels of each slide's clean mask and the component count of each stage; slides of which nothing is left count 0."""
     mask, counts = _cleanup(spark, sf)
-    return R.to_pixels(mask).groupBy("slide_id").agg(F.count(F.lit(1)).alias("area")).join(counts, "slide_id")
+    area = mask.groupBy("slide_id").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("area"))
+    stages = [c for c in counts.columns if c != "slide_id"]
+    return counts.join(area, "slide_id", "left").select("slide_id", F.coalesce("area", F.lit(0).cast("bigint")).alias("area"), *stages)
 
 
 @workload(

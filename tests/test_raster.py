@@ -160,3 +160,28 @@ def test_polygons_are_drawn_by_words_of_columns(spark):
     assert sorted(once.collect()) == sorted({(s, y, x) for (s, _), px in want.items() for y, x in px})
     words = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line and "word" in line]
     assert len(words) == 2
+
+
+def test_slides_whose_clean_mask_is_empty_are_counted(spark, tmp_path):
+    """Every slide has its row: one without lines, one all of whose components are too small."""
+    from histoframe.workloads import registered
+
+    r = random.Random(5)
+    points = {0: [], 1: [(3, 4), (20, 30), (47, 47)], 2: [(r.randrange(48), r.randrange(48)) for _ in range(330)], 3: [(y, x) for y in (10, 12, 15) for x in range(9, 20)] + [(y, x) for y in range(10, 16) for x in (9, 14, 19)]}
+    spark.createDataFrame([(s, f"s{s}", 1) for s in points], "s_suppkey long, s_name string, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    lines = [(s, y, x, q) for s, at in points.items() for y, x in at for q in (20.0, 5.0)]
+    spark.createDataFrame(lines, "l_suppkey long, l_orderkey long, l_partkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    near, size, frame = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)], (48, 48), {(y, x) for y in range(48) for x in range(48)}
+    want = set()
+    for s, at in points.items():
+        raw = plain_components({(y + a, x + b) for y, x in at for a in (0, 1) for b in (0, 1)} & frame, near)
+        kept = [c for c in raw if len(c) >= 9]
+        mask = set().union(*kept)
+        for hole in plain_components(frame - mask, near):
+            mask |= hole if len(hole) <= 6 and all(0 < v < 47 for px in hole for v in px) else set()
+        closed = frame - plain_dilation(frame - plain_dilation(mask, *size, 1), *size, 1)
+        want.add((s, len(closed), len(raw), len(kept), len(plain_components(mask, near)), len(plain_components(closed, near))))
+    found = registered()["mask_cleanup"].build(spark, str(tmp_path))
+    assert found.columns == ["slide_id", "area", "raw", "min_area", "hole_fill", "closing"]
+    got = [tuple(row) for row in found.collect()]
+    assert len(got) == 4 and set(got) == want and (0, 0, 0, 0, 0, 0) in want and (1, 0, 3, 0, 0, 0) in want
