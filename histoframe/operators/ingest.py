@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from histoframe.functions import numeric as X
 # Fixed value: microns by which files of one slide may differ.
 MPP_AGREEMENT = 1e-6
 
+#: Crossings of rings and lines, and words of runs, that a task draws at once.
+MOST_CROSSINGS = 1 << 20
+
 
 def filter_inputs(inputs: DataFrame, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
     """Inputs by exact entry name; include first, then exclude."""
@@ -163,10 +166,130 @@ def rasterize_polygons(
         return F.when(ring["ring"] == 0, seen.bitwiseOR(ring["bits"])).otherwise(seen.bitwiseAND(F.bitwise_not(ring["bits"])))
 
     words = rings.groupBy(*keys, "y", "word").agg(F.aggregate(order, F.lit(0).cast("bigint"), draw).alias("bits"))
+    return _word_pixels(words, keys, union)
+
+
+def _word_pixels(words: DataFrame, keys: Sequence[str], union: Sequence[str] | None) -> DataFrame:
+    """Pixels of (keys, y, word, bits), or those of all words that share the keys of ``union``, each once."""
     if union is not None:
         words = words.groupBy(*union, "y", "word").agg(F.bit_or("bits").alias("bits"))
-    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", F.col("bits"), i).bitwiseAND(F.lit(1)) == 1)
-    pixels = words.filter("bits <> 0").select(*(keys if union is None else union), "y", "word", F.explode(set_bits).alias("_bit"))
-    return pixels.select(*(keys if union is None else union), "y", (F.col("word") * 64 + F.col("_bit")).cast("int").alias("x"))
+    names = keys if union is None else union
+    is_set = F.call_function("shiftrightunsigned", F.col("bits"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1
+    pixels = words.filter("bits <> 0").select(*names, "y", "word", "bits", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_bit"))
+    return pixels.filter(is_set).select(*names, "y", (F.col("word") * 64 + F.col("_bit")).cast("int").alias("x"))
+
+
+def _edges(drawing, heights):  # noqa: ANN001, ANN202 - Arrow column and numpy rows
+    """(drawing, ring, outline) of each ring, and (ring, x0, y0, x1, y1, first line, lines) of the edges that cross lines of the frame."""
+    import numpy as np
+
+    def opened(lists):  # noqa: ANN001, ANN202 - Arrow column of lists
+        return lists.flatten(), np.asarray(lists.value_parent_indices())
+
+    features, of_drawing = opened(drawing)
+    parts, of_feature = opened(features)
+    rings, of_part = opened(parts)
+    points, of_ring = opened(rings)
+    numbers, of_point = opened(points)
+    owner = of_drawing[of_feature[of_part]]
+    outline = np.arange(len(of_part)) == np.searchsorted(of_part, of_part)
+    size, numbers = np.bincount(of_point, minlength=len(points)), np.append(numbers.to_numpy(zero_copy_only=False).astype(float), np.nan)
+    at = np.where(size >= 2, np.cumsum(size) - size, len(numbers) - 1)
+    x, y = numbers[at], numbers[np.minimum(at + 1, len(numbers) - 1)]
+    whole = np.isfinite(x) & np.isfinite(y)
+    x, y, ring = x[whole], y[whole], of_ring[whole]
+    after = np.arange(1, len(ring) + 1)
+    ends = np.flatnonzero(np.append(np.diff(ring) > 0, np.ones(min(1, len(ring)), bool)))
+    after[ends] = np.searchsorted(ring, ring[ends])
+    edge = (ring, x, y, x[after], y[after])
+    low = np.clip(np.ceil(np.minimum(y, edge[4]) - 0.5), 0, heights[owner[ring]])
+    high = np.clip(np.ceil(np.maximum(y, edge[4]) - 0.5), 0, heights[owner[ring]])
+    crosses = low < high
+    return (owner, outline), tuple(c[crosses] for c in (*edge, low.astype("int64"), (high - low).astype("int64")))
+
+
+def _stretches(sizes, places, most: int):  # noqa: ANN001, ANN202 - numpy rows
+    """Slices of rows whose sizes sum up to ``most`` or that are one place; rows of a place are together."""
+    import numpy as np
+
+    ends = np.flatnonzero(np.append(np.diff(places) != 0, True)) + 1 if len(places) else np.empty(0, int)
+    total, start = np.append(0, np.cumsum(sizes))[ends], 0
+    while start < len(ends):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + most, "right")))
+        yield slice(ends[start - 1] if start else 0, ends[stop - 1])
+        start = stop
+
+
+def _counted_up(sizes):  # noqa: ANN001, ANN202 - numpy rows
+    """Each row's index as often as its size says, and the counts from 0 beside it."""
+    import numpy as np
+
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def drawn_words(drawing, heights, widths):  # noqa: ANN001, ANN201 - Arrow column and numpy rows
+    """(drawing, y, word, bits) of the pixels that are set once all rings of each drawing are drawn in their order."""
+    import numpy as np
+
+    (owner, outline), edges = _edges(drawing, heights)
+    for some in _stretches(edges[-1], owner[edges[0]], MOST_CROSSINGS):
+        ring, x0, y0, x1, y1, low, lines = (c[some] for c in edges)
+        e, line = _counted_up(lines)
+        y, ring = low[e] + line, ring[e]
+        at = x0[e] + (y + 0.5 - y0[e]) * (x1[e] - x0[e]) / (y1[e] - y0[e])
+        order = np.lexsort((at, y, ring))
+        ring, y, at = ring[order][::2], y[order][::2], at[order]
+        # A closed ring crosses the middle of a line an even number of times.
+        last = np.clip(np.ceil(at[1::2] - 0.5), 0, widths[owner[ring]]).astype("int64") - 1
+        first = np.clip(np.ceil(at[::2] - 0.5), 0, widths[owner[ring]]).astype("int64")
+        order = np.lexsort((ring, y, owner[ring]))
+        order = order[(first <= last)[order]]
+        ring, y, first, last = ring[order], y[order], first[order], last[order]
+        of = owner[ring]
+        n_words = (last >> 6) - (first >> 6) + 1
+        for part in _stretches(n_words, np.cumsum(np.append(0, (np.diff(of) != 0) | (np.diff(y) != 0)))[: len(of)], MOST_CROSSINGS):
+            run, word = _counted_up(n_words[part])
+            run += part.start
+            word += first[run] >> 6
+            begin, end = np.maximum(first[run] - word * 64, 0), np.minimum(last[run] - word * 64, 63)
+            bits = (np.uint64(2**64 - 1) >> (63 - (end - begin)).astype("uint64")) << begin.astype("uint64")
+            order = np.lexsort((ring[run], word, y[run], of[run]))
+            run, word, bits = run[order], word[order], bits[order]
+            sets = outline[ring[run]]
+            new = np.append(True, (np.diff(of[run]) != 0) | (np.diff(y[run]) != 0) | (np.diff(word) != 0))[: len(run)]
+            starts = np.flatnonzero(new)
+            left, drawn, live, k = np.diff(np.append(starts, len(run))), np.zeros(len(starts), "uint64"), np.arange(len(starts)), 0
+            while len(live):
+                now = starts[live] + k
+                drawn[live] = np.where(sets[now], drawn[live] | bits[now], drawn[live] & ~bits[now])
+                k += 1
+                live = live[left[live] > k]
+            kept = drawn != 0
+            at_row = run[starts][kept]
+            yield of[at_row], y[at_row], word[starts][kept], drawn[kept]
+
+
+def rasterize_drawings(drawings: DataFrame, slides: DataFrame, keys: Sequence[str] = ("slide_id",), union: Sequence[str] | None = None) -> DataFrame:
+    """Pixels inside polygons as of ``rasterize_polygons``, of rows that hold a whole ``drawing`` each (``geojson_drawings``).
+
+    A task draws one row after the other, so nothing but the words of 64
+    columns that are left set is shuffled, and only where drawings are united.
+    Points without two finite numbers are left out of their ring, lines and
+    columns off the frame are never drawn.
+    """
+    framed = drawings.join(slides.select("slide_id", F.col("height").cast("bigint").alias("_height"), F.col("width").cast("bigint").alias("_width")), "slide_id")
+
+    def draw(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        for batch in batches:
+            *held, heights, widths, drawing = batch.columns
+            for of, y, word, bits in drawn_words(drawing, heights.to_numpy(), widths.to_numpy()):
+                columns = [c.take(pa.array(of)) for c in held] + [pa.array(y.astype("int32")), pa.array(word.astype("int32")), pa.array(bits.view("int64"))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "y", "word", "bits"])
 
+    rows = framed.select(*keys, "_height", "_width", "drawing")
+    kinds = ", ".join(f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in keys)
+    return _word_pixels(rows.mapInArrow(draw, f"{kinds}, y int, word int, bits bigint"), keys, union)

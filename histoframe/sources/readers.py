@@ -115,22 +115,34 @@ def complete_additional(df: DataFrame) -> DataFrame:
 
 
 GEOMETRY = "struct<type: string, coordinates: string>"
+FEATURES = f"struct<features: array<struct<geometry: {GEOMETRY}>>>"
 
 
-def geojson_rings(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
-    """Polygon and MultiPolygon features to one row per ring, its points in an array, in file order.
+def _polygons(geo: Column) -> Column:
+    """Parts of a geometry as arrays of rings of points; null where it is of another type.
 
-    Coordinates stay text until the geometry type is known; other geometry
-    types are ignored. ring 0 is the outline, later rings are holes.
+    Coordinates stay text until the geometry type is known.
     """
-    schema = f"struct<features: array<struct<geometry: {GEOMETRY}>>>"
-    feats = df.select(*keys, F.posexplode(F.from_json(text, schema)["features"]).alias("feature", "f"))
     poly = "array<array<array<double>>>"
-    geo = F.col("f.geometry")
-    polygons = F.when(geo["type"] == "Polygon", F.array(F.from_json(geo["coordinates"], poly))).when(
+    return F.when(geo["type"] == "Polygon", F.array(F.from_json(geo["coordinates"], poly))).when(
         geo["type"] == "MultiPolygon", F.from_json(geo["coordinates"], f"array<{poly}>")
     )
-    parts = feats.select(*keys, "feature", F.posexplode(polygons).alias("part", "rings"))
+
+
+def geojson_drawings(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
+    """One row per document, its polygons in ``drawing``: features of parts of rings of points, in file order."""
+    features = F.from_json(text, FEATURES)["features"]
+    return df.select(*keys, F.transform(features, lambda f: _polygons(f["geometry"])).alias("drawing"))
+
+
+def geojson_rings(df: DataFrame, text: str = "json", keys: Sequence[str] = ()) -> DataFrame:
+    """Polygon and MultiPolygon features to one row per ring, its points in an array, in file order.
+
+    Other geometry types are ignored. ring 0 is the outline, later rings are
+    holes.
+    """
+    feats = df.select(*keys, F.posexplode(F.from_json(text, FEATURES)["features"]).alias("feature", "f"))
+    parts = feats.select(*keys, "feature", F.posexplode(_polygons(F.col("f.geometry"))).alias("part", "rings"))
     return parts.select(*keys, "feature", "part", F.posexplode("rings").alias("ring", "points"))
 
 

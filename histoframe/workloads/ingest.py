@@ -94,29 +94,27 @@ SQUARES = """sq AS (SELECT CAST(l_suppkey AS INT) AS slide_id, l_orderkey AS o,
 
 
 def _geojson(spark, sf):
-    """One feature collection per order: squares with a hole, multi-polygons, a point."""
-    # Numbers of their own, as each stands in dozens of places: spelt out there, the code is too long to be compiled.
-    li = I.table(spark, sf, "lineitem").select(
-        "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", (F.col("l_partkey") % 30).cast("double").alias("x"),
-        (F.col("l_orderkey") % 30).cast("double").alias("y"), (F.col("l_linenumber") + 4).cast("double").alias("s"),
-    )
-    x, y, s = F.col("x"), F.col("y"), F.col("s")
+    """One feature collection per order: squares with a hole, multi-polygons, a point.
+
+    Numbers are shuffled, and written as text where all of an order are.
+    """
+    lines = I.table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("int").alias("slide_id"), F.col("l_orderkey").alias("o"), "l_linenumber", "l_partkey")
+    orders = lines.repartition("slide_id", "o").groupBy("slide_id", "o").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("fs"))
 
     def ring(x0, y0, side):
         return F.array(*[F.array(x0 + dx * side, y0 + dy * side) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
 
-    poly = F.array(ring(x, y, s), ring(x + 1, y + 1, s - 3))
-    n = F.col("l_linenumber")
-    multi = F.to_json(F.struct(F.struct(F.lit("MultiPolygon").alias("type"), F.array(poly, F.array(ring(x, y + 10, s))).alias("coordinates")).alias("geometry")))
-    single = F.to_json(F.struct(F.struct(F.lit("Polygon").alias("type"), poly.alias("coordinates")).alias("geometry")))
-    point = F.to_json(F.struct(F.struct(F.lit("Point").alias("type"), F.array(x, y).alias("coordinates")).alias("geometry")))
-    feature = F.when(n % 3 == 0, multi).when(n % 3 == 1, single).otherwise(point)
-    return (
-        li.withColumn("f", feature)
-        .groupBy(F.col("l_suppkey").cast("int").alias("slide_id"), F.col("l_orderkey").alias("o"))
-        .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "f"))).alias("fs"))
-        .select("slide_id", "o", F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.transform("fs", lambda v: v["f"]), ","), F.lit("]}")).alias("json"))
-    )
+    def feature(line):
+        n, x, y = line["l_linenumber"], (line["l_partkey"] % 30).cast("double"), (F.col("o") % 30).cast("double")
+        s = (n + 4).cast("double")
+        poly = F.array(ring(x, y, s), ring(x + 1, y + 1, s - 3))
+        multi = F.to_json(F.struct(F.struct(F.lit("MultiPolygon").alias("type"), F.array(poly, F.array(ring(x, y + 10, s))).alias("coordinates")).alias("geometry")))
+        single = F.to_json(F.struct(F.struct(F.lit("Polygon").alias("type"), poly.alias("coordinates")).alias("geometry")))
+        point = F.to_json(F.struct(F.struct(F.lit("Point").alias("type"), F.array(x, y).alias("coordinates")).alias("geometry")))
+        return F.when(n % 3 == 0, multi).when(n % 3 == 1, single).otherwise(point)
+
+    features = F.array_join(F.transform("fs", feature), ",")
+    return orders.select("slide_id", "o", F.concat(F.lit('{"type":"FeatureCollection","features":['), features, F.lit("]}")).alias("json"))
 
 
 @workload(
@@ -151,8 +149,8 @@ def src_geojson(spark, sf):
         SELECT DISTINCT slide_id, y, x FROM drawn WHERE fill""",
 )
 def poly_rasterize(spark, sf):
-    flat = readers.flatten_geojson(_geojson(spark, sf), "json", ["slide_id", "o"])
-    return G.rasterize_polygons(flat, I.slides(spark, sf), ["slide_id", "o"], union=["slide_id"])
+    drawings = readers.geojson_drawings(_geojson(spark, sf), "json", ["slide_id", "o"])
+    return G.rasterize_drawings(drawings, I.slides(spark, sf), ["slide_id", "o"], union=["slide_id"])
 
 
 @workload(

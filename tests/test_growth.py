@@ -96,3 +96,42 @@ def test_votes_are_summed_after_the_shuffle(spark):
     plan = plan_of(registered()["segmenter_plugin"].build(spark, SF))
     sums, python = plan.index("partial_avg"), plan.index("FlatMapGroupsInPandas")
     assert "REPARTITION_BY_NUM" in plan[sums:python]
+
+
+def test_drawings_are_rasterized_like_vertices_without_a_shuffle(spark, monkeypatch):
+    """Rows that hold a whole drawing each: the same pixels as ring by ring, and only words of united drawings are shuffled."""
+    from histoframe.operators import ingest as N
+
+    random.seed(8)
+    docs = []
+    for s, o in ((1, 0), (1, 1), (2, 0), (3, 0), (4, 0)):
+        features = []
+        for _ in range(6):
+            rings = [[[random.uniform(-40, 260), random.choice([random.uniform(-5, 15), 2.5, 3.0])] for _ in range(random.randrange(1, 6))] for _ in range(3)]
+            rings = [r + r[:1] if random.random() < 0.7 else r for r in rings]
+            kind = random.choice(["Polygon", "MultiPolygon", "Point"])
+            features.append({"type": "Feature", "geometry": {"type": kind, "coordinates": {"Polygon": rings, "MultiPolygon": [rings, rings[::-1]], "Point": rings[0][0]}[kind]}})
+        docs.append((s, o, json.dumps({"type": "FeatureCollection", "features": features if s < 4 else []})))
+    docs.append((2, 1, "{}"))
+    text = spark.createDataFrame(docs, "slide_id int, o int, json string")
+    slides = spark.createDataFrame([(1, 8, 200), (2, 12, 70), (4, 5, 5)], "slide_id int, height int, width int")
+    keys = ["slide_id", "o"]
+    drawings = readers.geojson_drawings(text, "json", keys)
+    for union in (None, ["slide_id"]):
+        want = N.rasterize_polygons(readers.flatten_geojson(text, "json", keys), slides, keys, union).collect()
+        for most in (1, 1 << 20):
+            monkeypatch.setattr(N, "MOST_CROSSINGS", most)
+            got = N.rasterize_drawings(drawings, slides, keys, union).collect()
+            assert len(want) > 300 and sorted(got) == sorted(want)
+    odd = '{"features":[{"geometry":{"type":"Polygon","coordinates":[[[0,0],[null,1],[3,0],[3,2],null,[1],[0,2]],[]]}}]}'
+    found = N.rasterize_drawings(readers.geojson_drawings(spark.createDataFrame([(1, odd)], "slide_id int, json string"), "json", ["slide_id"]), slides).collect()
+    assert sorted(map(tuple, found)) == [(1, y, x) for y in range(2) for x in range(3)]
+    plan = plan_of(registered()["poly_rasterize"].build(spark, SF))
+    assert "Window" not in plan and not re.search(r"hashpartitioning\([^)]*(feature|word#\d+, [a-z])", plan)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_orders_are_shuffled_as_numbers(spark):
+    for name in ("src_geojson", "poly_rasterize"):
+        plan = plan_of(registered()[name].build(spark, SF))
+        assert re.search(r"collect_list\(struct\(l_linenumber, l_linenumber#\d+, l_partkey, l_partkey#\d+L\)", plan)
