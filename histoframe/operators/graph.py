@@ -22,6 +22,9 @@ BLOCK, MAX_BLOCKS, PIVOT_BYTES = 4096, 100_000, 64 << 20
 #: Bytes of vectors on either side of a meeting of the second pass.
 TILE_BYTES = 8 << 20
 
+#: Distance from the mean of a pool up to which single precision holds the square, with room.
+FAR = 1e15
+
 #: Gain a move needs, as a share of the node's weight (of 1 at least); steps in which gains are told apart.
 LEAST_GAIN, STEPS_PER_DOUBLING = 1e-9, 4
 
@@ -77,6 +80,67 @@ def _nearest(ids, vectors, pool_ids, pool, k: int, bound=None):  # noqa: ANN001,
     return tuple(np.concatenate(x) if x else np.empty(0) for x in found)
 
 
+class Pool:
+    """Rows that others look for their nearest in, in single precision around their mean.
+
+    A product of matrices of half the size says which rows can be within a
+    bound, with room for its rounding; distances of the few that can are worked
+    out term by term, as in ``_nearest``.
+    """
+
+    def __init__(self, ids, vectors) -> None:  # noqa: ANN001 - numpy rows
+        import numpy as np
+
+        self.ids, self.vectors = ids, vectors
+        self.centre = vectors.mean(0)
+        near = vectors - self.centre
+        half = (near * near).sum(1) / 2
+        self.far = float(np.sqrt(2 * half.max(initial=0.0)))
+        self.plain = not self.far < FAR
+        self.around = None if self.plain else np.concatenate([-near, half[:, None]], 1).astype("float32")
+        # What centring in double precision may have moved a component by.
+        self.moved = 0.0 if self.plain else 4e-16 * float(np.abs(vectors).max(initial=0.0) + np.abs(self.centre).max(initial=0.0))
+        self.by_id = np.argsort(ids, kind="stable")
+        self.sorted_ids = ids[self.by_id]
+
+    def nearest(self, ids, vectors, k: int, bound, taken=None, out=slice(0, 0)):  # noqa: ANN001, ANN201 - numpy rows
+        """As ``_nearest`` among the rows ``taken`` (or all), but those of the slice ``out``."""
+        import numpy as np
+
+        near = vectors - self.centre
+        left, width = (near * near).sum(1), vectors.shape[1]
+        size = np.sqrt(left)
+        if self.plain or not (size < FAR).all() or not np.isfinite(bound).all():
+            kept = np.setdiff1d(np.arange(len(self.ids)) if taken is None else taken, np.arange(out.start, out.stop))
+            return _nearest(ids, vectors, self.ids[kept], self.vectors[kept], k, bound)
+        room = ((width + 8) * 1.2e-7 * (size + self.far) + 2 * width**0.5 * self.moved) * (size + self.far) + 1e-30
+        asked = np.concatenate([near, np.ones((len(near), 1))], 1).astype("float32")
+        rough = asked @ (self.around if taken is None else self.around[taken]).T
+        rough[:, out if taken is None else (taken >= out.start) & (taken < out.stop)] = np.inf
+        first, last = (np.searchsorted(self.sorted_ids, ids, side) for side in ("left", "right"))
+        for row in np.flatnonzero(last > first):
+            same = self.by_id[first[row] : last[row]]
+            rough[row, same if taken is None else np.isin(taken, same)] = np.inf
+        limit = ((bound * bound - left) / 2 + room).astype("float32")
+        limit = np.nextafter(limit, np.float32(np.inf))
+        some = max(8 * k, rough.shape[1] // 64)
+        if rough.shape[1] >= some:
+            # The k-th least of the minima of so many sets of columns is no less than the k-th least of all.
+            least = rough[:, : rough.shape[1] // some * some].reshape(len(rough), -1, some).min(axis=1)
+            kth = np.partition(least, k - 1, axis=1)[:, k - 1]
+            limit = np.minimum(limit, np.nextafter((kth + 2 * room).astype("float32"), np.float32(np.inf)))
+        row, col = np.divmod(np.flatnonzero(rough <= np.minimum(limit, np.finfo("float32").max)[:, None]), rough.shape[1])
+        col = col if taken is None else taken[col]
+        exact = np.empty(len(row))
+        for at in range(0, len(row), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            exact[some] = np.sqrt(((vectors[row[some]] - self.vectors[col[some]]) ** 2).sum(1))
+        order = np.lexsort((self.ids[col], exact, row))
+        row, col, exact = row[order], col[order], exact[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return row[best], self.ids[col[best]], exact[best]
+
+
 def _within(to_pivot, slack, bound, low, high):  # noqa: ANN001, ANN202 - numpy rows
     """Which blocks can hold a row within each row's bound, by the distances from their pivots."""
     import numpy as np
@@ -192,6 +256,8 @@ class KnnPlan:
 
             ball = balls.value
             cell = ball["block"] >> 24
+            by_bundle = np.argsort(ball["bundle"], kind="stable")
+            starts = np.flatnonzero(np.append(True, np.diff(ball["bundle"][by_bundle]) > 0))
             for batch in batches:
                 for at in range(0, batch.num_rows, 512):
                     part = batch.slice(at, 512)
@@ -209,10 +275,9 @@ class KnnPlan:
                         bound = np.take_along_axis(farthest, order[np.arange(len(few)), at_last][:, None], 1)[:, 0] + 2 * slack[few, 0]
                         best[few] = np.where(enough.any(1), bound, np.inf)
                     meets = _within(to_pivot, slack, best, ball["low"], ball["high"]) & (ball["block"][None, :] != block[:, None])
-                    row, target = np.nonzero(meets)
-                    pairs = np.unique(np.stack([row, ball["bundle"][target]], 1), axis=0)
-                    ends = pa.array(np.searchsorted(pairs[:, 0], np.arange(len(block) + 1)).astype("int32"))
-                    bundles = pa.ListArray.from_arrays(ends, pa.array(pairs[:, 1].astype("int32")))
+                    row, target = np.nonzero(np.logical_or.reduceat(meets[:, by_bundle], starts, axis=1))
+                    ends = pa.array(np.searchsorted(row, np.arange(len(block) + 1)).astype("int32"))
+                    bundles = pa.ListArray.from_arrays(ends, pa.array(ball["bundle"][by_bundle][starts][target].astype("int32")))
                     arrays = [*part.select([0, 1, 2]).columns, pa.array(best), bundles, pa.array(meets.sum(1).astype("int64"))]
                     yield pa.RecordBatch.from_arrays(arrays, names=["id", "f", "block", "bound", "bundles", "met"])
 
@@ -252,15 +317,20 @@ class KnnPlan:
                 here, place = np.unique(block, return_inverse=True)
                 at = np.searchsorted(ball["block"], here)
                 low, high, centres = ball["low"][at], ball["high"][at], pivots.value[here >> 24]
+                hosted = Pool(pool_ids, pool)
+                sides = np.searchsorted(block, here), np.searchsorted(block, here, "right")
                 # Rows of one block, so that the blocks they meet are much the same and their own is left out for all.
                 ends = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
-                for start in np.concatenate([np.arange(a, b, 64) for a, b in zip(ends[:-1], ends[1:])]):
-                    rows = slice(start, min(start + 64, ends[np.searchsorted(ends, start, "right")]))
+                for start in np.concatenate([np.arange(a, b, 256) for a, b in zip(ends[:-1], ends[1:])]):
+                    rows = slice(start, min(start + 256, ends[np.searchsorted(ends, start, "right")]))
                     to_pivot, slack = _euclid(vectors[rows], centres)
                     met = _within(to_pivot, slack, bound[rows], low, high).any(0) & (here != own[start])
                     taken = np.flatnonzero(met[place])
                     if len(taken):
-                        row, neighbour, distance = _nearest(ids[rows], vectors[rows], pool_ids[taken], pool[taken], k, bound[rows])
+                        # Where most are met the rest are compared as well, which saves a copy of them.
+                        mine = np.flatnonzero(here == own[start])
+                        out = slice(int(sides[0][mine[0]]), int(sides[1][mine[0]])) if len(mine) else slice(0, 0)
+                        row, neighbour, distance = hosted.nearest(ids[rows], vectors[rows], k, bound[rows], None if 2 * len(taken) > len(pool) else taken, out)
                         found[0].append(ids[rows][row])
                         found[1].append(neighbour.astype("int64"))
                         found[2].append(distance)

@@ -104,3 +104,25 @@ def test_a_row_goes_to_a_bundle_of_blocks_once(spark, monkeypatch):
         copies = plan.sent.selectExpr("sum(size(bundles)) as n").first().n
         assert plan.traffic().first().share > 0.5 and copies <= 700 * bundles
         assert {(r.id, r.neighbour, r["rank"]) for r in plan.neighbours().collect()} == plain_neighbours(x, 5)
+
+
+def test_pool_finds_the_same_as_in_double_precision(monkeypatch):
+    """Distances picked in single precision are those of the plain search, far from the origin, with ties and repeated ids; the plain search is left to rows beyond its range."""
+    plain, calls = G._nearest, []
+    r = np.random.default_rng(9)
+    x = r.normal(size=(1500, 8))
+    cases = [(x, False), (x * 1e-9 + 1e6, False), (np.round(x), False), (np.vstack([x] * 3), False), (x * 1e200, True), (np.vstack([x, np.full((1, 8), np.nan)]), True), (x[:30], False)]
+    for x, beyond in cases:
+        ids = np.arange(len(x)) % 1400
+        own, pool = np.arange(0, 20), np.arange(10, len(x))
+        bound = np.sort(np.sqrt(((x[own, None] - x[None, :200]) ** 2).sum(2)), axis=1)[:, min(40, len(x) - 1)]
+        monkeypatch.setattr(G, "_nearest", lambda *a: calls.append(1) or plain(*a))
+        hosted = G.Pool(ids[pool], x[pool])
+        for taken, out in ((None, slice(0, 0)), (None, slice(3, 9)), (np.arange(0, len(pool), 2), slice(4, 10))):
+            calls.clear()
+            got = hosted.nearest(ids[own], x[own], 5, bound, taken, out)
+            assert bool(calls) == beyond
+            kept = np.setdiff1d(np.arange(len(pool)) if taken is None else taken, np.arange(out.start, out.stop))
+            want = plain(ids[own], x[own], ids[pool][kept], x[pool][kept], 5, bound)
+            sure = [{(int(a), int(b), float(d)) for a, b, d in zip(*found) if not d > bound[int(a)]} for found in (got, want)]
+            assert sure[0] == sure[1] and (len(x) < 100 or beyond or len(sure[0]) > 20)
