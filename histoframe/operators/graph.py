@@ -391,13 +391,9 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = RESOLUTI
 def _wishes(edges: DataFrame, state: DataFrame, m2: float, resolution: float) -> DataFrame:
     """(node, old, new, k, delta) of the nodes that another label would serve better."""
     totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
-    links = (
-        edges.filter("src <> dst")
-        .join(state.select(F.col("node").alias("dst"), "label"), "dst")
-        .groupBy(F.col("src").alias("node"), "label")
-        .agg(F.sum("w").alias("links"))
-    )
+    links = edges.filter("src <> dst").join(state.select(F.col("node").alias("dst"), "label"), "dst").select(F.col("src").alias("node"), "label", F.col("w").alias("links"))
     own = state.select("node", "label", X.d(0).alias("links"))
+    # One sum over both, so that links are shuffled by node and label once.
     options = links.unionByName(own).groupBy("node", "label").agg(F.sum("links").alias("links"))
     mine = state.select("node", F.col("label").alias("old"), "k")
     stays = F.col("label") == F.col("old")

@@ -1,6 +1,7 @@
 """Neighbours and communities against plain versions."""
 
 import random
+import re
 
 import numpy as np
 
@@ -126,3 +127,10 @@ def test_pool_finds_the_same_as_in_double_precision(monkeypatch):
             want = plain(ids[own], x[own], ids[pool][kept], x[pool][kept], 5, bound)
             sure = [{(int(a), int(b), float(d)) for a, b, d in zip(*found) if not d > bound[int(a)]} for found in (got, want)]
             assert sure[0] == sure[1] and (len(x) < 100 or beyond or len(sure[0]) > 20)
+
+
+def test_links_are_shuffled_by_node_and_label_once(spark):
+    edges = spark.range(9).selectExpr("id as src", "(id + 1) % 9 as dst", "cast(1 as double) as w")
+    state = spark.range(9).selectExpr("id as node", "id % 3 as label", "cast(2 as double) as k")
+    plan = G._wishes(edges, state, 9.0, 1.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Aggregate \[\w+#\d+L?, label#\d+L?\]", plan)) == 1
