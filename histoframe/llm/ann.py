@@ -8,8 +8,10 @@ block by the footrule distance of the orders, and the best share of the block
 is ranked again by cosine on the original vectors. The best of all blocks
 are the answer.
 
-Queries are a stated set and meet every block of the index; the pivots are
-the only thing collected, and their number is fixed.
+Queries are a stated set and meet every block of the index. They travel as
+rows of one vector to the bundles of blocks, each once, behind the bundle's
+own vectors: a task holds the blocks of a bundle and one batch of rows. The
+pivots are the only thing collected, and their number is fixed.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ PIVOTS, PLACES = 256, 128
 SHARE, LEAST = 0.05, 1000
 #: Vectors in a block of the index, and queries that meet it at once.
 BLOCK, QUERY_BLOCK = 4096, 512
+#: Bundles that blocks are dealt to at least, where there are as many, and the most blocks of a bundle, which a task holds.
+BUNDLES, MOST_BLOCKS = 64, 16
 
 
 def usable(vector: Column) -> Column:
@@ -75,25 +79,6 @@ def footrule_ranks(order: np.ndarray, files: np.ndarray) -> np.ndarray:
     return -np.maximum(files[order], own).sum(axis=0, dtype=np.int64)
 
 
-def _packed(rows: DataFrame, per_block: int, total: int, width: int, prefix: str) -> DataFrame:
-    """Rows dealt to blocks of about ``per_block`` by a hash of the id: (block, ids, vectors)."""
-    blocks = max(1, -(-total // per_block))
-
-    def pack(block: pa.Table) -> pa.Table:
-        block = block.sort_by("vec_id").combine_chunks()
-        vectors = _matrix(block.column("vector").combine_chunks(), width)
-        return pa.table(
-            {
-                prefix: block.column(prefix)[:1],
-                f"{prefix}_ids": pa.array([block.column("vec_id").to_numpy()], pa.list_(pa.int64())),
-                f"{prefix}_vectors": pa.array([vectors.tobytes()], pa.binary()),
-            }
-        )
-
-    dealt = rows.withColumn(prefix, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    return dealt.groupBy(prefix).applyInArrow(pack, f"{prefix} long, {prefix}_ids array<long>, {prefix}_vectors binary")
-
-
 def nearest(
     embeddings: DataFrame, queries: Column, k: int = 5, *, id_col: str = "vec_id", vector_col: str = "embedding",
     pivots: int = PIVOTS, places: int = PLACES, share: float = SHARE, least: int = LEAST,
@@ -109,38 +94,73 @@ def nearest(
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("asks"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     rows = materialize(rows.groupBy("vec_id").agg(F.min("vector").alias("vector"), F.max(F.coalesce("asks", F.lit(False))).alias("asks")), "vectors")
-    lengths = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("asking"))
+    lengths = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
     shape = lengths.orderBy(F.desc("n"), "width").first()
-    width, total, asking = (shape["width"], shape["n"], shape["asking"]) if shape else (1, 0, 0)
+    width, total = (shape["width"], shape["n"]) if shape else (1, 0)
     rows = rows.filter(F.size("vector") == width)
 
     drawn = rows.groupBy(F.xxhash64("vector").alias("h")).agg(F.first("vector").alias("vector")).orderBy("h").limit(pivots).select("vector").toArrow()
     points = _unit(_matrix(drawn.column("vector").combine_chunks(), width)) if drawn.num_rows else np.zeros((1, width))
     kept = min(1.0, max(share, least / max(1, total)))
-    held = min(places, len(points))
+    held_places, query_block = min(places, len(points)), QUERY_BLOCK
+
+    blocks = max(1, -(-total // BLOCK))
+    # A query travels once to a bundle of blocks; with few blocks each is a bundle, so that tasks are many.
+    bundled = min(MOST_BLOCKS, max(1, blocks // BUNDLES))
+
+    def best_of(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        return np.lexsort((ids, -scores))[:k]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle, held, index = None, [], []
+
+        def indexed(held: list) -> None:
+            if held:
+                ids, vectors = (np.concatenate(c) for c in zip(*held, strict=True))
+                index.append((ids, vectors, inverted_file(nearest_pivots(vectors, points, held_places), len(points))))
+                held.clear()
+
+        def answers(asked: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+            found = []
+            for query, vector, order in zip(asked, vectors, nearest_pivots(vectors, points, held_places), strict=True):
+                near = [in_block(query, vector, order, *block) for block in index]
+                ids, scores = (np.concatenate(c) for c in zip(*near, strict=True))
+                best = best_of(ids, scores)
+                found.append((np.full(len(best), query), ids[best], scores[best]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
+
+        def in_block(query: int, vector: np.ndarray, order: np.ndarray, ids: np.ndarray, vectors: np.ndarray, files: np.ndarray) -> tuple:
+            take = min(len(ids), int(np.ceil(kept * len(ids))) + k)
+            ranks = footrule_ranks(order, files)
+            near = np.flatnonzero(ranks >= np.partition(ranks, len(ranks) - take)[len(ranks) - take])
+            near = near[ids[near] != query]
+            score = cosines(vector[None], vectors[near])[0]
+            best = best_of(ids[near], score)
+            return ids[near][best], score[best]
+
         for batch in batches:
-            for row in batch.to_pylist():
-                asked, ids = np.array(row["q_ids"]), np.array(row["b_ids"])
-                asked_vectors, vectors = (np.frombuffer(row[c]).reshape(-1, width) for c in ("q_vectors", "b_vectors"))
-                files = inverted_file(nearest_pivots(vectors, points, held), len(points))
-                take = min(len(ids), int(np.ceil(kept * len(ids))) + k)
-                found = []
-                for query, vector, order in zip(asked, asked_vectors, nearest_pivots(asked_vectors, points, held), strict=True):
-                    ranks = footrule_ranks(order, files)
-                    near = np.flatnonzero(ranks >= np.partition(ranks, len(ranks) - take)[len(ranks) - take])
-                    near = near[ids[near] != query]
-                    score = cosines(vector[None], vectors[near])[0]
-                    best = np.lexsort((ids[near], -score))[:k]
-                    found += zip([int(query)] * len(best), ids[near][best].tolist(), score[best].tolist(), strict=True)
-                columns = list(zip(*found, strict=True)) or [(), (), ()]
-                kinds = (pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "vec_id", "score"])
-
-    blocks = _packed(rows.select("vec_id", "vector"), BLOCK, total, width, "b")
-    asks = _packed(rows.filter("asks").select("vec_id", "vector"), QUERY_BLOCK, asking, width, "q")
-    everywhere = asks.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-total // BLOCK)) - 1).cast("long"))))
-    met = everywhere.join(blocks, "b").mapInArrow(search, "query_id long, vec_id long, score double")
+            if not batch.num_rows:
+                continue
+            bundles, block, ids = (batch.column(c).to_numpy() for c in ("bundle", "block", "vec_id"))
+            vectors = _matrix(batch.column("vector"), width)
+            edges = np.flatnonzero((np.diff(bundles) != 0) | (np.diff(block) != 0)) + 1
+            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(ids)], strict=True):
+                if (bundles[s], block[s]) != bundle:
+                    indexed(held)
+                    if bundle is None or bundles[s] != bundle[0]:
+                        index.clear()
+                    bundle = bundles[s], block[s]
+                if block[s] < blocks:
+                    held.append((ids[s:e], vectors[s:e]))
+                else:
+                    for at in range(s, e if index else s, query_block):
+                        yield answers(ids[at : min(at + query_block, e)], vectors[at : min(at + query_block, e)])
+
+    # Rows of one vector: a block's own come before the queries, so a task holds a bundle's blocks and one batch, however many queries there are.
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    own = dealt.select(F.floor(F.col("block") / bundled).cast("int").alias("bundle"), "block", "vec_id", "vector")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // bundled)))
+    asks = rows.filter("asks").select(everywhere.alias("bundle"), F.lit(blocks).alias("block"), "vec_id", "vector")
+    met = own.unionByName(asks).repartition("bundle").sortWithinPartitions("bundle", "block", "vec_id").mapInArrow(search, "query_id long, vec_id long, score double")
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

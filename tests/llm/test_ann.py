@@ -44,3 +44,27 @@ def test_odd_rows(spark):
     out = sorted((r.query_id, r.rank, r.vec_id) for r in nearest(df, F.col("vec_id") % 50 == 0).collect())
     assert out == [(0, 1, 1), (0, 2, 2), (0, 3, 50), (50, 1, 1), (50, 2, 2), (50, 3, 0)]
     assert nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_queries_meet_blocks_as_rows_of_one_vector(spark, monkeypatch):
+    """No row holds more than one vector, so batches do not grow with the table; whole blocks are met over any bundles."""
+    import histoframe.llm.ann as ann
+
+    r = np.random.default_rng(3)
+    x = np.round(r.normal(size=(700, 6)), 1).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    truth = {q: [i for _, i in sorted((-round(float(np.dot(x[q].astype(float), v.astype(float)) / np.linalg.norm(x[q].astype(float)) / np.linalg.norm(v.astype(float))), 12), i) for i, v in enumerate(x) if i != q and v.any())[:5]] for q in range(0, 700, 50)}
+    for block, bundles, queries in ((4096, 64, 512), (30, 4, 3), (30, 100, 512)):
+        monkeypatch.setattr(ann, "BLOCK", block)
+        monkeypatch.setattr(ann, "BUNDLES", bundles)
+        monkeypatch.setattr(ann, "QUERY_BLOCK", queries)
+        found = nearest(df, F.col("vec_id") % 50 == 0, share=1.0)
+        got = {}
+        for row in found.collect():
+            got.setdefault(row.query_id, {})[row["rank"]] = row
+        assert got.keys() == truth.keys() and all(sorted(g) == [1, 2, 3, 4, 5] for g in got.values())
+        for q, g in got.items():
+            want = [float(np.dot(x[q].astype(float), x[i].astype(float)) / np.linalg.norm(x[q].astype(float)) / np.linalg.norm(x[i].astype(float))) for i in truth[q]]
+            assert np.allclose([g[n].score for n in range(1, 6)], want) and len({g[n].vec_id for n in g}) == 5
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "FlatMapGroupsInArrow" not in plan
